@@ -29,3 +29,172 @@ UNION ALL SELECT 'dim_salesperson', count(*) FROM dim_salesperson
 UNION ALL SELECT 'raw_store_sales', count(*) FROM raw_store_sales
 UNION ALL SELECT 'fact_store_sales', count(*) FROM fact_store_sales"""),
 }
+
+MART_CTES = """,
+mart AS (
+  SELECT f.fact_store_sales_key, f.sales_order_id, f.sales_order_detail_id, f.sales_order_number,
+         c.customer_id, c.store_id, c.store_name, c.territory_id, p.product_id, p.product_name,
+         p.product_subcategory_name, p.product_category_name, t.full_date AS order_date, t.year_num,
+         t.month_num, t.month_name,
+         CAST(t.year_num AS VARCHAR) || '-' || lpad(CAST(t.month_num AS VARCHAR), 2, '0') AS year_month,
+         s.salesperson_id, s.full_name AS salesperson_name, f.order_qty, f.unit_price, f.unit_price_discount,
+         f.gross_amount, f.discount_amount, f.margin_amount, f.net_amount, f.header_subtotal,
+         f.header_tax_amt, f.header_freight, f.header_total_due
+  FROM fact_store_sales f
+  LEFT JOIN dim_store_customer c ON f.customer_key = c.customer_key
+  LEFT JOIN dim_product p ON f.product_key = p.product_key
+  LEFT JOIN dim_time t ON f.order_date_key = t.time_key
+  LEFT JOIN dim_salesperson s ON f.salesperson_key = s.salesperson_key),
+clean AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY sales_order_id, sales_order_detail_id
+                                 ORDER BY order_date, sales_order_id, sales_order_detail_id,
+                                          fact_store_sales_key) AS rn
+    FROM mart) x
+  WHERE rn = 1 AND order_qty > 0 AND unit_price >= 0
+    AND coalesce(unit_price_discount BETWEEN 0 AND 1, false) AND net_amount >= 0)"""
+
+
+def _mart(select_sql: str) -> str:
+    base = with_ctes("SELECT 1")
+    return base[: base.rindex("SELECT 1")].rstrip() + MART_CTES + "\n" + select_sql.strip()
+
+
+_FP_COLS = ["fact_store_sales_key", "sales_order_id", "sales_order_detail_id", "sales_order_number",
+            "customer_key", "product_key", "order_date_key", "salesperson_key", "order_qty", "unit_price",
+            "unit_price_discount", "gross_amount", "discount_amount", "margin_amount", "net_amount",
+            "header_subtotal", "header_tax_amt", "header_freight", "header_total_due"]
+
+
+def _fp(cols=_FP_COLS, net="net_amount") -> str:
+    parts = [f"coalesce(CAST({net if c == 'net_amount' else c} AS VARCHAR), '<NULL>')" for c in cols]
+    return "sha256(concat_ws('||', " + ", ".join(parts) + "))"
+
+
+_TAMPER = f"""
+SELECT fact_store_sales_key, sales_order_id, sales_order_detail_id,
+       CASE WHEN order_qty = 50 THEN NULL ELSE {_fp()} END AS stored,
+       {_fp(net="CAST(CASE WHEN unit_price_discount = 0.1 THEN CAST(net_amount + 10 AS DECIMAL(38,6)) ELSE net_amount END AS DECIMAL(38,6))")} AS expected
+FROM fact_store_sales"""
+
+_VERIFIED = f"""
+SELECT *, CASE WHEN stored IS NULL OR stored = '' THEN 'MISSING_FINGERPRINT'
+               WHEN stored <> expected THEN 'FINGERPRINT_MISMATCH' ELSE 'OK' END AS status
+FROM ({_TAMPER}) t"""
+
+_PERF = """CAST(sum(net_amount) AS DOUBLE) AS net_sales, CAST(sum(margin_amount) AS DOUBLE) AS margin_value,
+  CAST(sum(discount_amount) AS DOUBLE) AS discount_value, count(sales_order_detail_id) AS order_lines,
+  CAST(sum(margin_amount) AS DOUBLE) / CAST(sum(net_amount) AS DOUBLE) * 100 AS margin_pct"""
+
+SQL.update({
+    "star_mart_denormalised": _mart("SELECT * FROM mart"),
+    "dim_time_build": with_ctes("SELECT * FROM dim_time"),
+    "dim_product_flatten": with_ctes("SELECT * FROM src_product"),
+    "dim_salesperson_names": with_ctes("SELECT * FROM dim_salesperson"),
+    "surrogate_keys": with_ctes("""
+SELECT 'dim_store_customer' AS dimension, customer_id AS natural_id, customer_key AS surrogate_key FROM dim_store_customer
+UNION ALL SELECT 'dim_product', product_id, product_key FROM dim_product
+UNION ALL SELECT 'dim_salesperson', salesperson_id, salesperson_key FROM dim_salesperson"""),
+    "new_customers_antijoin": with_ctes("""
+SELECT DISTINCT customer_id, store_id, store_name, c_account AS account_number, territory_id, store_salesperson_id
+FROM so_st
+WHERE order_date >= TIMESTAMP '1995-03-01' AND order_date < TIMESTAMP '1995-04-01'
+  AND customer_id NOT IN (SELECT customer_id FROM so_st WHERE order_date < TIMESTAMP '1995-03-01')"""),
+    "raw_extract_period": with_ctes("""
+SELECT * EXCLUDE (raw_store_sales_id, period) FROM raw_store_sales
+WHERE order_date >= TIMESTAMP '1995-03-01' AND order_date < TIMESTAMP '1995-04-01'"""),
+    "fact_transform": with_ctes("SELECT * FROM fact_store_sales"),
+    "fact_keys_missing": with_ctes("""
+SELECT count(*) FILTER (WHERE customer_key IS NULL) AS missing_customer_keys,
+       count(*) FILTER (WHERE product_key IS NULL) AS missing_product_keys,
+       count(*) FILTER (WHERE time_key IS NULL) AS missing_time_keys,
+       count(*) FILTER (WHERE salesperson_key IS NULL) AS missing_salesperson_keys,
+       count(*) AS staged_rows
+FROM fact_stage"""),
+    "unique_key_violations": with_ctes("""
+SELECT table_name, key_columns, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS violating_keys,
+       CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS violating_rows
+FROM (
+  SELECT 'dim_store_customer' AS table_name, 'customer_id' AS key_columns, count(*) AS n FROM dim_store_customer GROUP BY customer_id
+  UNION ALL SELECT 'dim_product', 'product_id', count(*) FROM dim_product GROUP BY product_id
+  UNION ALL SELECT 'dim_time', 'full_date', count(*) FROM dim_time GROUP BY full_date
+  UNION ALL SELECT 'dim_salesperson', 'salesperson_id', count(*) FROM dim_salesperson GROUP BY salesperson_id
+  UNION ALL SELECT 'raw_store_sales', 'sales_order_id,sales_order_detail_id', count(*) FROM raw_store_sales GROUP BY sales_order_id, sales_order_detail_id
+  UNION ALL SELECT 'fact_store_sales', 'sales_order_id,sales_order_detail_id', count(*) FROM fact_store_sales GROUP BY sales_order_id, sales_order_detail_id
+) g GROUP BY table_name, key_columns"""),
+    "fk_orphans": with_ctes("""
+SELECT 'customer_key' AS foreign_key, count(*) AS orphan_rows FROM fact_store_sales f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_store_customer d WHERE d.customer_key = f.customer_key)
+UNION ALL SELECT 'product_key', count(*) FROM fact_store_sales f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_product d WHERE d.product_key = f.product_key)
+UNION ALL SELECT 'order_date_key', count(*) FROM fact_store_sales f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_time d WHERE d.time_key = f.order_date_key)
+UNION ALL SELECT 'salesperson_key', count(*) FROM fact_store_sales f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_salesperson d WHERE d.salesperson_key = f.salesperson_key)"""),
+    "quality_summary": _mart("""
+SELECT 'Duplicate fact rows by (sales_order_id, sales_order_detail_id)' AS "Check",
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS IssueCount
+  FROM (SELECT count(*) AS n FROM mart GROUP BY sales_order_id, sales_order_detail_id) d
+UNION ALL SELECT 'Missing store dimension attributes', count(*) FILTER (WHERE store_name IS NULL) FROM mart
+UNION ALL SELECT 'Missing product dimension attributes', count(*) FILTER (WHERE product_name IS NULL) FROM mart
+UNION ALL SELECT 'Missing time dimension attributes', count(*) FILTER (WHERE order_date IS NULL) FROM mart
+UNION ALL SELECT 'Missing salesperson dimension attributes', count(*) FILTER (WHERE salesperson_name IS NULL) FROM mart
+UNION ALL SELECT 'Invalid discount rate (< 0 or > 1)',
+       count(*) FILTER (WHERE NOT coalesce(unit_price_discount BETWEEN 0 AND 1, false)) FROM mart
+UNION ALL SELECT 'Non-positive order quantity', count(*) FILTER (WHERE order_qty <= 0) FROM mart
+UNION ALL SELECT 'Negative unit price', count(*) FILTER (WHERE unit_price < 0) FROM mart"""),
+    "cleansed_rows": _mart("SELECT * FROM clean"),
+    "column_profile": _mart(" UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{t}' AS dtype, count({c}) AS non_null,
+  CASE WHEN count(*) = 0 THEN 0.0 ELSE CAST(count(*) - count({c}) AS DOUBLE) * 100 / count(*) END AS null_pct,
+  count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value
+FROM clean""" for c, t in [
+            ("sales_order_id", "bigint"), ("store_name", "string"), ("product_category_name", "string"),
+            ("order_date", "date"), ("year_month", "string"), ("salesperson_name", "string"),
+            ("order_qty", "smallint"), ("unit_price", "decimal(19,4)"), ("unit_price_discount", "decimal(19,4)"),
+            ("gross_amount", "decimal(19,4)"), ("discount_amount", "decimal(19,4)"),
+            ("margin_amount", "decimal(38,6)"), ("net_amount", "decimal(38,6)")])),
+    "store_performance_top10": _mart(f"""
+SELECT store_name, {_PERF}, CAST(sum(gross_amount) AS DOUBLE) AS gross_sales
+FROM clean WHERE store_name IS NOT NULL GROUP BY store_name HAVING sum(net_amount) > 0
+ORDER BY sum(net_amount) DESC, store_name LIMIT 10"""),
+    "discount_profitability_top20": _mart("""
+SELECT *, net_sales / max(net_sales) OVER () * 800 AS bubble_size FROM (
+  SELECT store_name, CAST(sum(gross_amount) AS DOUBLE) AS gross_sales,
+         CAST(sum(discount_amount) AS DOUBLE) AS discount_value, CAST(sum(net_amount) AS DOUBLE) AS net_sales,
+         CAST(sum(margin_amount) AS DOUBLE) AS margin_value, count(sales_order_detail_id) AS order_lines,
+         CAST(sum(discount_amount) AS DOUBLE) / CAST(sum(gross_amount) AS DOUBLE) * 100 AS discount_ratio_pct,
+         CAST(sum(margin_amount) AS DOUBLE) / CAST(sum(net_amount) AS DOUBLE) * 100 AS margin_pct
+  FROM clean WHERE store_name IS NOT NULL GROUP BY store_name
+  HAVING sum(gross_amount) > 0 AND sum(net_amount) > 0
+  ORDER BY sum(net_amount) DESC, store_name LIMIT 20) t"""),
+    "category_performance": _mart(f"""
+SELECT product_category_name, {_PERF}
+FROM clean WHERE product_category_name IS NOT NULL GROUP BY product_category_name HAVING sum(net_amount) > 0
+ORDER BY sum(net_amount) DESC, product_category_name LIMIT 10"""),
+    "salesperson_margin_top10": _mart(f"""
+SELECT salesperson_name, {_PERF}
+FROM clean WHERE salesperson_name IS NOT NULL GROUP BY salesperson_name HAVING sum(net_amount) > 0
+ORDER BY sum(margin_amount) DESC, salesperson_name LIMIT 10"""),
+    "sales_by_month_store_person_top20": with_ctes("""
+SELECT t.year_num, t.month_name, c.store_name, s.full_name AS salesperson,
+       CAST(sum(f.net_amount) AS DOUBLE) AS total_sales
+FROM fact_store_sales f
+JOIN dim_store_customer c ON f.customer_key = c.customer_key
+JOIN dim_product p ON f.product_key = p.product_key
+JOIN dim_time t ON f.order_date_key = t.time_key
+JOIN dim_salesperson s ON f.salesperson_key = s.salesperson_key
+GROUP BY t.year_num, t.month_name, c.store_name, s.full_name
+ORDER BY sum(f.net_amount) DESC, t.year_num, t.month_name, c.store_name, s.full_name LIMIT 20"""),
+    "fingerprints": with_ctes(f"SELECT fact_store_sales_key, {_fp()} AS fingerprint FROM fact_store_sales"),
+    "fingerprint_verify": with_ctes(f"""
+SELECT fact_store_sales_key, sales_order_id, sales_order_detail_id, status,
+  CASE WHEN status = 'FINGERPRINT_MISMATCH'
+       THEN status || ' | fact_store_sales_key=' || fact_store_sales_key || ' | sales_order_id=' || sales_order_id
+            || ' | sales_order_detail_id=' || sales_order_detail_id || ' | stored=' || stored || ' | expected=' || expected
+       ELSE status || ' | fact_store_sales_key=' || fact_store_sales_key || ' | sales_order_id=' || sales_order_id
+            || ' | sales_order_detail_id=' || sales_order_detail_id END AS report_line
+FROM ({_VERIFIED}) v WHERE status <> 'OK'"""),
+    "fingerprint_summary": with_ctes(f"""
+SELECT count(*) AS rows_checked, count(*) FILTER (WHERE status <> 'OK') AS invalid_rows FROM ({_VERIFIED}) v"""),
+})

@@ -9,10 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import analytics as A
+from ..operators import integrity as I
 from ..operators import panel as P
+from ..operators import quality as Q
 from ..operators import warehouse as W
 from ..sources import catalog
 
+BASE = catalog.TESTDATA_BASE
+# The monthly-load queries run the load of one calendar month (the window is the
+# operator's semantics): period 3 of the test data, March 1995.
+LOAD_PERIOD = 3
+
 
 def _wh(spark, sf_dir):
     return catalog.warehouse(spark, sf_dir)
@@ -42,7 +50,190 @@ def table_counts(spark, sf_dir):
     return out
 
 
+def _src(spark, sf_dir):
+    return catalog.sources(spark, sf_dir)
+
+
+def _clean(spark, sf_dir):
+    return Q.cleanse(Q.star_mart(_wh(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- warehouse build
+
+def star_mart_denormalised(spark, sf_dir):
+    return Q.star_mart(_wh(spark, sf_dir))
+
+
+def dim_time_build(spark, sf_dir):
+    start, _ = W.period_window(1, BASE, None)
+    return W.time_rows(_src(spark, sf_dir), start, None)
+
+
+def dim_product_flatten(spark, sf_dir):
+    return W.flatten_product(_src(spark, sf_dir))
+
+
+def dim_salesperson_names(spark, sf_dir):
+    return W.build_dimensions(_src(spark, sf_dir), BASE, None)["dim_salesperson"]
+
+
+def surrogate_keys(spark, sf_dir):
+    dims = W.build_dimensions(_src(spark, sf_dir), BASE, None)
+    parts = [dims["dim_store_customer"].select(F.lit("dim_store_customer").alias("dimension"),
+                                               F.col("customer_id").alias("natural_id"),
+                                               F.col("customer_key").alias("surrogate_key")),
+             dims["dim_product"].select(F.lit("dim_product").alias("dimension"),
+                                        F.col("product_id").alias("natural_id"),
+                                        F.col("product_key").alias("surrogate_key")),
+             dims["dim_salesperson"].select(F.lit("dim_salesperson").alias("dimension"),
+                                            F.col("salesperson_id").alias("natural_id"),
+                                            F.col("salesperson_key").alias("surrogate_key"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def new_customers_antijoin(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    start, end = W.period_window(LOAD_PERIOD, BASE, None)
+    base_start, _ = W.period_window(1, BASE, None)
+    existing = W.customer_rows(src, base_start, start, BASE)
+    new = W.customer_rows(src, start, end, BASE).join(existing.select("customer_id"), "customer_id",
+                                                      "left_anti")
+    return new.select(*W.DIM_CUSTOMER_COLS)
+
+
+def raw_extract_period(spark, sf_dir):
+    src = _src(spark, sf_dir)
+    start, end = W.period_window(LOAD_PERIOD, BASE, None)
+    loaded = _wh(spark, sf_dir)["raw_store_sales"].where(F.col("order_date") < F.lit(str(start)).cast("timestamp"))
+    ext = W.raw_extract(src, start, end, BASE).join(
+        loaded.select("sales_order_id", "sales_order_detail_id"), ["sales_order_id", "sales_order_detail_id"],
+        "left_anti")
+    return ext.select(*W.RAW_COLS)
+
+
+def fact_transform(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return W.build_fact(wh["raw_store_sales"], wh)
+
+
+def fact_keys_missing(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return W.missing_key_counts(W.fact_stage(wh["raw_store_sales"], wh))
+
+
+UNIQUE_KEYS = {"dim_store_customer": ["customer_id"], "dim_product": ["product_id"],
+               "dim_time": ["full_date"], "dim_salesperson": ["salesperson_id"],
+               "raw_store_sales": ["sales_order_id", "sales_order_detail_id"],
+               "fact_store_sales": ["sales_order_id", "sales_order_detail_id"]}
+
+
+def unique_key_violations(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return Q.unique_key_violations({t: wh[t] for t in UNIQUE_KEYS}, UNIQUE_KEYS)
+
+
+def fk_orphans(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return Q.fk_orphans(wh["fact_store_sales"], {
+        "customer_key": (wh["dim_store_customer"], "customer_key"),
+        "product_key": (wh["dim_product"], "product_key"),
+        "order_date_key": (wh["dim_time"], "time_key"),
+        "salesperson_key": (wh["dim_salesperson"], "salesperson_key")})
+
+
+# ---------------------------------------------------------------- quality and analytics
+
+def quality_summary(spark, sf_dir):
+    return Q.quality_summary(Q.star_mart(_wh(spark, sf_dir)))
+
+
+def cleansed_rows(spark, sf_dir):
+    return _clean(spark, sf_dir)
+
+
+PROFILE_COLUMNS = ["sales_order_id", "store_name", "product_category_name", "order_date", "year_month",
+                   "salesperson_name", "order_qty", "unit_price", "unit_price_discount", "gross_amount",
+                   "discount_amount", "margin_amount", "net_amount"]
+
+
+def column_profile(spark, sf_dir):
+    return Q.quality_report(_clean(spark, sf_dir), PROFILE_COLUMNS)
+
+
+def store_performance_top10(spark, sf_dir):
+    return A.store_performance(_clean(spark, sf_dir), 10)
+
+
+def discount_profitability_top20(spark, sf_dir):
+    return A.discount_profitability(_clean(spark, sf_dir), 20)
+
+
+def category_performance(spark, sf_dir):
+    return A.category_performance(_clean(spark, sf_dir), 10)
+
+
+def salesperson_margin_top10(spark, sf_dir):
+    return A.salesperson_performance(_clean(spark, sf_dir), 10)
+
+
+def sales_by_month_store_person_top20(spark, sf_dir):
+    return A.sales_by_month_store_person(_wh(spark, sf_dir), 20)
+
+
+# ---------------------------------------------------------------- integrity
+
+def fingerprints(spark, sf_dir):
+    fact = I.stamp(_wh(spark, sf_dir)["fact_store_sales"])
+    return fact.select("fact_store_sales_key", "fingerprint")
+
+
+# Fixed values of the tamper scenario: after stamping, net +10 on rows with a 10 %
+# discount, fingerprint cleared on rows ordering 50 units.
+TAMPER_DISCOUNT = "0.1000"
+TAMPER_CLEAR_QTY = 50
+
+
+def tampered_fact(spark, sf_dir):
+    stamped = I.stamp(_wh(spark, sf_dir)["fact_store_sales"])
+    hit = F.col("unit_price_discount") == F.lit(TAMPER_DISCOUNT).cast("decimal(19,4)")
+    return stamped.withColumns({
+        "net_amount": F.when(hit, (F.col("net_amount") + F.lit(10)).cast("decimal(38,6)"))
+                       .otherwise(F.col("net_amount")),
+        "fingerprint": F.when(F.col("order_qty") == TAMPER_CLEAR_QTY, F.lit(None).cast("string"))
+                        .otherwise(F.col("fingerprint"))})
+
+
+def fingerprint_verify(spark, sf_dir):
+    return I.report_lines(I.verify(tampered_fact(spark, sf_dir)))
+
+
+def fingerprint_summary(spark, sf_dir):
+    return I.verify_summary(I.verify(tampered_fact(spark, sf_dir)))
+
+
 REGISTRY = {
+    "star_mart_denormalised": star_mart_denormalised,
+    "dim_time_build": dim_time_build,
+    "dim_product_flatten": dim_product_flatten,
+    "dim_salesperson_names": dim_salesperson_names,
+    "surrogate_keys": surrogate_keys,
+    "new_customers_antijoin": new_customers_antijoin,
+    "raw_extract_period": raw_extract_period,
+    "fact_transform": fact_transform,
+    "fact_keys_missing": fact_keys_missing,
+    "unique_key_violations": unique_key_violations,
+    "fk_orphans": fk_orphans,
+    "quality_summary": quality_summary,
+    "cleansed_rows": cleansed_rows,
+    "column_profile": column_profile,
+    "store_performance_top10": store_performance_top10,
+    "discount_profitability_top20": discount_profitability_top20,
+    "category_performance": category_performance,
+    "salesperson_margin_top10": salesperson_margin_top10,
+    "sales_by_month_store_person_top20": sales_by_month_store_person_top20,
+    "fingerprints": fingerprints,
+    "fingerprint_verify": fingerprint_verify,
+    "fingerprint_summary": fingerprint_summary,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,
