@@ -47,3 +47,33 @@ def dense_number(df: DataFrame, order_cols: list, out_col: str, start: int | Col
     out = tagged.join(F.broadcast(offsets), _PID, "inner") \
         .withColumn(out_col, (start_col + F.col(_OFF) + local).cast("long"))
     return out.drop(_PID, _MID, _OFF)
+
+
+def running_sum(df: DataFrame, group_cols: list, order_cols: list, sum_cols: list,
+                num_partitions: int | None = None, suffix: str = "_cum") -> DataFrame:
+    """Per-group running sums in order, without putting a whole group in one task.
+
+    Rows are range-partitioned on (group, order) and checkpointed; each task
+    sums its slice per group, slice totals become per-group prefix offsets
+    (a table of at most partitions × groups-per-partition rows), and the running
+    value is offset + running sum inside the slice.  Equals
+    ``sum(c) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED PRECEDING)``
+    for a unique order key.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(group_cols) + list(order_cols)
+    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    tagged = fixed.withColumn(_PID, F.spark_partition_id())
+    inner = Window.partitionBy(_PID, *group_cols).orderBy(*order_cols) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumns({f"_l_{c}": F.sum(c).over(inner) for c in sum_cols})
+    totals = tagged.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_PID, *group_cols, *[
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0).cast(dict(df.dtypes)[c]))
+        .alias(f"_o_{c}") for c in sum_cols])
+    out = local.join(offsets, [_PID, *group_cols], "inner")
+    return out.withColumns({f"{c}{suffix}": F.col(f"_o_{c}") + F.col(f"_l_{c}") for c in sum_cols}) \
+        .drop(_PID, *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])

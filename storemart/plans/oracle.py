@@ -198,3 +198,280 @@ FROM ({_VERIFIED}) v WHERE status <> 'OK'"""),
     "fingerprint_summary": with_ctes(f"""
 SELECT count(*) AS rows_checked, count(*) FILTER (WHERE status <> 'OK') AS invalid_rows FROM ({_VERIFIED}) v"""),
 })
+
+# ---------------------------------------------------------------- monitoring over events
+
+_LOG = """
+log AS (
+  SELECT ts AS timestamp, event_id AS seq,
+    CASE event_type WHEN 'click' THEN 'gradient_boosting' WHEN 'view' THEN 'random_forest' ELSE 'legacy_unknown' END AS model_key,
+    CASE event_type WHEN 'click' THEN 'Gradient Boosting' WHEN 'view' THEN 'Random Forest' ELSE 'Legacy / Unknown' END
+      AS model_display_name,
+    value AS predicted_next_period_net_sales, user_id, value,
+    TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_type, dayname(ts) AS day_name
+  FROM events),
+sides AS (
+  SELECT *, model_key AS model,
+         CASE WHEN timestamp < TIMESTAMP '2024-01-16 00:00:00' THEN 'ref' ELSE 'prod' END AS side
+  FROM log)"""
+
+
+def _log(select_sql: str) -> str:
+    return "WITH " + _LOG.strip() + "\n" + select_sql.strip()
+
+
+_EXACT_MEAN = "CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / count({c})"
+
+SQL.update({
+    "model_summary": _log(f"""
+SELECT m.model_key, m.model, CAST(coalesce(a.requests, 0) AS BIGINT) AS requests, a.avg_predicted_sales,
+       a.latest_prediction, 'test_rmse' AS mlflow_metric, CAST(NULL AS DOUBLE) AS mlflow_metric_value
+FROM (VALUES ('gradient_boosting', 'Gradient Boosting'), ('random_forest', 'Random Forest')) m(model_key, model)
+LEFT JOIN (
+  SELECT model_key, count(*) AS requests,
+         {_EXACT_MEAN.format(c='predicted_next_period_net_sales')} AS avg_predicted_sales,
+         first(predicted_next_period_net_sales ORDER BY timestamp DESC, seq DESC) AS latest_prediction
+  FROM log GROUP BY model_key) a ON m.model_key = a.model_key"""),
+    "log_kpis": _log(f"""
+SELECT count(*) AS total_requests, {_EXACT_MEAN.format(c='predicted_next_period_net_sales')} AS avg_prediction,
+       first(predicted_next_period_net_sales ORDER BY timestamp DESC, seq DESC) AS latest_prediction
+FROM log"""),
+    "requests_per_model": _log('SELECT model_display_name AS "Model", count(*) AS "Requests" FROM log GROUP BY 1'),
+    "ab_success_count": _log("""
+SELECT count(*) FILTER (WHERE model_key IN ('gradient_boosting', 'random_forest')) AS ab_prediction_count FROM log"""),
+    "prediction_trend_pivot": _log("""
+SELECT timestamp,
+  avg(predicted_next_period_net_sales) FILTER (WHERE model_display_name = 'Gradient Boosting') AS "Gradient Boosting",
+  avg(predicted_next_period_net_sales) FILTER (WHERE model_display_name = 'Random Forest') AS "Random Forest",
+  avg(predicted_next_period_net_sales) FILTER (WHERE model_display_name = 'Legacy / Unknown') AS "Legacy / Unknown"
+FROM log WHERE timestamp IS NOT NULL AND predicted_next_period_net_sales IS NOT NULL GROUP BY timestamp"""),
+    "latest_predictions": _log("""
+SELECT seq, timestamp, model_display_name, predicted_next_period_net_sales FROM log ORDER BY seq DESC LIMIT 20"""),
+    "ab_assignment": """
+SELECT event_id, explicit_model_key,
+  coalesce(explicit_model_key,
+           CASE (row_number() OVER (PARTITION BY explicit_model_key IS NULL ORDER BY event_id) - 1) % 2
+                WHEN 0 THEN 'gradient_boosting' ELSE 'random_forest' END) AS model_key
+FROM (SELECT event_id, CASE event_type WHEN 'click' THEN 'gradient_boosting' WHEN 'view' THEN 'random_forest' END
+             AS explicit_model_key FROM events) r""",
+    "numeric_drift_d": _log("""
+, long AS (
+  SELECT * FROM (
+    SELECT model, 'value' AS feature, side, TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) AS value FROM sides
+    UNION ALL SELECT model, 'user_id', side, TRY_CAST(CAST(user_id AS VARCHAR) AS DOUBLE) FROM sides
+    UNION ALL SELECT model, 'k', side, TRY_CAST(CAST(k AS VARCHAR) AS DOUBLE) FROM sides) u
+  WHERE value IS NOT NULL AND NOT isnan(value)),
+cnt AS (
+  SELECT model, feature, value, count(*) FILTER (WHERE side = 'ref') AS c_ref,
+         count(*) FILTER (WHERE side = 'prod') AS c_prod
+  FROM long GROUP BY model, feature, value),
+tot AS (
+  SELECT model, feature, count(*) FILTER (WHERE side = 'ref') AS n_ref, count(*) FILTER (WHERE side = 'prod') AS n_prod,
+         sum(CAST(value AS DECIMAL(38,10))) FILTER (WHERE side = 'ref') AS s_ref,
+         sum(CAST(value AS DECIMAL(38,10))) FILTER (WHERE side = 'prod') AS s_prod
+  FROM long GROUP BY model, feature),
+cum AS (
+  SELECT model, feature, value,
+         sum(c_ref) OVER (PARTITION BY model, feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cr,
+         sum(c_prod) OVER (PARTITION BY model, feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cp
+  FROM cnt),
+d AS (
+  SELECT cum.model, cum.feature,
+         max(CASE WHEN n_ref > 0 AND n_prod > 0
+                  THEN abs(CAST(cr AS DOUBLE) / n_ref - CAST(cp AS DOUBLE) / n_prod) END) AS ks_d
+  FROM cum JOIN tot ON cum.model = tot.model AND cum.feature = tot.feature GROUP BY cum.model, cum.feature)
+SELECT t.model, t.feature, CAST(n_ref AS BIGINT) AS reference_count, CAST(n_prod AS BIGINT) AS production_count,
+       round(CASE WHEN n_ref > 0 THEN CAST(s_ref AS DOUBLE) / n_ref END, 4) AS reference_mean,
+       round(CASE WHEN n_prod > 0 THEN CAST(s_prod AS DOUBLE) / n_prod END, 4) AS production_mean, d.ks_d
+FROM tot t LEFT JOIN d ON t.model = d.model AND t.feature = d.feature"""),
+    "categorical_drift": _log("""
+, cl AS (
+  SELECT model, 'event_type' AS feature, side, coalesce(CAST(event_type AS VARCHAR), 'MISSING') AS category FROM sides
+  UNION ALL SELECT model, 'day_name', side, coalesce(CAST(day_name AS VARCHAR), 'MISSING') FROM sides),
+cc AS (
+  SELECT model, feature, category, count(*) FILTER (WHERE side = 'ref') AS c_ref,
+         count(*) FILTER (WHERE side = 'prod') AS c_prod
+  FROM cl GROUP BY model, feature, category),
+ct AS (SELECT model, feature, sum(c_ref) AS n_ref, sum(c_prod) AS n_prod FROM cc GROUP BY model, feature),
+sh AS (
+  SELECT cc.model, cc.feature, cc.category, n_ref, n_prod,
+         CASE WHEN n_ref > 0 AND n_prod > 0 THEN abs(CAST(c_prod AS DOUBLE) / n_prod - CAST(c_ref AS DOUBLE) / n_ref) END
+           AS shift
+  FROM cc JOIN ct ON cc.model = ct.model AND cc.feature = ct.feature),
+best AS (
+  SELECT model, feature, n_ref, n_prod, max(shift) AS max_shift,
+         first(category ORDER BY shift DESC, category) AS cat
+  FROM sh GROUP BY model, feature, n_ref, n_prod)
+SELECT model, feature, 'categorical' AS type,
+  CASE WHEN n_ref > 0 AND n_prod > 0
+       THEN 'Max frequency shift: ' || coalesce(CASE WHEN max_shift > 0 THEN cat END, 'None')
+       ELSE 'Frequency shift' END AS test,
+  CAST(n_ref AS BIGINT) AS reference_count, CAST(n_prod AS BIGINT) AS production_count,
+  CAST(NULL AS DOUBLE) AS reference_mean, CAST(NULL AS DOUBLE) AS production_mean, CAST(NULL AS DOUBLE) AS p_value,
+  CASE WHEN n_ref > 0 AND n_prod > 0 THEN round(max_shift, 4) END AS frequency_shift,
+  CASE WHEN NOT (n_ref > 0 AND n_prod > 0) THEN 'Not enough data'
+       WHEN max_shift >= 0.25 THEN 'Possible Drift' ELSE 'No Drift' END AS drift_status
+FROM best"""),
+})
+
+# ---------------------------------------------------------------- training table, importance, explorer
+
+_NUMERIC = ["product_key", "weight", "standard_cost", "list_price", "customer_key", "store_id", "territory_id",
+            "salesperson_key", "sales_quota", "bonus", "commission_pct", "sales_ytd", "sales_last_year",
+            "year_num", "month_num", "quarter_num", "current_month_order_qty", "current_month_gross_sales",
+            "current_month_discount_amount", "current_month_net_sales", "current_month_margin_amount",
+            "avg_unit_price", "avg_unit_price_discount", "number_of_orders", "number_of_order_lines",
+            "previous_month_sales", "rolling_avg_sales_3m", "previous_month_margin", "discount_percentage",
+            "product_profitability_ratio", "is_q4", "is_year_end_season", "is_mid_year", "month_sin", "month_cos",
+            "sales_growth_previous_period"]
+_CATEGORICAL = ["product_category_name", "product_subcategory_name", "product_model_name", "color", "size"]
+_SPLIT_KEY = "concat_ws('|', product_key, store_id, customer_key, salesperson_key, year_num, month_num)"
+_BUCKET = f"CAST(CAST(('0x' || substr(md5({_SPLIT_KEY}), 1, 8)) AS BIGINT) % 10 AS INTEGER)"
+
+_SPLIT_CTES = f""",
+splitted AS (
+  SELECT *, CASE WHEN {_BUCKET} < 7 THEN 'train' WHEN {_BUCKET} < 8 THEN 'validation' ELSE 'test' END AS split
+  FROM engineered),
+train AS (SELECT * FROM splitted WHERE split = 'train')"""
+
+
+def _panel(select_sql: str, split: bool = False) -> str:
+    base = with_ctes("SELECT 1", panel=True)
+    return base[: base.rindex("SELECT 1")].rstrip() + (_SPLIT_CTES if split else "") + "\n" + select_sql.strip()
+
+
+def _cm(x: str) -> str:
+    return (f"(CASE WHEN lower(trim(CAST({x} AS VARCHAR))) IN ('', 'nan', 'none', 'null') THEN NULL "
+            f"ELSE CAST({x} AS VARCHAR) END)")
+
+
+_PRODUCT_PARTS = ", ".join(_cm(c) for c in ["product_name", "product_model_name", "product_subcategory_name",
+                                            "product_category_name"])
+_DISPLAY = f"""
+  (CASE WHEN len(list_filter([{_PRODUCT_PARTS}], lambda x: x IS NOT NULL)) > 0
+        THEN array_to_string(list_filter([{_PRODUCT_PARTS}], lambda x: x IS NOT NULL)[1:3], ' / ')
+        ELSE 'Product ' || product_key END) || ' (Product ' || product_key || ')' AS product_key_display,
+  CASE WHEN {_cm('store_name')} IS NOT NULL THEN {_cm('store_name')} || ' (Store ' || store_id || ')'
+       ELSE 'Store ' || store_id END AS store_id_display,
+  CASE WHEN {_cm('store_name')} IS NOT NULL THEN {_cm('store_name')} || ' (Customer ' || customer_key || ')'
+       ELSE 'Customer ' || customer_key END AS customer_key_display,
+  'Territory ' || territory_id AS territory_id_display"""
+
+_OPTIONAL = ["current_month_order_qty", "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m",
+             "current_month_discount_amount", "current_month_gross_sales", "previous_month_margin"]
+
+_ATTR_NUM = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{c}' AS raw_feature, CAST({c} AS DOUBLE) AS x, next_period_net_sales AS y FROM train"
+    for c in _NUMERIC)
+_LEVELS = "\n  UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS raw_feature, coalesce(CAST({c} AS VARCHAR), 'MISSING') AS level FROM train"
+    for c in _CATEGORICAL)
+_OWN = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS raw_feature, coalesce(CAST({c} AS VARCHAR), 'MISSING') AS own, next_period_net_sales AS y FROM train"
+    for c in _CATEGORICAL)
+
+_SHARES = f""",
+attr_long AS (
+  SELECT * FROM (
+  {_ATTR_NUM}
+  UNION ALL
+  SELECT o.raw_feature || '=' || l.level AS feature, o.raw_feature, CASE WHEN o.own = l.level THEN 1.0 ELSE 0.0 END AS x, o.y
+  FROM ({_OWN}) o JOIN ({_LEVELS}) l ON o.raw_feature = l.raw_feature) u
+  WHERE x IS NOT NULL AND y IS NOT NULL),
+mom AS (
+  SELECT feature, raw_feature, avg(x) AS mx,
+         CASE WHEN var_pop(x) > 0 THEN covar_pop(x, y) / var_pop(x) ELSE 0.0 END AS slope
+  FROM attr_long GROUP BY feature, raw_feature),
+attr AS (
+  SELECT a.feature, a.raw_feature, abs(first(m.slope) * avg(abs(a.x - m.mx))) AS mean_abs
+  FROM attr_long a JOIN mom m ON a.feature = m.feature AND a.raw_feature = m.raw_feature
+  GROUP BY a.feature, a.raw_feature),
+grouped AS (
+  SELECT raw_feature, sum(CAST(round(mean_abs, 6) AS DECIMAL(38,6))) AS imp FROM attr GROUP BY raw_feature),
+shares AS (
+  SELECT raw_feature, CAST(imp AS DOUBLE) AS mean_abs_shap,
+         CASE WHEN total = 0 THEN 0.0 ELSE CAST(imp AS DOUBLE) / CAST(total AS DOUBLE) END AS importance_share,
+         CASE WHEN total = 0 THEN 0.0 ELSE CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) END AS cumulative_importance_share,
+         rank
+  FROM (SELECT raw_feature, imp, sum(imp) OVER () AS total,
+               sum(imp) OVER (ORDER BY imp DESC, raw_feature ROWS UNBOUNDED PRECEDING) AS cum,
+               row_number() OVER (ORDER BY imp DESC, raw_feature) AS rank
+        FROM grouped) g)"""
+
+_MEDIANS = "\n  UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM train WHERE {c} IS NOT NULL"
+                                  for c in _NUMERIC)
+_MODES = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM train WHERE {c} IS NOT NULL GROUP BY 2"
+    for c in _CATEGORICAL)
+
+SQL.update({
+    "split_assignment": _panel("""
+SELECT product_key, store_id, customer_key, salesperson_key, year_num, month_num, split FROM splitted""", split=True),
+    "impute_median_mode": _panel(f"""
+SELECT feature, 'median' AS strategy, avg(x) AS median_value, CAST(NULL AS VARCHAR) AS mode_value
+FROM (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS r,
+             count(*) OVER (PARTITION BY feature) AS n
+      FROM ({_MEDIANS}) m) r
+WHERE r = floor((n - 1) / 2) OR r = ceil((n - 1) / 2)
+GROUP BY feature
+UNION ALL
+SELECT feature, 'most_frequent', CAST(NULL AS DOUBLE), first(v ORDER BY n DESC, v) FROM ({_MODES}) c GROUP BY feature""",
+                                 split=True),
+    "regression_metrics": _panel("""
+SELECT split, count(*) AS n, CAST(sum(abs(e)) AS DOUBLE) / count(*) AS mae,
+       sqrt(CAST(sum(CAST(e AS DECIMAL(20,6)) * e) AS DOUBLE) / count(*)) AS rmse,
+       CASE WHEN CAST(sum(CAST(yd AS DECIMAL(20,6)) * yd) AS DOUBLE) - CAST(sum(yd) AS DOUBLE) * CAST(sum(yd) AS DOUBLE) / count(*) = 0
+            THEN NULL
+            ELSE 1 - CAST(sum(CAST(e AS DECIMAL(20,6)) * e) AS DOUBLE)
+                     / (CAST(sum(CAST(yd AS DECIMAL(20,6)) * yd) AS DOUBLE) - CAST(sum(yd) AS DOUBLE) * CAST(sum(yd) AS DOUBLE) / count(*))
+       END AS r2
+FROM (SELECT split, CAST(next_period_net_sales AS DECIMAL(16,6)) AS yd,
+             CAST(CAST(next_period_net_sales AS DECIMAL(16,6)) - CAST(rolling_avg_sales_3m AS DECIMAL(16,6))
+                  AS DECIMAL(16,6)) AS e
+      FROM splitted WHERE next_period_net_sales IS NOT NULL AND rolling_avg_sales_3m IS NOT NULL) t
+GROUP BY split""", split=True),
+    "importance_shares": _panel(_SHARES + "\nSELECT * FROM shares", split=True),
+    "coverage_selection": _panel(_SHARES + """
+SELECT raw_feature, mean_abs_shap, importance_share, cumulative_importance_share, rank FROM (
+  SELECT *, coalesce(lag(cumulative_importance_share) OVER (ORDER BY rank), 0.0) AS prev,
+         max(mean_abs_shap) OVER () AS mx
+  FROM shares) s
+WHERE CASE WHEN mx = 0 THEN rank <= 10 ELSE prev < 0.95 END""", split=True),
+    "product_store_summary": _panel(f"""
+SELECT product_key_display, product_category_name, product_subcategory_name, product_model_name,
+       store_id_display, customer_key_display, territory_id_display,
+       {_EXACT_MEAN.format(c='current_month_net_sales')} AS avg_monthly_sales,
+       count(current_month_net_sales) AS historical_records,
+       {", ".join(_EXACT_MEAN.format(c=c) + f" AS avg_{c}" for c in _OPTIONAL)},
+       concat_ws(' | ', {_cm('product_model_name')}, {_cm('product_key_display')}, {_cm('store_id_display')},
+                 {_cm('customer_key_display')}) AS combination_label
+FROM (SELECT *, {_DISPLAY} FROM engineered) d
+GROUP BY product_key_display, product_category_name, product_subcategory_name, product_model_name,
+         store_id_display, customer_key_display, territory_id_display"""),
+    "lookup_labels": _panel(f"""
+SELECT 'product_key' AS feature, label, max(id) AS id
+FROM (SELECT DISTINCT product_key_display AS label, product_key AS id FROM (SELECT *, {_DISPLAY} FROM engineered) d
+      WHERE product_key IS NOT NULL) p GROUP BY label
+UNION ALL
+SELECT 'store_id', label, max(id)
+FROM (SELECT DISTINCT store_id_display AS label, store_id AS id FROM (SELECT *, {_DISPLAY} FROM engineered) d
+      WHERE store_id IS NOT NULL) s GROUP BY label"""),
+    "request_normalise": _panel("""
+SELECT concat_ws('|', product_key, store_id, customer_key, salesperson_key, year_num, month_num) AS request_id,
+       product_key, store_id, month_num, current_month_net_sales, current_month_gross_sales,
+       current_month_discount_amount, current_month_margin_amount, previous_month_sales,
+       CAST(ceil(CAST(month_num AS DOUBLE) / 3) AS INTEGER) AS quarter_num,
+       CASE WHEN CAST(ceil(CAST(month_num AS DOUBLE) / 3) AS INTEGER) = 4 THEN 1 ELSE 0 END AS is_q4,
+       CASE WHEN month_num IN (11, 12) THEN 1 ELSE 0 END AS is_year_end_season,
+       CASE WHEN month_num IN (6, 7) THEN 1 ELSE 0 END AS is_mid_year,
+       sin(2 * pi() * CAST(month_num AS DOUBLE) / 12) AS month_sin,
+       cos(2 * pi() * CAST(month_num AS DOUBLE) / 12) AS month_cos,
+       CASE WHEN current_month_gross_sales = 0 THEN 0.0
+            ELSE current_month_discount_amount / current_month_gross_sales END AS discount_percentage,
+       CASE WHEN current_month_net_sales = 0 THEN 0.0
+            ELSE current_month_margin_amount / current_month_net_sales END AS product_profitability_ratio,
+       CASE WHEN previous_month_sales = 0 THEN 0.0
+            ELSE (current_month_net_sales - previous_month_sales) / previous_month_sales END
+         AS sales_growth_previous_period
+FROM engineered"""),
+})

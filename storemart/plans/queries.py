@@ -10,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..operators import drift as DR
+from ..operators import explorer as X
+from ..operators import importance as IM
+from ..operators import monitoring as MO
+from ..operators import requests as RQ
+from ..operators.keys import dense_number
 from ..operators import integrity as I
 from ..operators import panel as P
 from ..operators import quality as Q
@@ -211,6 +217,185 @@ def fingerprint_summary(spark, sf_dir):
     return I.verify_summary(I.verify(tampered_fact(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- monitoring (events as the log)
+
+# The log's reference side is before this instant, production from it.
+DRIFT_CUT = "2024-01-16 00:00:00"
+DRIFT_NUMERIC = ["value", "user_id", "k"]
+DRIFT_CATEGORICAL = ["event_type", "day_name"]
+
+
+def _log(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return MO.with_log_defaults(MO.prediction_log_from_events(ev))
+
+
+def model_summary(spark, sf_dir):
+    return MO.model_summary(_log(spark, sf_dir))
+
+
+def log_kpis(spark, sf_dir):
+    return MO.log_kpis(_log(spark, sf_dir))
+
+
+def requests_per_model(spark, sf_dir):
+    return MO.requests_per_model(_log(spark, sf_dir))
+
+
+def ab_success_count(spark, sf_dir):
+    return MO.ab_success_count(_log(spark, sf_dir))
+
+
+def prediction_trend_pivot(spark, sf_dir):
+    return MO.prediction_trend(_log(spark, sf_dir))
+
+
+def latest_predictions(spark, sf_dir):
+    return MO.latest_rows(_log(spark, sf_dir), 20)
+
+
+def ab_assignment(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    m = F.create_map(*[x for k, v in MO.EVENT_MODEL.items() for x in (F.lit(k), F.lit(v))])
+    req = ev.select("event_id", m[F.col("event_type")].alias("explicit_model_key"))
+    return MO.assign_arms(req, "explicit_model_key", "event_id", offset=0)
+
+
+def _drift_sides(spark, sf_dir):
+    log = _log(spark, sf_dir).withColumn("model", F.col("model_key"))
+    cut = F.lit(DRIFT_CUT).cast("timestamp")
+    return log.where(F.col("timestamp") < cut), log.where(F.col("timestamp") >= cut)
+
+
+def numeric_drift_d(spark, sf_dir):
+    ref, prod = _drift_sides(spark, sf_dir)
+    return DR.numeric_stats(DR.numeric_long(ref, prod, DRIFT_NUMERIC))
+
+
+def categorical_drift(spark, sf_dir):
+    ref, prod = _drift_sides(spark, sf_dir)
+    return DR.categorical_drift(ref, prod, DRIFT_CATEGORICAL)
+
+
+def combined_drift(spark, sf_dir):
+    ref, prod = _drift_sides(spark, sf_dir)
+    return DR.drift_table(ref, prod, DRIFT_NUMERIC + DRIFT_CATEGORICAL)
+
+
+def numeric_drift_p(spark, sf_dir):
+    ref, prod = _drift_sides(spark, sf_dir)
+    return DR.numeric_drift(DR.numeric_stats(DR.numeric_long(ref, prod, DRIFT_NUMERIC)))
+
+
+def drift_feature_counts(spark, sf_dir):
+    return DR.drift_counts(combined_drift(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- training table, importance, explorer
+
+def _features(spark, sf_dir):
+    return P.engineered_features(_wh(spark, sf_dir))
+
+
+def split_assignment(spark, sf_dir):
+    return P.assign_split(_features(spark, sf_dir)).select(*P.SPLIT_KEY, "split")
+
+
+def _train(spark, sf_dir):
+    return P.assign_split(_features(spark, sf_dir)).where(F.col("split") == "train")
+
+
+def _numeric_features(df):
+    from pyspark.sql.types import NumericType
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in P.feature_columns(df) if c in types and isinstance(types[c], NumericType)]
+
+
+def impute_median_mode(spark, sf_dir):
+    """Exact medians of numeric features and most frequent value (ties → smallest) of
+    categorical features over the training rows (M05, M06); medians are found by a
+    distributed sort (global positions), not by collecting a feature's values."""
+    train = _train(spark, sf_dir)
+    num = _numeric_features(train)
+    long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
+                                            for c in num])).alias("s")).select("s.*").where(F.col("x").isNotNull())
+    pos = dense_number(long, ["feature", "x"], "_g")
+    stats = pos.groupBy("feature").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    r = pos.join(stats, "feature").withColumn("_r", F.col("_g") - F.col("_start"))
+    lo = F.floor((F.col("_n") - 1) / 2)
+    hi = F.ceil((F.col("_n") - 1) / 2)
+    med = r.where((F.col("_r") == lo) | (F.col("_r") == hi)).groupBy("feature").agg(
+        F.avg("x").alias("median_value"))
+    cats = [c for c in P.CATEGORICAL_FEATURES if c in train.columns]
+    cl = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
+                                          for c in cats])).alias("s")).select("s.*").where(F.col("v").isNotNull())
+    mode = cl.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(
+        F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v"))).alias("mode_value"))
+    return med.select("feature", F.lit("median").alias("strategy"), "median_value",
+                      F.lit(None).cast("string").alias("mode_value")).unionByName(
+        mode.select("feature", F.lit("most_frequent").alias("strategy"),
+                    F.lit(None).cast("double").alias("median_value"), "mode_value"))
+
+
+def regression_metrics(spark, sf_dir):
+    """MAE, RMSE, R² per split (A26) of the persistence forecast (rolling 3-month
+    mean); the trained models report the same metrics on their predictions."""
+    from ..ml import evaluate
+    d = P.assign_split(_features(spark, sf_dir))
+    return evaluate.metrics_by_split(d, P.TARGET, "rolling_avg_sales_3m")
+
+
+def _attribution(spark, sf_dir):
+    train = _train(spark, sf_dir)
+    num = [c for c in _numeric_features(train)]
+    cats = [c for c in P.CATEGORICAL_FEATURES if c in train.columns]
+    return IM.linear_attribution(train, num, cats, P.TARGET)
+
+
+def importance_shares(spark, sf_dir):
+    return IM.shares(IM.group_to_raw(_attribution(spark, sf_dir)))
+
+
+def coverage_selection(spark, sf_dir):
+    return IM.select_by_coverage(importance_shares(spark, sf_dir), IM.DEFAULT_COVERAGE)
+
+
+def product_store_summary(spark, sf_dir):
+    return X.product_store_summary(_features(spark, sf_dir))
+
+
+def lookup_labels(spark, sf_dir):
+    ref = _features(spark, sf_dir)
+    return X.lookup_options(ref, "product_key").unionByName(X.lookup_options(ref, "store_id"))
+
+
+# Request columns of the round-trip check and the shape per quarter.
+REQUEST_COLUMNS = ["product_key", "store_id", "month_num", "current_month_net_sales",
+                   "current_month_gross_sales", "current_month_discount_amount",
+                   "current_month_margin_amount", "previous_month_sales"]
+REQUEST_DDL = ("product_key long, store_id long, month_num int, current_month_net_sales double, "
+               "current_month_gross_sales double, current_month_discount_amount double, "
+               "current_month_margin_amount double, previous_month_sales double")
+
+
+def request_bodies(spark, sf_dir):
+    """One request per training-table row, in the four accepted JSON shapes (by quarter)."""
+    f = _features(spark, sf_dir)
+    rid = F.concat_ws("|", *[F.col(c).cast("string") for c in P.SPLIT_KEY])
+    rec = F.struct(*[F.col(c) for c in REQUEST_COLUMNS])
+    split = F.to_json(F.struct(F.array(*[F.lit(c) for c in REQUEST_COLUMNS]).alias("columns"),
+                               F.array(F.array(*[F.col(c).cast("string") for c in REQUEST_COLUMNS])).alias("data")))
+    body = F.when(F.col("quarter_num") == 1, split) \
+        .when(F.col("quarter_num") == 2, F.to_json(F.struct(F.array(rec).alias("data")))) \
+        .when(F.col("quarter_num") == 3, F.to_json(F.array(rec))).otherwise(F.to_json(rec))
+    return f.select(rid.alias("request_id"), body.alias("body"))
+
+
+def request_normalise(spark, sf_dir):
+    recs = RQ.normalise_requests(request_bodies(spark, sf_dir), "body", REQUEST_DDL)
+    return RQ.derive_features(recs).drop("record_index")
+
+
 REGISTRY = {
     "star_mart_denormalised": star_mart_denormalised,
     "dim_time_build": dim_time_build,
@@ -234,6 +419,26 @@ REGISTRY = {
     "fingerprints": fingerprints,
     "fingerprint_verify": fingerprint_verify,
     "fingerprint_summary": fingerprint_summary,
+    "model_summary": model_summary,
+    "log_kpis": log_kpis,
+    "requests_per_model": requests_per_model,
+    "ab_success_count": ab_success_count,
+    "prediction_trend_pivot": prediction_trend_pivot,
+    "latest_predictions": latest_predictions,
+    "ab_assignment": ab_assignment,
+    "numeric_drift_d": numeric_drift_d,
+    "categorical_drift": categorical_drift,
+    "combined_drift": combined_drift,
+    "numeric_drift_p": numeric_drift_p,
+    "drift_feature_counts": drift_feature_counts,
+    "split_assignment": split_assignment,
+    "impute_median_mode": impute_median_mode,
+    "regression_metrics": regression_metrics,
+    "importance_shares": importance_shares,
+    "coverage_selection": coverage_selection,
+    "product_store_summary": product_store_summary,
+    "lookup_labels": lookup_labels,
+    "request_normalise": request_normalise,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,
