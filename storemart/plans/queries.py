@@ -294,15 +294,16 @@ def drift_feature_counts(spark, sf_dir):
 # ---------------------------------------------------------------- training table, importance, explorer
 
 def _features(spark, sf_dir):
-    return P.engineered_features(_wh(spark, sf_dir))
+    """The materialised training table (engineered features + split)."""
+    return catalog.model_dataset(spark, sf_dir)
 
 
 def split_assignment(spark, sf_dir):
-    return P.assign_split(_features(spark, sf_dir)).select(*P.SPLIT_KEY, "split")
+    return P.assign_split(P.engineered_features(_wh(spark, sf_dir))).select(*P.SPLIT_KEY, "split")
 
 
 def _train(spark, sf_dir):
-    return P.assign_split(_features(spark, sf_dir)).where(F.col("split") == "train")
+    return _features(spark, sf_dir).where(F.col("split") == "train")
 
 
 def _numeric_features(df):
@@ -341,8 +342,7 @@ def regression_metrics(spark, sf_dir):
     """MAE, RMSE, R² per split (A26) of the persistence forecast (rolling 3-month
     mean); the trained models report the same metrics on their predictions."""
     from ..ml import evaluate
-    d = P.assign_split(_features(spark, sf_dir))
-    return evaluate.metrics_by_split(d, P.TARGET, "rolling_avg_sales_3m")
+    return evaluate.metrics_by_split(_features(spark, sf_dir), P.TARGET, "rolling_avg_sales_3m")
 
 
 def _attribution(spark, sf_dir):
@@ -361,11 +361,11 @@ def coverage_selection(spark, sf_dir):
 
 
 def product_store_summary(spark, sf_dir):
-    return X.product_store_summary(_features(spark, sf_dir))
+    return X.product_store_summary(_features(spark, sf_dir).drop("split"))
 
 
 def lookup_labels(spark, sf_dir):
-    ref = _features(spark, sf_dir)
+    ref = _features(spark, sf_dir).drop("split")
     return X.lookup_options(ref, "product_key").unionByName(X.lookup_options(ref, "store_id"))
 
 

@@ -53,3 +53,19 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict:
             W.backfill(spark, src, root, base=TESTDATA_BASE, max_period=None)
             _done[key] = root
     return W.open_warehouse(spark, root)
+
+
+def model_dataset(spark: SparkSession, sf_dir: str):
+    """The training table (panel + target + features + split column), written once per
+    session as Parquet; model training, importance, imputation and the explorer read it
+    like the reference reads its extracted dataset."""
+    from ..operators import panel as P
+    key = (id(spark), sf_dir, "model")
+    wh = warehouse(spark, sf_dir)
+    with _lock:
+        root = _done.get(key)
+        if root is None:
+            root = _root(spark, sf_dir, "model")
+            P.assign_split(P.engineered_features(wh)).write.mode("overwrite").parquet(root)
+            _done[key] = root
+    return spark.read.parquet(root)
