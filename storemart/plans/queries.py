@@ -396,6 +396,61 @@ def request_normalise(spark, sf_dir):
     return RQ.derive_features(recs).drop("record_index")
 
 
+# ---------------------------------------------------------------- forecasting models (no SQL oracle)
+
+def linear_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.forecast(spark, sf_dir, "linear_regression")
+
+
+def ridge_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.forecast(spark, sf_dir, "ridge_regression")
+
+
+def forest_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.forecast(spark, sf_dir, "random_forest")
+
+
+def boosting_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.forecast(spark, sf_dir, "gradient_boosting")
+
+
+def tree_attribution(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.grouped_importance(spark, sf_dir, "gradient_boosting")
+
+
+def reduced_boosting_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    from ..ml import train as TR
+    return TR.predictions(ML.reduced(spark, sf_dir, "gradient_boosting"), ML.dataset(spark, sf_dir))
+
+
+def model_comparison(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.comparison(spark, sf_dir)
+
+
+def runs_table(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.runs(spark, sf_dir)
+
+
+def best_run(spark, sf_dir):
+    from ..ml import pipeline as ML
+    from ..ml import train as TR
+    r = ML.runs(spark, sf_dir)
+    return TR.best_run(r, "gradient_boosting").unionByName(TR.best_run(r, "random_forest"))
+
+
+def ab_scored_log(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.ab_scored_log(spark, sf_dir)
+
+
 REGISTRY = {
     "star_mart_denormalised": star_mart_denormalised,
     "dim_time_build": dim_time_build,
@@ -439,6 +494,16 @@ REGISTRY = {
     "product_store_summary": product_store_summary,
     "lookup_labels": lookup_labels,
     "request_normalise": request_normalise,
+    "linear_forecast": linear_forecast,
+    "ridge_forecast": ridge_forecast,
+    "forest_forecast": forest_forecast,
+    "boosting_forecast": boosting_forecast,
+    "tree_attribution": tree_attribution,
+    "reduced_boosting_forecast": reduced_boosting_forecast,
+    "model_comparison": model_comparison,
+    "runs_table": runs_table,
+    "best_run": best_run,
+    "ab_scored_log": ab_scored_log,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,

@@ -50,6 +50,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_shipped: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (pandas UDFs, mapInPandas):
+    zip it once and register it with ``addPyFile`` (what ``--py-files`` does at submit)."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _shipped:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="storemart-py-"), "storemart.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _shipped.add(key)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to an existing session."""
     for k, v in REQUIRED_CONF.items():
@@ -58,6 +82,7 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static on some deployments; then it was set at submit
             pass
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
