@@ -129,15 +129,15 @@ def assign_arms(requests: DataFrame, explicit_col: str, order_col: str, offset:
                 models: list = MODEL_ORDER) -> DataFrame:
     """Round-robin model assignment (W08): explicit keys win; implicit requests take
     models[(offset + i) mod n] in arrival order, numbered without a global window."""
-    unknown = F.col(explicit_col).isNotNull() & ~F.col(explicit_col).isin(models)
-    checked = requests.withColumn(
-        "_chk", F.when(unknown, F.raise_error(F.lit("Requested model_key is not loaded.")))).drop("_chk")
-    implicit = checked.where(F.col(explicit_col).isNull())
-    explicit = checked.where(F.col(explicit_col).isNotNull())
+    unknown = ~F.col(explicit_col).isin(models)
+    implicit = requests.where(F.col(explicit_col).isNull())
+    # the check is part of the output column, so it cannot be pruned away
+    explicit = requests.where(F.col(explicit_col).isNotNull()).withColumn(
+        "model_key", F.when(unknown, F.raise_error(F.lit("Requested model_key is not loaded.")).cast("string"))
+        .otherwise(F.col(explicit_col)))
     arr = F.array(*[F.lit(m) for m in models])
     numbered = dense_number(implicit, [order_col], "_i", start=0)
     implicit_out = numbered.withColumn(
         "model_key", F.element_at(arr, (F.pmod(F.col("_i") + offset, F.lit(len(models))) + 1).cast("int"))) \
         .drop("_i")
-    return reduce(DataFrame.unionByName,
-                  [explicit.withColumn("model_key", F.col(explicit_col)), implicit_out])
+    return reduce(DataFrame.unionByName, [explicit, implicit_out])
