@@ -475,3 +475,13 @@ SELECT concat_ws('|', product_key, store_id, customer_key, salesperson_key, year
          AS sales_growth_previous_period
 FROM engineered"""),
 })
+
+SQL.update({
+    "streaming_fingerprints": SQL["fingerprints"],
+    "streaming_log_monitor": _log("""
+SELECT time_bucket(INTERVAL 1 DAY, timestamp) AS window_start,
+       time_bucket(INTERVAL 1 DAY, timestamp) + INTERVAL 1 DAY AS window_end, model_key,
+       count(*) AS requests,
+       CAST(sum(CAST(predicted_next_period_net_sales AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS avg_prediction
+FROM log GROUP BY 1, 2, 3"""),
+})

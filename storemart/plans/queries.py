@@ -451,6 +451,21 @@ def ab_scored_log(spark, sf_dir):
     return ML.ab_scored_log(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- streaming forms
+
+def streaming_fingerprints(spark, sf_dir):
+    """Fingerprints stamped by a file stream over the fact table (availableNow)."""
+    from ..streaming import jobs as SJ
+    _wh(spark, sf_dir)
+    return SJ.run_fingerprint_stream(spark, catalog.warehouse_path(spark, sf_dir, "fact_store_sales"))
+
+
+def streaming_log_monitor(spark, sf_dir):
+    """Daily requests and mean prediction per model from the log stream with a watermark."""
+    from ..streaming import jobs as SJ
+    return SJ.run_log_monitor(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+
+
 REGISTRY = {
     "star_mart_denormalised": star_mart_denormalised,
     "dim_time_build": dim_time_build,
@@ -504,6 +519,8 @@ REGISTRY = {
     "runs_table": runs_table,
     "best_run": best_run,
     "ab_scored_log": ab_scored_log,
+    "streaming_fingerprints": streaming_fingerprints,
+    "streaming_log_monitor": streaming_log_monitor,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,

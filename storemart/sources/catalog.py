@@ -69,3 +69,8 @@ def model_dataset(spark: SparkSession, sf_dir: str):
             P.assign_split(P.engineered_features(wh)).write.mode("overwrite").parquet(root)
             _done[key] = root
     return spark.read.parquet(root)
+
+
+def warehouse_path(spark: SparkSession, sf_dir: str, table: str) -> str:
+    warehouse(spark, sf_dir)
+    return f"{_done[(id(spark), sf_dir, 'wh')]}/{table}"
