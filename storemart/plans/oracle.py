@@ -485,3 +485,50 @@ SELECT time_bucket(INTERVAL 1 DAY, timestamp) AS window_start,
        CAST(sum(CAST(predicted_next_period_net_sales AS DECIMAL(38,6))) AS DOUBLE) / count(*) AS avg_prediction
 FROM log GROUP BY 1, 2, 3"""),
 })
+
+_DESCRIBE_COLS = ['current_month_order_qty', 'current_month_net_sales', 'current_month_margin_amount', 'avg_unit_price', 'number_of_orders', 'previous_month_sales', 'rolling_avg_sales_3m', 'discount_percentage', 'next_period_net_sales']
+_DESC_LONG = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM splitted WHERE {c} IS NOT NULL" for c in _DESCRIBE_COLS)
+
+
+def _quart(q: float, name: str) -> str:
+    return f"""
+q_{name} AS (
+  SELECT column_name, min(x) + (max(x) - min(x)) * first(f) AS {name} FROM (
+    SELECT column_name, x, (n - 1) * {q} - floor((n - 1) * {q}) AS f
+    FROM ranked WHERE r = floor((n - 1) * {q}) OR r = ceil((n - 1) * {q})) t GROUP BY column_name)"""
+
+
+_SUMMARY_SQL = SQL["product_store_summary"]
+_SUMMARY_BODY = _SUMMARY_SQL[_SUMMARY_SQL.index("SELECT product_key_display, product_category_name"):]
+_SUMMARY_PREFIX = _SUMMARY_SQL[: _SUMMARY_SQL.index("SELECT product_key_display, product_category_name")].rstrip()
+
+SQL.update({
+    "column_describe": _panel(f""", desc_long AS (
+  {_DESC_LONG}),
+ranked AS (
+  SELECT column_name, x, row_number() OVER (PARTITION BY column_name ORDER BY x) - 1 AS r,
+         count(*) OVER (PARTITION BY column_name) AS n
+  FROM desc_long),
+stats AS (
+  SELECT column_name, count(*) AS count, avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min, max(x) AS max
+  FROM desc_long GROUP BY column_name),{_quart(0.25, "q25")},{_quart(0.5, "q50")},{_quart(0.75, "q75")}
+SELECT s.column_name, s.count, s.mean, s.std, s.min, q_q25.q25, q_q50.q50, q_q75.q75, s.max
+FROM stats s JOIN q_q25 USING (column_name) JOIN q_q50 USING (column_name) JOIN q_q75 USING (column_name)""",
+                              split=True).replace("WITH ", "WITH ", 1).replace("\n, desc_long", ",\ndesc_long"),
+    "split_sizes": _panel("""
+SELECT split, count(*) AS rows, 41 AS feature_count FROM splitted GROUP BY split""", split=True),
+    "table_preview_fact": with_ctes("SELECT * FROM fact_store_sales ORDER BY fact_store_sales_key LIMIT 10"),
+    "explorer_kpis": _SUMMARY_PREFIX + ",\nsummary AS (" + _SUMMARY_BODY + """)
+SELECT sum(historical_records) AS historical_rows, count(*) AS combinations,
+       CAST(sum(CAST(avg_monthly_sales AS DECIMAL(38,6))) AS DOUBLE) / count(avg_monthly_sales) AS mean_avg_monthly_sales
+FROM summary""",
+    "explorer_top20": _SUMMARY_PREFIX + ",\nsummary AS (" + _SUMMARY_BODY + """)
+SELECT * FROM summary ORDER BY avg_monthly_sales DESC, combination_label, territory_id_display LIMIT 20""",
+    "feature_options": _panel("""
+SELECT DISTINCT 'product_category_name' AS feature, CAST(product_category_name AS VARCHAR) AS option FROM engineered WHERE product_category_name IS NOT NULL
+UNION ALL SELECT DISTINCT 'product_subcategory_name', CAST(product_subcategory_name AS VARCHAR) FROM engineered WHERE product_subcategory_name IS NOT NULL
+UNION ALL SELECT DISTINCT 'color', CAST(color AS VARCHAR) FROM engineered WHERE color IS NOT NULL
+UNION ALL SELECT DISTINCT 'size', option FROM (SELECT CAST(size AS VARCHAR) AS option FROM engineered WHERE size IS NOT NULL UNION SELECT '') t
+UNION ALL SELECT DISTINCT 'weight', option FROM (SELECT CAST(weight AS VARCHAR) AS option FROM engineered WHERE weight IS NOT NULL UNION SELECT '') t"""),
+})

@@ -466,6 +466,69 @@ def streaming_log_monitor(spark, sf_dir):
     return SJ.run_log_monitor(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+# ---------------------------------------------------------------- profiles, explorer tables, previews
+
+DESCRIBE_COLUMNS = ["current_month_order_qty", "current_month_net_sales", "current_month_margin_amount",
+                    "avg_unit_price", "number_of_orders", "previous_month_sales", "rolling_avg_sales_3m",
+                    "discount_percentage", P.TARGET]
+
+
+def column_describe(spark, sf_dir):
+    """A12 over the training table."""
+    return Q.describe(_features(spark, sf_dir), DESCRIBE_COLUMNS)
+
+
+def split_sizes(spark, sf_dir):
+    """Rows per split and the feature count."""
+    f = _features(spark, sf_dir)
+    n_feat = len(P.feature_columns(f.drop("split")))
+    return f.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(n_feat))
+
+
+def table_preview_fact(spark, sf_dir):
+    """The first 10 fact rows by key (the preview is the feature)."""
+    return _wh(spark, sf_dir)["fact_store_sales"].orderBy("fact_store_sales_key").limit(10)
+
+
+def explorer_kpis(spark, sf_dir):
+    return X.explorer_kpis(product_store_summary(spark, sf_dir))
+
+
+def explorer_top20(spark, sf_dir):
+    """The 20 combinations with the highest mean monthly sales (ties by label)."""
+    s = product_store_summary(spark, sf_dir)
+    return s.orderBy(F.col("avg_monthly_sales").desc(), F.col("combination_label"), F.col("territory_id_display")) \
+        .limit(20)
+
+
+FEATURE_OPTION_COLUMNS = ["product_category_name", "product_subcategory_name", "color", "size", "weight"]
+
+
+def feature_options(spark, sf_dir):
+    """E02 over the training table."""
+    return X.option_values(_features(spark, sf_dir), FEATURE_OPTION_COLUMNS)
+
+
+def representative_records(spark, sf_dir):
+    """One representative record per explorer combination."""
+    ref = _features(spark, sf_dir).drop("split")
+    return X.representative_records(ref, X.product_store_summary(ref))
+
+
+def visible_features(spark, sf_dir):
+    """Visible inputs of the reduced boosting model with their importance."""
+    from ..ml import pipeline as ML
+    req = ML.selected_features(spark, sf_dir, "gradient_boosting")
+    imp = IM.normalise_importance(ML.grouped_importance(spark, sf_dir, "gradient_boosting"))
+    return IM.visible_feature_table(spark, req, imp)
+
+
+def feature_groups(spark, sf_dir):
+    """Visible features grouped by business area."""
+    return visible_features(spark, sf_dir).groupBy("group").agg(
+        F.array_sort(F.collect_list("feature")).alias("features"))
+
+
 REGISTRY = {
     "star_mart_denormalised": star_mart_denormalised,
     "dim_time_build": dim_time_build,
@@ -521,6 +584,15 @@ REGISTRY = {
     "ab_scored_log": ab_scored_log,
     "streaming_fingerprints": streaming_fingerprints,
     "streaming_log_monitor": streaming_log_monitor,
+    "column_describe": column_describe,
+    "split_sizes": split_sizes,
+    "table_preview_fact": table_preview_fact,
+    "explorer_kpis": explorer_kpis,
+    "explorer_top20": explorer_top20,
+    "feature_options": feature_options,
+    "representative_records": representative_records,
+    "visible_features": visible_features,
+    "feature_groups": feature_groups,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,
