@@ -73,3 +73,9 @@ def quarter_of_month(month) -> Column:
 def pct_of(num, den) -> Column:
     """100 × num / den as double (F20); callers filter den > 0 first."""
     return _c(num).cast("double") / _c(den).cast("double") * 100
+
+
+def inf_to_null(c) -> Column:
+    """±infinity → null (P19); the guarded ratios above never produce it."""
+    col = _c(c)
+    return F.when(F.abs(col) == float("inf"), F.lit(None).cast("double")).otherwise(col)

@@ -6,7 +6,7 @@ grouped aggregation that keeps null group keys, as the explorer does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -110,10 +110,23 @@ def representative_records(ref: DataFrame, summary: DataFrame) -> DataFrame:
         c = df[k].cast("string").eqNullSafe(s[f"_s_{k}"].cast("string"))
         cond = c if cond is None else cond & c
     j = df.join(s, cond, "inner")
-    w = Window.partitionBy(*[f"_s_{k}" for k in keys]).orderBy(F.col(metric).desc_nulls_last(), F.col("product_key"),
-                                                               F.col("customer_key"), F.col("year_num"),
-                                                               F.col("month_num"))
-    top = j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+    # top-1 per combination as a mergeable aggregate (highest metric, nulls last, then keys)
+    order = F.struct(F.col(metric).isNull().alias("_n"), (-F.col(metric)).alias("_m"), F.col("product_key"),
+                     F.col("customer_key"), F.col("year_num"), F.col("month_num"))
+    top = j.groupBy(*[f"_s_{k}" for k in keys]).agg(
+        F.min_by(F.struct(*[F.col(c) for c in j.columns]), order).alias("_r")).select("_r.*")
     repl = {c[len("avg_"):]: F.col(c) for c in summary.columns if c.startswith("avg_") and c[len("avg_"):] in df.columns}
-    drop = [c for c in top.columns if c.startswith("_s_") or c.startswith("avg_") or c == "_rn"]
+    drop = [c for c in top.columns if c.startswith("_s_") or c.startswith("avg_")]
     return top.withColumns(repl).drop(*drop)
+
+
+def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
+    """Missing or blank values replaced by per-feature defaults; absent features added
+    with their default (F39)."""
+    out = {}
+    for c, v in defaults.items():
+        if c in df.columns:
+            out[c] = F.coalesce(T.clean_missing(F.col(c)), F.lit(v).cast(dict(df.dtypes)[c]))
+        else:
+            out[c] = F.lit(v)
+    return df.withColumns(out)

@@ -101,3 +101,10 @@ def write_report(spark, verified: DataFrame, path: str, header: list | None = No
         out = hdr.unionByName(out)
     out.orderBy(F.col("fact_store_sales_key").asc_nulls_last()).select("value") \
         .write.mode("overwrite").text(path)
+
+
+def report_path(spark, folder: str) -> str:
+    """Report file name from the run time, 'yyyyMMddHHmm.log' (F37, S20)."""
+    from ..functions import dates as D
+    stamp = spark.range(1).select(D.run_stamp(F.current_timestamp())).first()[0]
+    return f"{folder.rstrip('/')}/{stamp}.log"

@@ -529,6 +529,11 @@ def feature_groups(spark, sf_dir):
         F.array_sort(F.collect_list("feature")).alias("features"))
 
 
+def null_counts_mart(spark, sf_dir):
+    """Null count of every mart column in one pass."""
+    return Q.null_counts(Q.star_mart(_wh(spark, sf_dir)))
+
+
 REGISTRY = {
     "star_mart_denormalised": star_mart_denormalised,
     "dim_time_build": dim_time_build,
@@ -593,6 +598,7 @@ REGISTRY = {
     "representative_records": representative_records,
     "visible_features": visible_features,
     "feature_groups": feature_groups,
+    "null_counts_mart": null_counts_mart,
     "engineered_features": engineered_features,
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,
