@@ -536,3 +536,8 @@ UNION ALL SELECT DISTINCT 'weight', option FROM (SELECT CAST(weight AS VARCHAR)
 _MART_COLS = ['fact_store_sales_key', 'sales_order_id', 'sales_order_detail_id', 'sales_order_number', 'customer_id', 'store_id', 'store_name', 'territory_id', 'product_id', 'product_name', 'product_subcategory_name', 'product_category_name', 'order_date', 'year_num', 'month_num', 'month_name', 'year_month', 'salesperson_id', 'salesperson_name', 'order_qty', 'unit_price', 'unit_price_discount', 'gross_amount', 'discount_amount', 'margin_amount', 'net_amount', 'header_subtotal', 'header_tax_amt', 'header_freight', 'header_total_due']
 SQL["null_counts_mart"] = _mart(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM mart" for c in _MART_COLS))
+
+SQL["lag_rolling_features"] = with_ctes("""
+SELECT product_key, store_id, customer_key, salesperson_key, year_num, month_num, current_month_net_sales,
+       previous_month_sales, rolling_avg_sales_3m, previous_month_margin, sales_growth_previous_period
+FROM engineered""", panel=True)

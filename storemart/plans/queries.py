@@ -46,6 +46,16 @@ def next_period_target(spark, sf_dir):
                     "current_month_net_sales", P.TARGET)
 
 
+LAG_COLUMNS = ["product_key", "store_id", "customer_key", "salesperson_key", "year_num", "month_num",
+               "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m", "previous_month_margin",
+               "sales_growth_previous_period"]
+
+
+def lag_rolling_features(spark, sf_dir):
+    """W02-W04 + F16: previous sales, leak-free 3-row mean, previous margin, growth."""
+    return P.engineered_features(_wh(spark, sf_dir)).select(*LAG_COLUMNS)
+
+
 def table_counts(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     parts = [wh[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
@@ -603,4 +613,5 @@ REGISTRY = {
     "monthly_panel": monthly_panel,
     "next_period_target": next_period_target,
     "table_counts": table_counts,
+    "lag_rolling_features": lag_rolling_features,
 }
