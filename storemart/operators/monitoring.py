@@ -112,7 +112,7 @@ def ab_success_count(log: DataFrame, loaded: list = MODEL_ORDER) -> DataFrame:
 def prediction_trend(log: DataFrame) -> DataFrame:
     """Timestamp × model display name, mean prediction (A22); values listed so no
     extra job discovers them."""
-    t = log.select(F.col("timestamp").cast("string").try_cast("timestamp").alias("timestamp"),
+    t = log.select(F.col("timestamp").cast("string").try_cast("timestamp_ntz").alias("timestamp"),
                    "model_display_name", F.col(PREDICTION).try_cast("double").alias("p")) \
         .where(F.col("timestamp").isNotNull() & F.col("p").isNotNull())
     names = list(MODEL_DISPLAY_NAMES.values()) + [LEGACY_DISPLAY]

@@ -520,7 +520,7 @@ FROM stats s JOIN q_q25 USING (column_name) JOIN q_q50 USING (column_name) JOIN
 SELECT split, count(*) AS rows, 41 AS feature_count FROM splitted GROUP BY split""", split=True),
     "table_preview_fact": with_ctes("SELECT * FROM fact_store_sales ORDER BY fact_store_sales_key LIMIT 10"),
     "explorer_kpis": _SUMMARY_PREFIX + ",\nsummary AS (" + _SUMMARY_BODY + """)
-SELECT sum(historical_records) AS historical_rows, count(*) AS combinations,
+SELECT CAST(sum(historical_records) AS BIGINT) AS historical_rows, count(*) AS combinations,
        CAST(sum(CAST(avg_monthly_sales AS DECIMAL(38,6))) AS DOUBLE) / count(avg_monthly_sales) AS mean_avg_monthly_sales
 FROM summary""",
     "explorer_top20": _SUMMARY_PREFIX + ",\nsummary AS (" + _SUMMARY_BODY + """)

@@ -12,14 +12,14 @@ _DDL = {
                    "weight_unit_measure_code string, weight decimal(8,2), standard_cost decimal(19,4), "
                    "list_price decimal(19,4), product_model_name string, "
                    "product_subcategory_name string, product_category_name string, "
-                   "sell_start_date timestamp, sell_end_date timestamp, discontinued_date timestamp",
+                   "sell_start_date timestamp_ntz, sell_end_date timestamp_ntz, discontinued_date timestamp_ntz",
     "dim_time": "time_key int, full_date date, day_of_month int, month_num int, month_name string, "
                 "quarter_num int, year_num int, week_of_year int, day_name string, is_weekend int",
     "dim_salesperson": "salesperson_key long, salesperson_id long, full_name string, title string, "
                        "sales_quota decimal(19,4), bonus decimal(19,4), commission_pct decimal(10,4), "
                        "sales_ytd decimal(19,4), sales_last_year decimal(19,4)",
     "raw_store_sales": "raw_store_sales_id long, sales_order_id long, sales_order_detail_id long, "
-                       "order_date timestamp, due_date timestamp, ship_date timestamp, status int, "
+                       "order_date timestamp_ntz, due_date timestamp_ntz, ship_date timestamp_ntz, status int, "
                        "sales_order_number string, purchase_order_number string, "
                        "account_number string, customer_id long, store_id long, store_name string, "
                        "salesperson_id long, territory_id long, product_id long, order_qty short, "

@@ -157,9 +157,9 @@ def product(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("product_model_id"),
         F.when(_has_category(), F.xxhash64(F.col("p_brand"), F.col("p_type")))
          .alias("product_subcategory_id"),
-        F.to_timestamp(F.lit(SELL_START)).alias("sell_start_date"),
-        F.lit(None).cast("timestamp").alias("sell_end_date"),
-        F.lit(None).cast("timestamp").alias("discontinued_date"),
+        F.lit(SELL_START).cast("timestamp_ntz").alias("sell_start_date"),
+        F.lit(None).cast("timestamp_ntz").alias("sell_end_date"),
+        F.lit(None).cast("timestamp_ntz").alias("discontinued_date"),
     )
 
 
