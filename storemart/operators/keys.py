@@ -29,12 +29,20 @@ _OFF = "_sm_off"
 _CNT = "_sm_n"
 
 
+def _ranged(df: DataFrame, cols: list, num_partitions: int | None) -> DataFrame:
+    """Range partitioning on the full key.  Without an explicit count AQE may merge
+    adjacent small ranges (order is kept), so small inputs do not become hundreds of
+    tiny files while large ones keep the configured parallelism."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *cols)
+    return df.repartitionByRange(*cols)
+
+
 def dense_number(df: DataFrame, order_cols: list, out_col: str, start: int | Column = 1,
                  num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = _ranged(df, order_cols, num_partitions).sortWithinPartitions(*order_cols)
     fixed = ranged.checkpoint(eager=True)
     tagged = fixed.withColumn(_PID, F.spark_partition_id()) \
         .withColumn(_MID, F.monotonically_increasing_id())
@@ -62,9 +70,8 @@ def running_sum(df: DataFrame, group_cols: list, order_cols: list, sum_cols: lis
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = list(group_cols) + list(order_cols)
-    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    fixed = _ranged(df, keys, num_partitions).sortWithinPartitions(*keys).checkpoint(eager=True)
     tagged = fixed.withColumn(_PID, F.spark_partition_id())
     inner = Window.partitionBy(_PID, *group_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, 0)
