@@ -87,7 +87,7 @@ def model_summary(log: DataFrame, model_keys: list = MODEL_ORDER) -> DataFrame:
         "model_key", display_name(F.col("model_key")).alias("model"),
         F.coalesce(F.col("requests"), F.lit(0)).cast("long").alias("requests"),
         "avg_predicted_sales", "latest_prediction",
-        F.lit(DEFAULT_METRIC).alias("mlflow_metric"), F.lit(None).cast("double").alias("mlflow_metric_value"))
+        F.lit(DEFAULT_METRIC).alias("tracked_metric"), F.lit(None).cast("double").alias("tracked_metric_value"))
 
 
 def log_kpis(log: DataFrame) -> DataFrame:

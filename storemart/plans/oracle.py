@@ -225,7 +225,7 @@ _EXACT_MEAN = "CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / count({c})"
 SQL.update({
     "model_summary": _log(f"""
 SELECT m.model_key, m.model, CAST(coalesce(a.requests, 0) AS BIGINT) AS requests, a.avg_predicted_sales,
-       a.latest_prediction, 'test_rmse' AS mlflow_metric, CAST(NULL AS DOUBLE) AS mlflow_metric_value
+       a.latest_prediction, 'test_rmse' AS tracked_metric, CAST(NULL AS DOUBLE) AS tracked_metric_value
 FROM (VALUES ('gradient_boosting', 'Gradient Boosting'), ('random_forest', 'Random Forest')) m(model_key, model)
 LEFT JOIN (
   SELECT model_key, count(*) AS requests,
