@@ -70,8 +70,13 @@ def _src(spark, sf_dir):
     return catalog.sources(spark, sf_dir)
 
 
-def _clean(spark, sf_dir):
-    return Q.cleanse(Q.star_mart(_wh(spark, sf_dir)))
+# Columns the descriptive reports read from the cleansed mart.
+REPORT_COLUMNS = ["store_name", "product_category_name", "salesperson_name", "gross_amount", "discount_amount",
+                  "margin_amount", "net_amount"]
+
+
+def _clean(spark, sf_dir, columns=None):
+    return Q.cleanse(Q.star_mart(_wh(spark, sf_dir)), columns)
 
 
 # ---------------------------------------------------------------- warehouse build
@@ -173,23 +178,23 @@ PROFILE_COLUMNS = ["sales_order_id", "store_name", "product_category_name", "ord
 
 
 def column_profile(spark, sf_dir):
-    return Q.quality_report(_clean(spark, sf_dir), PROFILE_COLUMNS)
+    return Q.quality_report(_clean(spark, sf_dir, PROFILE_COLUMNS), PROFILE_COLUMNS)
 
 
 def store_performance_top10(spark, sf_dir):
-    return A.store_performance(_clean(spark, sf_dir), 10)
+    return A.store_performance(_clean(spark, sf_dir, REPORT_COLUMNS), 10)
 
 
 def discount_profitability_top20(spark, sf_dir):
-    return A.discount_profitability(_clean(spark, sf_dir), 20)
+    return A.discount_profitability(_clean(spark, sf_dir, REPORT_COLUMNS), 20)
 
 
 def category_performance(spark, sf_dir):
-    return A.category_performance(_clean(spark, sf_dir), 10)
+    return A.category_performance(_clean(spark, sf_dir, REPORT_COLUMNS), 10)
 
 
 def salesperson_margin_top10(spark, sf_dir):
-    return A.salesperson_performance(_clean(spark, sf_dir), 10)
+    return A.salesperson_performance(_clean(spark, sf_dir, REPORT_COLUMNS), 10)
 
 
 def sales_by_month_store_person_top20(spark, sf_dir):
