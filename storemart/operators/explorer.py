@@ -104,7 +104,8 @@ def representative_records(ref: DataFrame, summary: DataFrame) -> DataFrame:
     df = with_display_columns(ref)
     metric = choose_metric(df.columns)
     keys = [c for c in SUMMARY_GROUPS if c in df.columns and c in summary.columns]
-    s = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[c for c in summary.columns if c.startswith("avg_")])
+    avgs = [c for c in summary.columns if c.startswith("avg_")]
+    s = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[F.col(c).alias(f"_a_{c}") for c in avgs])
     cond = None
     for k in keys:
         c = df[k].cast("string").eqNullSafe(s[f"_s_{k}"].cast("string"))
@@ -115,8 +116,9 @@ def representative_records(ref: DataFrame, summary: DataFrame) -> DataFrame:
                      F.col("customer_key"), F.col("year_num"), F.col("month_num"))
     top = j.groupBy(*[f"_s_{k}" for k in keys]).agg(
         F.min_by(F.struct(*[F.col(c) for c in j.columns]), order).alias("_r")).select("_r.*")
-    repl = {c[len("avg_"):]: F.col(c) for c in summary.columns if c.startswith("avg_") and c[len("avg_"):] in df.columns}
-    drop = [c for c in top.columns if c.startswith("_s_") or c.startswith("avg_")]
+    # every group mean replaces (or adds) the column it averages
+    repl = {c[len("avg_"):]: F.col(f"_a_{c}") for c in avgs}
+    drop = [c for c in top.columns if c.startswith("_s_") or c.startswith("_a_")]
     return top.withColumns(repl).drop(*drop)
 
 

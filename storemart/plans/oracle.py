@@ -355,7 +355,9 @@ _DISPLAY = f"""
        ELSE 'Store ' || store_id END AS store_id_display,
   CASE WHEN {_cm('store_name')} IS NOT NULL THEN {_cm('store_name')} || ' (Customer ' || customer_key || ')'
        ELSE 'Customer ' || customer_key END AS customer_key_display,
-  'Territory ' || territory_id AS territory_id_display"""
+  'Territory ' || territory_id AS territory_id_display,
+  CASE WHEN {_cm('salesperson_id')} IS NOT NULL THEN {_cm('salesperson_id')} || ' (Salesperson ' || salesperson_key || ')'
+       ELSE 'Salesperson ' || salesperson_key END AS salesperson_key_display"""
 
 _OPTIONAL = ["current_month_order_qty", "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m",
              "current_month_discount_amount", "current_month_gross_sales", "previous_month_margin"]
@@ -541,3 +543,21 @@ SQL["lag_rolling_features"] = with_ctes("""
 SELECT product_key, store_id, customer_key, salesperson_key, year_num, month_num, current_month_net_sales,
        previous_month_sales, rolling_avg_sales_3m, previous_month_margin, sales_growth_previous_period
 FROM engineered""", panel=True)
+
+_REP_KEYS = ["product_key_display", "product_category_name", "product_subcategory_name", "product_model_name",
+             "store_id_display", "customer_key_display", "territory_id_display"]
+_REP_REPLACE = ["current_month_order_qty", "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m",
+                "current_month_discount_amount", "current_month_gross_sales", "previous_month_margin"]
+_REP_ON = " AND ".join(f"CAST(d.{k} AS VARCHAR) IS NOT DISTINCT FROM CAST(s.{k} AS VARCHAR)" for k in _REP_KEYS)
+_REP_SUMMARY_COLS = ", ".join(f"s.avg_{c}" for c in _REP_REPLACE) + ", s.avg_monthly_sales"
+SQL["representative_records"] = _SUMMARY_PREFIX + _SPLIT_CTES + ",\nsummary AS (" + _SUMMARY_BODY + f"""),
+d AS (SELECT * EXCLUDE (split), {_DISPLAY} FROM splitted),
+ranked AS (
+  SELECT d.*, {_REP_SUMMARY_COLS},
+         row_number() OVER (PARTITION BY {", ".join("s." + k for k in _REP_KEYS)}
+                            ORDER BY d.current_month_net_sales DESC NULLS LAST, d.product_key, d.customer_key,
+                                     d.year_num, d.month_num) AS rn
+  FROM d JOIN summary s ON {_REP_ON})
+SELECT * EXCLUDE (rn, avg_monthly_sales, {", ".join("avg_" + c for c in _REP_REPLACE)})
+       REPLACE ({", ".join(f"avg_{c} AS {c}" for c in _REP_REPLACE)}), avg_monthly_sales AS monthly_sales
+FROM ranked WHERE rn = 1"""

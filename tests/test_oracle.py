@@ -33,5 +33,5 @@ def test_every_query_has_oracle_or_is_listed_rows_only():
                          "ridge_forecast", "forest_forecast", "boosting_forecast", "tree_attribution",
                          "reduced_boosting_forecast", "model_comparison", "runs_table", "best_run",
                          "ab_scored_log", "streaming_incremental_load", "streaming_log_monitor",
-                         "streaming_fingerprints", "representative_records", "visible_features",
+                         "streaming_fingerprints", "visible_features",
                          "feature_groups"}
