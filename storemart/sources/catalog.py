@@ -36,8 +36,14 @@ def sources(spark: SparkSession, sf_dir: str) -> dict:
         root = _done.get(key)
         if root is None:
             root = _root(spark, sf_dir, "src")
-            for name, df in testdata.source_frames(spark, sf_dir).items():
-                df.write.mode("overwrite").parquet(f"{root}/{name}")
+            frames = testdata.source_frames(spark, sf_dir)
+            # independent tables: written as concurrent Spark jobs from a few driver threads
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                futures = [pool.submit(df.write.mode("overwrite").parquet, f"{root}/{name}")
+                           for name, df in frames.items()]
+                for f in futures:
+                    f.result()
             _done[key] = root
     return {name: spark.read.parquet(f"{root}/{name}") for name in testdata.SOURCE_BUILDERS}
 
