@@ -271,14 +271,19 @@ def _numbered_dim(rows: DataFrame, id_col: str, key_col: str, cols: list, start:
 
 def build_dimensions(src: dict, base: str = BASE_PERIOD_START, max_period: int | None = None) -> dict:
     start, end = _all_periods(base, max_period)
-    cust = _numbered_dim(customer_rows(src, start, end, base), "customer_id", "customer_key",
-                         DIM_CUSTOMER_COLS)
-    prod = _numbered_dim(product_rows(src, start, end, base), "product_id", "product_key",
-                         DIM_PRODUCT_COLS)
-    tim = time_rows(src, start, end)
     sp_rows = salesperson_rows(src, start, end, base) \
         .where(F.col("salesperson_id") != UNKNOWN_SALESPERSON_ID)
-    sp = _numbered_dim(sp_rows, "salesperson_id", "salesperson_key", DIM_SALESPERSON_COLS, start=2)
+    # the three numberings are independent jobs (each checkpoints its input): run them concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        f_cust = pool.submit(_numbered_dim, customer_rows(src, start, end, base), "customer_id",
+                             "customer_key", DIM_CUSTOMER_COLS)
+        f_prod = pool.submit(_numbered_dim, product_rows(src, start, end, base), "product_id",
+                             "product_key", DIM_PRODUCT_COLS)
+        f_sp = pool.submit(_numbered_dim, sp_rows, "salesperson_id", "salesperson_key",
+                           DIM_SALESPERSON_COLS, 2)
+        cust, prod, sp = f_cust.result(), f_prod.result(), f_sp.result()
+    tim = time_rows(src, start, end)
     sp = unknown_salesperson(sp.sparkSession).unionByName(sp)
     return {"dim_store_customer": cust, "dim_product": prod, "dim_time": tim, "dim_salesperson": sp}
 
