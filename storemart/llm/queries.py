@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_llr
+from . import minhash_hamming, quality_llr
 from .common import table
 
 
@@ -16,5 +16,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.assess(docs, model).select("doc_id", "quality.*")
 
 
-REGISTRY = {f.__name__: f for f in (op8_quality_rules,)}
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document (four-word shingles, Jaccard 0.8 or more)."""
+    found = minhash_hamming.groups(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+REGISTRY = {f.__name__: f for f in (op8_quality_rules, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {}
