@@ -9,11 +9,12 @@ one-symbol-deleted variants: all pairs within 31 errors share at least one of 64
 Work is kept linear in the size of a bucket:
 
 1. documents with equal shingle sets collapse to one node (a 128-bit digest of the whole set);
-2. every node is held against one smallest member of its buckets, the nearest by signature, and
-   confirmed on the full sets; these links are contracted to components;
+2. every node is held against the nearest leader of its buckets (a bucket's most central member)
+   and confirmed on the full sets; these links are contracted to components;
 3. buckets that still hold several components are completed exactly: each member outside the
-   bucket's largest component is held against every member of another component.  Members of
-   one component need no further links, so a group of n near copies costs n pairs, not n squared.
+   bucket's largest component meets every member of another component, block by block, and only
+   confirmed links leave the task.  Members of one component need no further links, so a group of
+   n near copies costs n pairs, not n squared.
 
 Confirmation intersects the full sorted sets of 64-bit shingle hashes: 100 * |A and B| >= 80 * |A or B|.
 
@@ -41,6 +42,7 @@ SYMBOLS = 64
 CHUNK = 4
 CHUNKS = SYMBOLS // CHUNK
 MAX_ERRORS = 31
+BLOCK = 512
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
@@ -111,24 +113,23 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long, errors int"))
 
 
-def _full_sets(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, text_col: str, id_col: str) -> DataFrame:
-    """(node, shingles) of the nodes in ``pairs``: their texts are read and shingled again."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, shingle: int, text_col: str, id_col: str) -> DataFrame:
+    """(node, shingles) of the ``wanted`` nodes: their texts are read and shingled again."""
     def run(frames):
         for batch, sets, digests in _sets(frames, shingle):
             rows = [(n, s.tobytes()) for n, s, d, w in zip(batch.column("node").to_pylist(), sets, digests, batch.column("digest").to_pylist()) if d == w]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())],
                                              names=["node", "shingles"])
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(
-        nodes.select("node", "digest", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "node")
+    wanted = wanted.join(nodes.select("node", "digest", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "node")
     text = whole_text(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(text).alias("__hash"), text.alias("text"))
     found = texts.join(wanted, texts["__hash"].eqNullSafe(wanted["__hash"]) & texts["__id"].eqNullSafe(wanted["__id"]))
-    return found.select("node", "digest", "text").mapInArrow(run, "node long, shingles binary")
+    sets = found.select("node", "digest", "text").mapInArrow(run, "node long, shingles binary")
+    return materialise(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, percent: int,
-            text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     def run(frames):
         for pdf in frames:
@@ -139,33 +140,89 @@ def confirm(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle: int, p
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pdf.loc[ok, ["a", "b"]]
 
-    sets = materialise(_full_sets(docs, pairs, nodes, shingle, text_col, id_col).dropDuplicates(["node"]), "near-sets")
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-    links = materialise(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-                        .mapInPandas(run, "a long, b long"), "near-links")
-    forget(docs.sparkSession, sets)
-    return links
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
 
 
 def _first_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Each node with the nearest smallest member of its buckets."""
-    low = members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    pairs = members.join(low, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    near = _near(pairs, nodes)
-    return near.groupBy("b").agg(F.min(F.struct("errors", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
-
-
-def _open_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs of one bucket but different components that are within the signature distance."""
-    in_buckets = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
-    sizes = in_buckets.groupBy("key", "label").agg(F.count("*").alias("n"))
+    """Each node with the nearest leader of its buckets.  A bucket is led by its most central member,
+    the one that shares the most keys with others."""
+    central = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    lead = members.join(central, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("x")).select("key", F.col("x.node").alias("a"))
+    pairs = members.join(lead, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    return _near(pairs, nodes).groupBy("b").agg(F.min(F.struct("errors", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+
+
+def _open_meetings(members: DataFrame, labels: DataFrame) -> tuple:
+    """Who still has to meet whom, without writing pairs out: (node, label, block) puts every member
+    of a bucket with several components into one block of about ``BLOCK`` nodes, (node, block) names
+    the blocks that a node outside its bucket's largest component has to be held against."""
+    rows = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("label"))
+    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.count("*").alias("k")).where("k > 1").select(
         "key", F.col("x.label").alias("top"))
-    rows = materialise(in_buckets.join(top, "key"), "near-open")
-    few = rows.where("label <> top").select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
-    every = rows.select("key", F.col("node").alias("y"), F.col("label").alias("ly"))
-    pairs = few.join(every, "key").where("lx <> ly").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return _near(pairs, nodes).select("a", "b")
+    rows = materialise(rows.join(top, "key"), "near-open")
+    homes = rows.groupBy("node").agg(F.first("label").alias("label"), F.max(F.struct("n", "key")).alias("home"))
+    in_label = homes.groupBy("label").agg(F.count("*").alias("size"))
+    part = lambda size: F.pmod(F.xxhash64("node"), F.ceil(size / F.lit(BLOCK)))
+    # components are cut into blocks; lone nodes are put together by their largest bucket
+    blocks = homes.join(in_label, "label").select("node", "label", F.when(
+        F.col("size") > 1, F.xxhash64(F.lit("c"), "label", part(F.col("size")))).otherwise(
+        F.xxhash64(F.lit("b"), "home.key", part(F.col("home.n")))).alias("block"))
+    blocks = materialise(blocks, "near-blocks")
+    there = rows.select("key", "node").join(blocks.select("node", "block"), "node").select("key", "block").distinct()
+    meet = rows.where("label <> top").select("key", "node").join(there, "key").select("node", "block").distinct()
+    return blocks, materialise(meet, "near-meet"), rows
+
+
+def _meet(blocks: DataFrame, meet: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between the nodes of each block and the nodes that meet it.  Rows stream
+    in block order, the block's own members first, so a task holds one block and one batch at a time."""
+    def links(members, x_node, x_label, x_sig, x_set):
+        close = ((members["sig"] != x_sig).sum(axis=1) <= MAX_ERRORS) & (members["label"] != x_label)
+        if not close.any():
+            return
+        at = np.minimum(np.searchsorted(members["all"], x_set), len(members["all"]) - 1)
+        mark = np.zeros(len(members["all"]), bool)
+        mark[at[members["all"][at] == x_set]] = True
+        both = np.add.reduceat(mark[members["flat"]].astype(np.int64), members["start"])
+        ok = close & (100 * both >= percent * (members["size"] + len(x_set) - both))
+        seen = set()
+        for i in np.flatnonzero(ok):  # one link to each component is enough
+            if members["label"][i] not in seen:
+                seen.add(members["label"][i])
+                yield int(x_node), int(members["node"][i])
+
+    def table_of(rows):
+        arrays = [np.frombuffer(r[4], np.uint64) for r in rows]
+        every, flat = np.unique(np.concatenate(arrays), return_inverse=True)
+        size = np.array([len(a) for a in arrays])
+        return {"node": np.array([r[1] for r in rows]), "label": np.array([r[2] for r in rows]),
+                "sig": np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(-1, SYMBOLS),
+                "all": every, "flat": flat.reshape(-1), "size": size, "start": np.concatenate([[0], np.cumsum(size)[:-1]])}
+
+    def run(frames):
+        block, own, ready = None, [], None
+        for batch in frames:
+            found = []
+            cols = [batch.column(c).to_pylist() for c in ("block", "node", "label", "sig", "shingles", "guest")]
+            for row in zip(*cols):
+                if row[0] != block:
+                    block, own, ready = row[0], [], None
+                if not row[5]:
+                    own.append(row)
+                    continue
+                if ready is None:
+                    ready = table_of(own)
+                found.extend(links(ready, row[1], row[2], np.frombuffer(row[3], "<u2"), np.frombuffer(row[4], np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    facts = sets.join(nodes.select("node", "sig"), "node")
+    own = blocks.join(meet.select("block").distinct(), "block", "left_semi").withColumn("guest", F.lit(False))
+    guests = meet.join(blocks.select("node", "label"), "node").select("node", "label", "block", F.lit(True).alias("guest"))
+    rows = own.select("node", "label", "block", "guest").union(guests).join(facts, "node")
+    return (rows.select("block", "node", "label", "sig", "shingles", "guest").repartition("block")
+            .sortWithinPartitions("block", "guest").mapInArrow(run, "a long, b long"))
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,19 +237,23 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "
             F.min("sig").alias("sig"), F.min("n_shingles").alias("n_shingles"))
         .select("digest", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), "sig", "n_shingles",
                 F.monotonically_increasing_id().alias("node")), "near-nodes")
-    members = materialise(index_keys(nodes), "near-keys")
-    # buckets of one node join with nothing
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members, every = materialise(members.join(shared, "key"), "near-buckets"), members
-    forget(spark, every)
+    keys = materialise(index_keys(nodes), "near-keys")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")  # the others join with nothing
+    members = materialise(keys.join(shared, "key"), "near-buckets")
+    forget(spark, keys)
 
+    sets_of = lambda wanted: _full_sets(docs, wanted, nodes, shingle, text_col, id_col)
     first = materialise(_first_pairs(members, nodes), "near-first")
-    links = confirm(docs, first, nodes, shingle, percent, text_col, id_col)
+    sets = sets_of(first.select(F.col("a").alias("node")).union(first.select(F.col("b").alias("node"))).distinct())
+    links = materialise(confirm(first, sets, percent), "near-links")
     labels = materialise(components(links), "near-labels")
-    rest = materialise(_open_pairs(members, labels, nodes), "near-rest")
-    links = links.union(confirm(docs, rest, nodes, shingle, percent, text_col, id_col))
+    forget(spark, sets, first)
+
+    blocks, meet, rows_open = _open_meetings(members, labels)
+    sets = sets_of(blocks.select("node"))
+    links = links.union(_meet(blocks, meet, nodes, sets, percent))
     labels = materialise(components(links), "near-labels")
-    forget(spark, members)
+    forget(spark, members, rows_open, sets)
 
     named = nodes.join(labels, "node", "left").select("digest", "doc_id", "text_hash", F.coalesce("component", "node").alias("component"))
     heads = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("head"))
