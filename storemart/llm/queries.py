@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash_hamming, quality_llr
+from . import byte_bpe, decontam, minhash_hamming, quality_llr
 from .common import table
 
 
@@ -22,5 +22,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-REGISTRY = {f.__name__: f for f in (op8_quality_rules, op10_minhash_near_dedup)}
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in an occurrence of a benchmark window, and the items hit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "found.n_words", decontam.n_hit().alias("n_hit"), F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+                        (F.size("found.spans") > 0).alias("contaminated"))
+
+
+def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the bytes decoded from them, as digests."""
+    return byte_bpe.digest(byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+REGISTRY = {f.__name__: f for f in (op2_byte_level_bpe, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {}
