@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontam, minhash_hamming, quality_llr
-from .common import table
+from . import byte_bpe, decontam, minhash_hamming, quality_llr, token_counts, token_files
+from .common import scratch, table, whole_text
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,5 +36,19 @@ def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-REGISTRY = {f.__name__: f for f in (op2_byte_level_bpe, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document against a context limit of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count(docs).select("doc_id", F.octet_length(whole_text()).cast("long").alias("n_bytes"), "n_tokens",
+                                           (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, written in doc_id order and read back."""
+    path = scratch(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+REGISTRY = {f.__name__: f for f in (op2_byte_level_bpe, op4_token_counts, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {}
