@@ -5,10 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontam, minhash_hamming, quality_llr, token_counts, token_files
+from . import byte_bpe, chat_pairs, decontam, html_main, minhash_hamming, quality_llr, token_counts, token_files, warc_derivatives
 from .common import scratch, table, whole_text
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_main.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference pairs of every conversation: the shared prompt once, both completions and their masks."""
+    def mask(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat(s["start"].cast("string"), F.lit("+"), s["length"].cast("string"))), ",")
+
+    pairs = chat_pairs.format_pairs(chat_pairs.reply_pairs(table(spark, sf_dir, "conversations")))
+    return pairs.select("conv_id", "n_common", "prompt", "chosen_text", "rejected_text",
+                        mask("chosen_spans").alias("chosen_mask"), mask("rejected_spans").alias("rejected_mask"))
+
+
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page's response record, as ids, links and digests."""
+    made = warc_derivatives.derive(warc_derivatives.responses(table(spark, sf_dir, "pages")))
+    return made.select("page_id", "error", "response_id", "target_uri", "payload_digest", "metadata_id", "conversion_id", "n_links",
+                       F.char_length("text").cast("long").alias("n_chars"), F.sha2("metadata", 256).alias("metadata_sha256"),
+                       F.sha2("conversion", 256).alias("conversion_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base quality counts and the likelihood-ratio verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,5 +74,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-REGISTRY = {f.__name__: f for f in (op2_byte_level_bpe, op4_token_counts, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
-SQL: dict[str, str] = {}
+REGISTRY = {f.__name__: f for f in (
+    op1_html_extraction, op2_byte_level_bpe, op3_chat_formatting, op4_token_counts, op5_warc_derivatives,
+    op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
+SQL: dict[str, str] = {"op3_chat_formatting": chat_pairs.SQL}
