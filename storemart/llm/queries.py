@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_pairs, decontam, html_main, minhash_hamming, quality_llr, token_counts, token_files, warc_derivatives
+from . import byte_bpe, chat_pairs, decontam, html_main, lm_attention, minhash_hamming, quality_llr, token_counts, token_files, warc_derivatives
 from .common import scratch, table, whole_text
 
 
@@ -67,6 +67,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the attention model and under the word unigram base."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7))
+    return lm_attention.score(docs, fold != 2)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written in doc_id order and read back."""
     path = scratch(spark, "token-files")
@@ -76,5 +83,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_html_extraction, op2_byte_level_bpe, op3_chat_formatting, op4_token_counts, op5_warc_derivatives,
-    op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
+    op6_lm_scoring, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
 SQL: dict[str, str] = {"op3_chat_formatting": chat_pairs.SQL}
