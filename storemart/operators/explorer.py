@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .importance import first_present
+from .monitoring import exact_mean
 
 # Column preference lists of the explorer.
 METRIC_PREFERENCE = ["current_month_net_sales", "rolling_avg_sales_3m", "previous_month_sales",
@@ -29,7 +31,7 @@ LABELS = [("store_id", ["store_name", "store", "customer_store_name"], "Store"),
 
 def choose_metric(cols: list) -> str | None:
     """First available metric column (P20)."""
-    return next((c for c in METRIC_PREFERENCE if c in cols), None)
+    return first_present(cols, METRIC_PREFERENCE)
 
 
 def with_display_columns(df: DataFrame) -> DataFrame:
@@ -43,15 +45,11 @@ def with_display_columns(df: DataFrame) -> DataFrame:
         if id_col not in cols:
             new[disp] = F.lit(prefix)
             continue
-        name = next((c for c in names if c in cols), None)
+        name = first_present(cols, names)
         new[disp] = T.entity_label(id_col, name, prefix)
     return df.withColumns(new)
 
 
-def exact_mean(c: str, scale: int = 6) -> F.Column:
-    return F.sum(F.col(c).cast(f"decimal(38,{scale})")).cast("double") / F.count(c)
-
-
 def product_store_summary(ref: DataFrame) -> DataFrame:
     """Mean metric and record count per product/store/customer combination, with
     optional means and a combination label; null keys kept (A14, F31)."""

@@ -59,8 +59,9 @@ FACT_COLS = ["fact_store_sales_key", "sales_order_id", "sales_order_detail_id",
 
 # ---------------------------------------------------------------- periods
 
-def period_window(period: int, base: str = BASE_PERIOD_START, max_period: int | None = MAX_PERIOD):
-    """Half-open [start, end) month of a 1-based period; (None, None) outside range."""
+def period_window(period: int, base: str = BASE_PERIOD_START, max_period: int | None = None):
+    """Half-open [start, end) month of a 1-based period; (None, None) before the base or, when a
+    last period is given (``MAX_PERIOD`` is the scheduled one), after it."""
     if period < 1 or (max_period is not None and period > max_period):
         return None, None
     b = _dt.date.fromisoformat(base)
@@ -227,13 +228,27 @@ def fact_stage(raw: DataFrame, dims: dict) -> DataFrame:
     )
 
 
+GATE_KEYS = ["customer_key", "product_key", "time_key", "salesperson_key"]
+
+
 def key_gate(stage: DataFrame) -> DataFrame:
-    """Fail the job when any surrogate key is unresolved (D03), lazily on executors."""
-    missing = (F.col("customer_key").isNull() | F.col("product_key").isNull()
-               | F.col("time_key").isNull() | F.col("salesperson_key").isNull())
-    return stage.withColumn(
-        "_gate", F.when(missing, F.raise_error(F.lit("One or more surrogate keys could not be resolved.")))
-    ).drop("_gate")
+    """Fail the write when a surrogate key is unresolved (D03), naming the keys and the order line.
+    The check is the value of the key columns themselves, which every fact write keeps, so the
+    optimizer cannot prune it."""
+    absent = F.concat_ws(", ", *[F.when(F.col(k).isNull(), F.lit(k)) for k in GATE_KEYS])
+    text = F.concat(F.lit("fact key gate: no "), absent, F.lit(" for order "), F.col("sales_order_id").cast("string"),
+                    F.lit(" line "), F.col("sales_order_detail_id").cast("string"))
+    types = dict(stage.dtypes)
+    return stage.withColumns({k: F.when(F.col(k).isNull(), F.raise_error(text).cast(types[k])).otherwise(F.col(k))
+                              for k in GATE_KEYS})
+
+
+def key_gate_report(stage: DataFrame) -> DataFrame:
+    """(key, missing_rows, staged_rows, passes) of the gate, one row per surrogate key."""
+    one = stage.agg(F.count(F.lit(1)).alias("staged_rows"), *[F.count_if(F.col(k).isNull()).alias(k) for k in GATE_KEYS])
+    pairs = ", ".join(f"'{k}', {k}" for k in GATE_KEYS)
+    return one.selectExpr("staged_rows", f"stack({len(GATE_KEYS)}, {pairs}) AS (key, missing_rows)").select(
+        "key", "missing_rows", "staged_rows", (F.col("missing_rows") == 0).alias("passes"))
 
 
 def fact_project(stage: DataFrame, key_col: str = "fact_store_sales_key") -> DataFrame:
@@ -349,11 +364,9 @@ def _append(df: DataFrame, path: str) -> None:
 
 
 def _exists(spark, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+    """Whether the path is there; any other failure (permission, network) surfaces."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def ensure_warehouse(spark, wh_dir: str) -> None:
@@ -362,7 +375,7 @@ def ensure_warehouse(spark, wh_dir: str) -> None:
     for name in WAREHOUSE_TABLES:
         path = f"{wh_dir}/{name}"
         if not _exists(spark, path):
-            spark.createDataFrame([], schemas.WAREHOUSE[name]).write.mode("overwrite").parquet(path)
+            spark.createDataFrame([], schemas.WAREHOUSE[name]).write.mode("errorifexists").parquet(path)
     sp_path = f"{wh_dir}/dim_salesperson"
     sp = spark.read.parquet(sp_path)
     seed = unknown_salesperson(spark).join(sp.select("salesperson_id"), "salesperson_id", "left_anti")
@@ -379,19 +392,21 @@ def read_period_counter(spark, wh_dir: str) -> int:
 
 
 def write_period_counter(spark, wh_dir: str, next_period: int) -> None:
-    spark.createDataFrame([(int(next_period),)], "next_period int") \
-        .write.mode("overwrite").parquet(f"{wh_dir}/_period_state")
+    """Advance the counter.  The state only grows and its maximum counts, so a rerun of a past period
+    never sets it back and a lost write never leaves it empty."""
+    _append(spark.createDataFrame([(int(next_period),)], "next_period int"), f"{wh_dir}/_period_state")
 
 
 def load_period(spark, src: dict, wh_dir: str, period: int | None = None,
-                base: str = BASE_PERIOD_START, max_period: int | None = MAX_PERIOD) -> dict:
+                base: str = BASE_PERIOD_START, max_period: int | None = None, close: bool = True) -> dict:
     """Load one month: new dimension members, new raw rows, new facts; then advance
-    the counter.  Idempotent: a re-run finds nothing new."""
+    the counter (unless the month stays open, ``close=False``).  Idempotent: a re-run finds nothing
+    new.  A period outside the limits is reported in ``rejected_period``."""
     ensure_warehouse(spark, wh_dir)
     p = clamp_period(read_period_counter(spark, wh_dir) if period is None else period)
     start, end = period_window(p, base, max_period)
     if start is None:
-        return {"loaded_period": None, "next_period": p}
+        return {"loaded_period": None, "next_period": p, "rejected_period": p}
     wh = open_warehouse(spark, wh_dir)
 
     # dimensions: anti-join on the natural id, number after the current max key
@@ -436,5 +451,5 @@ def load_period(spark, src: dict, wh_dir: str, period: int | None = None,
     facts = fact_project(key_gate(fact_stage(staged_num, wh)))
     _append(facts.select(*wh["fact_store_sales"].columns), f"{wh_dir}/fact_store_sales")
 
-    write_period_counter(spark, wh_dir, p + 1)  # only after every append succeeded (T05)
-    return {"loaded_period": p, "next_period": p + 1}
+    write_period_counter(spark, wh_dir, p + 1 if close else p)  # only after every append succeeded (T05)
+    return {"loaded_period": p, "next_period": read_period_counter(spark, wh_dir)}

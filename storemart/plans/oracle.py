@@ -30,6 +30,20 @@ UNION ALL SELECT 'raw_store_sales', count(*) FROM raw_store_sales
 UNION ALL SELECT 'fact_store_sales', count(*) FROM fact_store_sales"""),
 }
 
+# The mart's columns and their Spark types.
+_MART_TYPES = {
+    "fact_store_sales_key": "bigint", "sales_order_id": "bigint", "sales_order_detail_id": "bigint",
+    "sales_order_number": "string", "customer_id": "bigint", "store_id": "bigint", "store_name": "string",
+    "territory_id": "bigint", "product_id": "bigint", "product_name": "string",
+    "product_subcategory_name": "string", "product_category_name": "string", "order_date": "date",
+    "year_num": "int", "month_num": "int", "month_name": "string", "year_month": "string",
+    "salesperson_id": "bigint", "salesperson_name": "string", "order_qty": "smallint",
+    "unit_price": "decimal(19,4)", "unit_price_discount": "decimal(19,4)", "gross_amount": "decimal(19,4)",
+    "discount_amount": "decimal(19,4)", "margin_amount": "decimal(38,6)", "net_amount": "decimal(38,6)",
+    "header_subtotal": "decimal(19,4)", "header_tax_amt": "decimal(19,4)", "header_freight": "decimal(19,4)",
+    "header_total_due": "decimal(19,4)",
+}
+
 MART_CTES = """,
 mart AS (
   SELECT f.fact_store_sales_key, f.sales_order_id, f.sales_order_detail_id, f.sales_order_number,
@@ -144,16 +158,12 @@ UNION ALL SELECT 'Invalid discount rate (< 0 or > 1)',
 UNION ALL SELECT 'Non-positive order quantity', count(*) FILTER (WHERE order_qty <= 0) FROM mart
 UNION ALL SELECT 'Negative unit price', count(*) FILTER (WHERE unit_price < 0) FROM mart"""),
     "cleansed_rows": _mart("SELECT * FROM clean"),
+    # the columns' Spark types are part of the report: fixed values
     "column_profile": _mart(" UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, '{t}' AS dtype, count({c}) AS non_null,
   CASE WHEN count(*) = 0 THEN 0.0 ELSE CAST(count(*) - count({c}) AS DOUBLE) * 100 / count(*) END AS null_pct,
   count(DISTINCT {c}) AS distinct_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value
-FROM clean""" for c, t in [
-            ("sales_order_id", "bigint"), ("store_name", "string"), ("product_category_name", "string"),
-            ("order_date", "date"), ("year_month", "string"), ("salesperson_name", "string"),
-            ("order_qty", "smallint"), ("unit_price", "decimal(19,4)"), ("unit_price_discount", "decimal(19,4)"),
-            ("gross_amount", "decimal(19,4)"), ("discount_amount", "decimal(19,4)"),
-            ("margin_amount", "decimal(38,6)"), ("net_amount", "decimal(38,6)")])),
+FROM clean""" for c, t in _MART_TYPES.items())),
     "store_performance_top10": _mart(f"""
 SELECT store_name, {_PERF}, CAST(sum(gross_amount) AS DOUBLE) AS gross_sales
 FROM clean WHERE store_name IS NOT NULL GROUP BY store_name HAVING sum(net_amount) > 0
@@ -314,6 +324,28 @@ SELECT model, feature, 'categorical' AS type,
 FROM best"""),
 })
 
+_KS_TERM = "(CASE WHEN k % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END) * exp(-2.0::DOUBLE * k * k * lam * lam)"
+SQL["numeric_drift_p"] = f"""
+WITH s AS ({SQL['numeric_drift_d']}),
+e AS (SELECT *, reference_count >= 2 AND production_count >= 2 AS enough,
+             sqrt(CAST(reference_count AS DOUBLE) * production_count / (reference_count + production_count)) AS en FROM s),
+l AS (SELECT *, (en + 0.12::DOUBLE + 0.11::DOUBLE / en) * ks_d AS lam FROM e),
+p AS (SELECT *, CASE WHEN enough THEN CASE WHEN lam < 1e-8 THEN 1.0::DOUBLE ELSE least(greatest(
+               list_sum(list_transform(range(1, 101), lambda k: {_KS_TERM})), 0.0::DOUBLE), 1.0::DOUBLE) END END AS pv FROM l)
+SELECT model, feature, 'numeric' AS type, 'KS test' AS test, reference_count, production_count,
+       CASE WHEN enough THEN reference_mean END AS reference_mean, CASE WHEN enough THEN production_mean END AS production_mean,
+       round(pv, 6) AS p_value, CAST(NULL AS DOUBLE) AS frequency_shift,
+       CASE WHEN pv IS NULL THEN 'Not enough data' WHEN pv < 0.05 THEN 'Possible Drift' ELSE 'No Drift' END AS drift_status
+FROM p"""
+SQL["combined_drift"] = f"SELECT * FROM ({SQL['numeric_drift_p']}) n UNION ALL BY NAME SELECT * FROM ({SQL['categorical_drift']}) c"
+SQL["drift_feature_counts"] = f"""
+SELECT model, count(*) FILTER (WHERE drift_status = 'Possible Drift') AS possible_drift_features
+FROM ({SQL['combined_drift']}) d GROUP BY model"""
+SQL["fact_key_gate"] = with_ctes(" UNION ALL ".join(f"""
+SELECT '{k}' AS key, count(*) FILTER (WHERE {k} IS NULL) AS missing_rows, count(*) AS staged_rows,
+       count(*) FILTER (WHERE {k} IS NULL) = 0 AS passes
+FROM fact_stage""" for k in ["customer_key", "product_key", "time_key", "salesperson_key"]))
+
 # ---------------------------------------------------------------- training table, importance, explorer
 
 _NUMERIC = ["product_key", "weight", "standard_cost", "list_price", "customer_key", "store_id", "territory_id",
@@ -389,16 +421,19 @@ attr AS (
   FROM attr_long a JOIN mom m ON a.feature = m.feature AND a.raw_feature = m.raw_feature
   GROUP BY a.feature, a.raw_feature),
 grouped AS (
-  SELECT raw_feature, sum(CAST(round(mean_abs, 6) AS DECIMAL(38,6))) AS imp FROM attr GROUP BY raw_feature),
+  SELECT raw_feature, sum(mean_abs) AS imp FROM attr GROUP BY raw_feature),
 shares AS (
-  SELECT raw_feature, CAST(imp AS DOUBLE) AS mean_abs_shap,
-         CASE WHEN total = 0 THEN 0.0 ELSE CAST(imp AS DOUBLE) / CAST(total AS DOUBLE) END AS importance_share,
-         CASE WHEN total = 0 THEN 0.0 ELSE CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) END AS cumulative_importance_share,
+  SELECT raw_feature, imp AS mean_abs_shap,
+         CASE WHEN total = 0 THEN 0.0 ELSE imp / total END AS importance_share,
+         CASE WHEN total = 0 THEN 0.0 ELSE cum / total END AS cumulative_importance_share,
          rank
   FROM (SELECT raw_feature, imp, sum(imp) OVER () AS total,
-               sum(imp) OVER (ORDER BY imp DESC, raw_feature ROWS UNBOUNDED PRECEDING) AS cum,
-               row_number() OVER (ORDER BY imp DESC, raw_feature) AS rank
-        FROM grouped) g)"""
+               sum(imp) OVER (ORDER BY tie DESC, raw_feature ROWS UNBOUNDED PRECEDING) AS cum,
+               row_number() OVER (ORDER BY tie DESC, raw_feature) AS rank
+        FROM (SELECT *, CASE WHEN sum(imp) OVER () = 0 THEN 0.0 ELSE round(imp / sum(imp) OVER (), 9) END AS tie FROM grouped) t) g)"""
+
+_ROUNDED_SHARES = """raw_feature, round(mean_abs_shap, 4) AS mean_abs_shap, round(importance_share, 8) AS importance_share,
+       round(cumulative_importance_share, 8) AS cumulative_importance_share, rank"""
 
 _MEDIANS = "\n  UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM train WHERE {c} IS NOT NULL"
                                   for c in _NUMERIC)
@@ -420,21 +455,15 @@ UNION ALL
 SELECT feature, 'most_frequent', CAST(NULL AS DOUBLE), first(v ORDER BY n DESC, v) FROM ({_MODES}) c GROUP BY feature""",
                                  split=True),
     "regression_metrics": _panel("""
-SELECT split, count(*) AS n, CAST(sum(abs(e)) AS DOUBLE) / count(*) AS mae,
-       sqrt(CAST(sum(CAST(e AS DECIMAL(20,6)) * e) AS DOUBLE) / count(*)) AS rmse,
-       CASE WHEN CAST(sum(CAST(yd AS DECIMAL(20,6)) * yd) AS DOUBLE) - CAST(sum(yd) AS DOUBLE) * CAST(sum(yd) AS DOUBLE) / count(*) = 0
-            THEN NULL
-            ELSE 1 - CAST(sum(CAST(e AS DECIMAL(20,6)) * e) AS DOUBLE)
-                     / (CAST(sum(CAST(yd AS DECIMAL(20,6)) * yd) AS DOUBLE) - CAST(sum(yd) AS DOUBLE) * CAST(sum(yd) AS DOUBLE) / count(*))
-       END AS r2
-FROM (SELECT split, CAST(next_period_net_sales AS DECIMAL(16,6)) AS yd,
-             CAST(CAST(next_period_net_sales AS DECIMAL(16,6)) - CAST(rolling_avg_sales_3m AS DECIMAL(16,6))
-                  AS DECIMAL(16,6)) AS e
+SELECT split, count(*) AS n, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
+       CASE WHEN var_pop(yd) = 0 THEN NULL ELSE round(1 - avg(e * e) / var_pop(yd), 8) END AS r2
+FROM (SELECT split, CAST(next_period_net_sales AS DOUBLE) AS yd,
+             CAST(next_period_net_sales AS DOUBLE) - CAST(rolling_avg_sales_3m AS DOUBLE) AS e
       FROM splitted WHERE next_period_net_sales IS NOT NULL AND rolling_avg_sales_3m IS NOT NULL) t
 GROUP BY split""", split=True),
-    "importance_shares": _panel(_SHARES + "\nSELECT * FROM shares", split=True),
-    "coverage_selection": _panel(_SHARES + """
-SELECT raw_feature, mean_abs_shap, importance_share, cumulative_importance_share, rank FROM (
+    "importance_shares": _panel(_SHARES + f"\nSELECT {_ROUNDED_SHARES} FROM shares", split=True),
+    "coverage_selection": _panel(_SHARES + f"""
+SELECT {_ROUNDED_SHARES} FROM (
   SELECT *, coalesce(lag(cumulative_importance_share) OVER (ORDER BY rank), 0.0) AS prev,
          max(mean_abs_shap) OVER () AS mx
   FROM shares) s
@@ -450,14 +479,10 @@ SELECT product_key_display, product_category_name, product_subcategory_name, pro
 FROM (SELECT *, {_DISPLAY} FROM engineered) d
 GROUP BY product_key_display, product_category_name, product_subcategory_name, product_model_name,
          store_id_display, customer_key_display, territory_id_display"""),
-    "lookup_labels": _panel(f"""
-SELECT 'product_key' AS feature, label, max(id) AS id
-FROM (SELECT DISTINCT product_key_display AS label, product_key AS id FROM (SELECT *, {_DISPLAY} FROM engineered) d
-      WHERE product_key IS NOT NULL) p GROUP BY label
-UNION ALL
-SELECT 'store_id', label, max(id)
-FROM (SELECT DISTINCT store_id_display AS label, store_id AS id FROM (SELECT *, {_DISPLAY} FROM engineered) d
-      WHERE store_id IS NOT NULL) s GROUP BY label"""),
+    "lookup_labels": _panel(" UNION ALL ".join(f"""
+SELECT '{c}' AS feature, label, CAST(max(id) AS BIGINT) AS id
+FROM (SELECT DISTINCT {c}_display AS label, {c} AS id FROM (SELECT *, {_DISPLAY} FROM engineered) d
+      WHERE {c} IS NOT NULL) x GROUP BY label""" for c in ["product_key", "store_id", "customer_key", "salesperson_key", "territory_id"])),
     "request_normalise": _panel("""
 SELECT concat_ws('|', product_key, store_id, customer_key, salesperson_key, year_num, month_num) AS request_id,
        product_key, store_id, month_num, current_month_net_sales, current_month_gross_sales,
@@ -474,7 +499,7 @@ SELECT concat_ws('|', product_key, store_id, customer_key, salesperson_key, year
             ELSE current_month_margin_amount / current_month_net_sales END AS product_profitability_ratio,
        CASE WHEN previous_month_sales = 0 THEN 0.0
             ELSE (current_month_net_sales - previous_month_sales) / previous_month_sales END
-         AS sales_growth_previous_period
+         AS sales_growth_previous_period, false AS unreadable
 FROM engineered"""),
 })
 
@@ -488,7 +513,7 @@ SELECT time_bucket(INTERVAL 1 DAY, timestamp) AS window_start,
 FROM log GROUP BY 1, 2, 3"""),
 })
 
-_DESCRIBE_COLS = ['current_month_order_qty', 'current_month_net_sales', 'current_month_margin_amount', 'avg_unit_price', 'number_of_orders', 'previous_month_sales', 'rolling_avg_sales_3m', 'discount_percentage', 'next_period_net_sales']
+_DESCRIBE_COLS = [*_NUMERIC, "next_period_net_sales"]
 _DESC_LONG = "\n  UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM splitted WHERE {c} IS NOT NULL" for c in _DESCRIBE_COLS)
 
@@ -521,6 +546,11 @@ FROM stats s JOIN q_q25 USING (column_name) JOIN q_q50 USING (column_name) JOIN
     "split_sizes": _panel("""
 SELECT split, count(*) AS rows, 41 AS feature_count FROM splitted GROUP BY split""", split=True),
     "table_preview_fact": with_ctes("SELECT * FROM fact_store_sales ORDER BY fact_store_sales_key LIMIT 10"),
+    "table_preview_raw": with_ctes("SELECT * EXCLUDE (period) FROM raw_store_sales ORDER BY raw_store_sales_id LIMIT 10"),
+    "table_preview_customer": with_ctes("SELECT * FROM dim_store_customer ORDER BY customer_key LIMIT 10"),
+    "table_preview_product": with_ctes("SELECT * FROM dim_product ORDER BY product_key LIMIT 10"),
+    "table_preview_time": with_ctes("SELECT * FROM dim_time ORDER BY time_key LIMIT 10"),
+    "table_preview_salesperson": with_ctes("SELECT * FROM dim_salesperson ORDER BY salesperson_key LIMIT 10"),
     "explorer_kpis": _SUMMARY_PREFIX + ",\nsummary AS (" + _SUMMARY_BODY + """)
 SELECT CAST(sum(historical_records) AS BIGINT) AS historical_rows, count(*) AS combinations,
        CAST(sum(CAST(avg_monthly_sales AS DECIMAL(38,6))) AS DOUBLE) / count(avg_monthly_sales) AS mean_avg_monthly_sales
@@ -530,6 +560,7 @@ SELECT * FROM summary ORDER BY avg_monthly_sales DESC, combination_label, territ
     "feature_options": _panel("""
 SELECT DISTINCT 'product_category_name' AS feature, CAST(product_category_name AS VARCHAR) AS option FROM engineered WHERE product_category_name IS NOT NULL
 UNION ALL SELECT DISTINCT 'product_subcategory_name', CAST(product_subcategory_name AS VARCHAR) FROM engineered WHERE product_subcategory_name IS NOT NULL
+UNION ALL SELECT DISTINCT 'product_model_name', CAST(product_model_name AS VARCHAR) FROM engineered WHERE product_model_name IS NOT NULL
 UNION ALL SELECT DISTINCT 'color', CAST(color AS VARCHAR) FROM engineered WHERE color IS NOT NULL
 UNION ALL SELECT DISTINCT 'size', option FROM (SELECT CAST(size AS VARCHAR) AS option FROM engineered WHERE size IS NOT NULL UNION SELECT '') t
 UNION ALL SELECT DISTINCT 'weight', option FROM (SELECT CAST(weight AS VARCHAR) AS option FROM engineered WHERE weight IS NOT NULL UNION SELECT '') t"""),

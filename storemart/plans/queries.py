@@ -142,6 +142,12 @@ def fact_keys_missing(spark, sf_dir):
     return W.missing_key_counts(W.fact_stage(wh["raw_store_sales"], wh))
 
 
+def fact_key_gate(spark, sf_dir):
+    """The gate's verdict per surrogate key over all staged facts."""
+    wh = _wh(spark, sf_dir)
+    return W.key_gate_report(W.fact_stage(wh["raw_store_sales"], wh))
+
+
 UNIQUE_KEYS = {"dim_store_customer": ["customer_id"], "dim_product": ["product_id"],
                "dim_time": ["full_date"], "dim_salesperson": ["salesperson_id"],
                "raw_store_sales": ["sales_order_id", "sales_order_detail_id"],
@@ -172,13 +178,9 @@ def cleansed_rows(spark, sf_dir):
     return _clean(spark, sf_dir)
 
 
-PROFILE_COLUMNS = ["sales_order_id", "store_name", "product_category_name", "order_date", "year_month",
-                   "salesperson_name", "order_qty", "unit_price", "unit_price_discount", "gross_amount",
-                   "discount_amount", "margin_amount", "net_amount"]
-
-
 def column_profile(spark, sf_dir):
-    return Q.quality_report(_clean(spark, sf_dir, PROFILE_COLUMNS), PROFILE_COLUMNS)
+    """A13 over every column of the cleansed mart."""
+    return Q.quality_report(_clean(spark, sf_dir))
 
 
 def store_performance_top10(spark, sf_dir):
@@ -357,7 +359,8 @@ def regression_metrics(spark, sf_dir):
     """MAE, RMSE, R² per split (A26) of the persistence forecast (rolling 3-month
     mean); the trained models report the same metrics on their predictions."""
     from ..ml import evaluate
-    return evaluate.metrics_by_split(_features(spark, sf_dir), P.TARGET, "rolling_avg_sales_3m")
+    m = evaluate.metrics_by_split(_features(spark, sf_dir), P.TARGET, "rolling_avg_sales_3m")
+    return m.select("split", "n", F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 8).alias("r2"))
 
 
 def _attribution(spark, sf_dir):
@@ -367,12 +370,23 @@ def _attribution(spark, sf_dir):
     return IM.linear_attribution(train, num, cats, P.TARGET)
 
 
-def importance_shares(spark, sf_dir):
+def _rounded_shares(table):
+    """Shares as printed: doubles summed in different orders agree to these places."""
+    return table.select("raw_feature", F.round("mean_abs_shap", 4).alias("mean_abs_shap"),
+                        F.round("importance_share", 8).alias("importance_share"),
+                        F.round("cumulative_importance_share", 8).alias("cumulative_importance_share"), "rank")
+
+
+def _shares(spark, sf_dir):
     return IM.shares(IM.group_to_raw(_attribution(spark, sf_dir)))
 
 
+def importance_shares(spark, sf_dir):
+    return _rounded_shares(_shares(spark, sf_dir))
+
+
 def coverage_selection(spark, sf_dir):
-    return IM.select_by_coverage(importance_shares(spark, sf_dir), IM.DEFAULT_COVERAGE)
+    return _rounded_shares(IM.select_by_coverage(_shares(spark, sf_dir), IM.DEFAULT_COVERAGE))
 
 
 def product_store_summary(spark, sf_dir):
@@ -380,8 +394,12 @@ def product_store_summary(spark, sf_dir):
 
 
 def lookup_labels(spark, sf_dir):
+    """Label → id options of every id feature."""
     ref = _features(spark, sf_dir).drop("split")
-    return X.lookup_options(ref, "product_key").unionByName(X.lookup_options(ref, "store_id"))
+    out = X.lookup_options(ref, "product_key")
+    for feature, _, _ in X.LABELS:
+        out = out.unionByName(X.lookup_options(ref, feature))
+    return out
 
 
 # Request columns of the round-trip check and the shape per quarter.
@@ -483,14 +501,10 @@ def streaming_log_monitor(spark, sf_dir):
 
 # ---------------------------------------------------------------- profiles, explorer tables, previews
 
-DESCRIBE_COLUMNS = ["current_month_order_qty", "current_month_net_sales", "current_month_margin_amount",
-                    "avg_unit_price", "number_of_orders", "previous_month_sales", "rolling_avg_sales_3m",
-                    "discount_percentage", P.TARGET]
-
-
 def column_describe(spark, sf_dir):
-    """A12 over the training table."""
-    return Q.describe(_features(spark, sf_dir), DESCRIBE_COLUMNS)
+    """A12 over every numeric input of the training table and its target."""
+    f = _features(spark, sf_dir)
+    return Q.describe(f, [*_numeric_features(f), P.TARGET])
 
 
 def split_sizes(spark, sf_dir):
@@ -500,9 +514,20 @@ def split_sizes(spark, sf_dir):
     return f.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).withColumn("feature_count", F.lit(n_feat))
 
 
-def table_preview_fact(spark, sf_dir):
-    """The first 10 fact rows by key (the preview is the feature)."""
-    return _wh(spark, sf_dir)["fact_store_sales"].orderBy("fact_store_sales_key").limit(10)
+def _preview(table, *order):
+    def run(spark, sf_dir):
+        return _wh(spark, sf_dir)[table].orderBy(*order).limit(10)
+    run.__name__ = f"table_preview_{table}"
+    run.__doc__ = f"O07: the first 10 rows of {table} by key (the preview is the feature)."
+    return run
+
+
+table_preview_fact = _preview("fact_store_sales", "fact_store_sales_key")
+table_preview_raw = _preview("raw_store_sales", "raw_store_sales_id")
+table_preview_customer = _preview("dim_store_customer", "customer_key")
+table_preview_product = _preview("dim_product", "product_key")
+table_preview_time = _preview("dim_time", "time_key")
+table_preview_salesperson = _preview("dim_salesperson", "salesperson_key")
 
 
 def explorer_kpis(spark, sf_dir):
@@ -516,7 +541,7 @@ def explorer_top20(spark, sf_dir):
         .limit(20)
 
 
-FEATURE_OPTION_COLUMNS = ["product_category_name", "product_subcategory_name", "color", "size", "weight"]
+FEATURE_OPTION_COLUMNS = ["product_category_name", "product_subcategory_name", "product_model_name", "color", "size", "weight"]
 
 
 def feature_options(spark, sf_dir):
@@ -559,6 +584,7 @@ REGISTRY = {
     "raw_extract_period": raw_extract_period,
     "fact_transform": fact_transform,
     "fact_keys_missing": fact_keys_missing,
+    "fact_key_gate": fact_key_gate,
     "unique_key_violations": unique_key_violations,
     "fk_orphans": fk_orphans,
     "quality_summary": quality_summary,
@@ -607,6 +633,11 @@ REGISTRY = {
     "column_describe": column_describe,
     "split_sizes": split_sizes,
     "table_preview_fact": table_preview_fact,
+    "table_preview_raw": table_preview_raw,
+    "table_preview_customer": table_preview_customer,
+    "table_preview_product": table_preview_product,
+    "table_preview_time": table_preview_time,
+    "table_preview_salesperson": table_preview_salesperson,
     "explorer_kpis": explorer_kpis,
     "explorer_top20": explorer_top20,
     "feature_options": feature_options,

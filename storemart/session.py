@@ -77,10 +77,8 @@ def ship_package(spark: SparkSession) -> None:
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static on some deployments; then it was set at submit
-            pass
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)  # a setting that cannot be changed raises: results depend on it
     spark.sparkContext.setLogLevel("ERROR")
     ship_package(spark)
     return spark
@@ -89,8 +87,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a scratch
+    folder is made only for a single-process ``local[...]`` master (tests), whose
+    executor is this process; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -98,6 +97,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="storemart-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

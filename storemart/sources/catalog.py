@@ -26,7 +26,8 @@ _done: dict[tuple, str] = {}
 
 def _root(spark: SparkSession, sf_dir: str, kind: str) -> str:
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return f"{checkpoint_dir(spark).rstrip('/')}/storemart/{kind}-{tag}"
+    # applications that share the folder never write to each other's tables
+    return f"{checkpoint_dir(spark).rstrip('/')}/storemart/{spark.sparkContext.applicationId}/{kind}-{tag}"
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict:

@@ -76,7 +76,8 @@ def test_time_attributes(spark):
 def test_period_windows():
     assert W.period_window(1) == (dt.date(2005, 7, 1), dt.date(2005, 8, 1))
     assert W.period_window(37) == (dt.date(2008, 7, 1), dt.date(2008, 8, 1))
-    assert W.period_window(38) == (None, None)
+    assert W.period_window(38, max_period=W.MAX_PERIOD) == (None, None)
+    assert W.period_window(38)[0] == dt.date(2008, 8, 1)  # no limit unless one is given
     assert W.clamp_period(0) == 1
 
 

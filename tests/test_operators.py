@@ -10,6 +10,7 @@ from storemart.operators import drift as DR
 from storemart.operators import importance as IM
 from storemart.operators import monitoring as MO
 from storemart.operators import quality as Q
+from storemart.operators import requests as RQ
 from storemart.operators.keys import dense_number, running_sum
 
 
@@ -35,7 +36,6 @@ def test_running_sum_matches_window(spark):
 def test_ks_closed_forms():
     assert DR.ks_exact_p(1.0, 5, 5) == pytest.approx(2 / 252, abs=1e-12)
     assert DR.ks_exact_p(0.0, 5, 5) == 1.0
-    assert DR.ks_exact_p(0.6, 5, 5) == pytest.approx(DR.ks_exact_p(0.6, 5, 5))
     assert DR.ks_exact_p(0.4, 10, 7) == pytest.approx(DR.ks_exact_p(0.4, 7, 10))  # symmetric
     # exact and asymptotic agree for large samples
     assert DR.ks_exact_p(0.02, 10000, 9000) == pytest.approx(DR.ks_asymptotic_p(0.02, 10000, 9000), rel=0.01)
@@ -49,7 +49,9 @@ def _sides(spark, ref_vals, prod_vals, col="x", typ="double"):
 
 def test_numeric_drift_disjoint_and_equal(spark):
     ref, prod = _sides(spark, [1.0, 2.0, 3.0, 4.0, 5.0], [6.0, 7.0, 8.0, 9.0, 10.0])
-    r = DR.numeric_drift(DR.numeric_stats(DR.numeric_long(ref, prod, ["x"]))).first()
+    stats = DR.numeric_stats(DR.numeric_long(ref, prod, ["x"]))
+    assert DR.numeric_drift(stats).first()["drift_status"] == "Possible Drift"
+    r = DR.numeric_drift(stats, method="exact").first()
     assert r["p_value"] == round(2 / 252, 6) and r["drift_status"] == "Possible Drift"
     ref, prod = _sides(spark, [1.0, 2.0, 3.0], [1.0, 2.0, 3.0])
     s = DR.numeric_stats(DR.numeric_long(ref, prod, ["x"])).first()
@@ -139,3 +141,48 @@ def test_request_shapes(spark):
                    ("split", 0, 3, 1.5), ("split", 1, 4, 2.5)]
     conf = RQ.conform(RQ.derive_features(raw.limit(0).selectExpr("1 AS month_num")), ["month_num", "absent"])
     assert conf.columns == ["month_num", "absent", "missing_features_filled_with_null"]
+
+
+def test_ks_series_column_equals_function_and_keeps_infinities(spark):
+    df = spark.createDataFrame([(0.2, 50, 60), (0.9, 5, 5), (0.0, 10, 10), (0.02, 20000, 30000)], "d double, a long, b long")
+    got = [r[0] for r in df.select(DR.ks_series_p(F.col("d"), F.col("a"), F.col("b"))).collect()]
+    assert got == pytest.approx([DR.ks_asymptotic_p(0.2, 50, 60), DR.ks_asymptotic_p(0.9, 5, 5), 1.0,
+                                 DR.ks_asymptotic_p(0.02, 20000, 30000)], abs=1e-9)
+    ref = spark.createDataFrame([("m", 1.0), ("m", float("inf"))], "model string, x double")
+    prod = spark.createDataFrame([("m", 1.0), ("m", 2.0)], "model string, x double")
+    s = DR.numeric_stats(DR.numeric_long(ref, prod, ["x"])).first()
+    assert (s["reference_count"], s["reference_mean"], s["production_mean"]) == (2, float("inf"), 1.5)
+    exact = DR.numeric_drift(DR.numeric_stats(DR.numeric_long(prod, prod, ["x"])), method="exact").first()
+    assert exact["p_value"] == 1.0
+
+
+def test_tiny_importances_keep_their_shares(spark):
+    att = spark.createDataFrame([("a", "a", 2e-7), ("b", "b", 1e-7)], "feature string, raw_feature string, mean_abs double")
+    rows = {r["raw_feature"]: r for r in IM.shares(IM.group_to_raw(att)).collect()}
+    assert rows["a"]["importance_share"] == pytest.approx(2 / 3) and rows["b"]["rank"] == 2
+
+
+def test_visible_features_stand_for_derived_inputs(spark):
+    imp = spark.createDataFrame([("discount_percentage", 0.4), ("month_num", 0.3), ("is_q4", 0.2), ("color", 0.1)],
+                                "feature string, importance_pct double")
+    rows = {r["feature"]: r for r in IM.visible_feature_table(spark, ["discount_percentage", "is_q4", "color"], imp).collect()}
+    assert rows["current_month_gross_sales"]["importance_pct"] == pytest.approx(0.4)
+    assert rows["month_num"]["importance_pct"] == pytest.approx(0.5)
+    assert rows["color"]["group"] == "Product inputs" and rows["color"]["is_model_required_or_dependency"]
+    assert not rows["year_num"]["is_model_required_or_dependency"] and "is_q4" not in rows
+
+
+def test_malformed_requests_do_not_stop_the_batch(spark):
+    raw = spark.createDataFrame([("a", '{"columns":["month_num","x"],"data":[["oops","1.5"]]}'), ("b", "not json"),
+                                 ("c", '{"month_num": 4, "x": "bad"}')], "request_id string, body string")
+    rows = {r["request_id"]: r for r in RQ.normalise_requests(raw, "body", "month_num int, x double").collect()}
+    assert (rows["a"]["month_num"], rows["a"]["x"], rows["a"]["unreadable"]) == (None, 1.5, False)
+    assert rows["b"]["unreadable"] and rows["c"]["month_num"] == 4 and rows["c"]["x"] is None
+    odd = spark.createDataFrame([("x", "7")], "current_month_net_sales string, previous_month_sales string")
+    assert RQ.derive_features(odd).first()["sales_growth_previous_period"] is None
+
+
+def test_metrics_have_no_ceiling(spark):
+    from storemart.ml import evaluate
+    df = spark.createDataFrame([("t", 1e12, 2e12), ("t", 3e12, 3e12)], "split string, y double, p double")
+    assert evaluate.metrics_by_split(df, "y", "p").first()["mae"] == pytest.approx(5e11)

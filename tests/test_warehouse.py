@@ -1,7 +1,9 @@
 """Load properties: month-by-month equals the one-pass backfill; reruns add nothing."""
 
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from storemart.operators import warehouse as W
@@ -26,8 +28,9 @@ def test_monthly_loads_equal_backfill_and_are_idempotent(spark):
         assert out["loaded_period"] == p
     a = W.open_warehouse(spark, monthly)
     counts = {t: a[t].count() for t in W.WAREHOUSE_TABLES}
-    # re-running an already loaded period appends nothing
-    W.load_period(spark, src, monthly, period=2, base=BASE, max_period=None)
+    # re-running an already loaded period appends nothing and leaves the counter alone
+    assert W.load_period(spark, src, monthly, period=2, base=BASE)["next_period"] == PERIODS + 1
+    assert W.load_period(spark, src, monthly, period=9, base=BASE, max_period=8)["rejected_period"] == 9
     a = W.open_warehouse(spark, monthly)
     assert {t: a[t].count() for t in W.WAREHOUSE_TABLES} == counts
     b = W.backfill(spark, src, onepass, base=BASE, max_period=PERIODS)
@@ -38,13 +41,31 @@ def test_monthly_loads_equal_backfill_and_are_idempotent(spark):
     assert a["dim_salesperson"].where(F.col("salesperson_key") == 1).first()["salesperson_id"] == -1
 
 
-def test_key_gate_fails_on_missing_key(spark):
+def test_key_gate_stops_fact_writes(spark):
     src = testdata.source_frames(spark, SF_SMALL)
-    wh = W.backfill(spark, src, tempfile.mkdtemp(prefix="wh-gate-"), base=BASE, max_period=2)
+    folder = tempfile.mkdtemp(prefix="wh-gate-")
+    wh = W.backfill(spark, src, folder, base=BASE, max_period=1)
+    gone = wh["raw_store_sales"].select("product_id").first()[0]
     dims = dict(wh)
-    dims["dim_product"] = wh["dim_product"].where(F.col("product_key") > 1)
+    dims["dim_product"] = wh["dim_product"].where(F.col("product_id") != gone)
     stage = W.fact_stage(wh["raw_store_sales"], dims)
-    assert W.missing_key_counts(stage).first()["missing_product_keys"] > 0
-    import pytest
+    report = {r["key"]: r for r in W.key_gate_report(stage).collect()}
+    assert report["product_key"]["missing_rows"] > 0 and not report["product_key"]["passes"]
+    assert report["customer_key"]["passes"]
+    with pytest.raises(Exception, match="fact key gate: no product_key for order"):
+        W.build_fact(wh["raw_store_sales"], dims).write.parquet(f"{folder}/bad")
+    # the same through the monthly load: a product that the source no longer describes
+    broken = {**src, "product": src["product"].where(F.col("product_id") != gone)}
+    with pytest.raises(Exception, match="fact key gate: no product_key for order"):
+        W.load_period(spark, broken, tempfile.mkdtemp(prefix="wh-gate-month-"), period=1, base=BASE)
+
+
+def test_unreadable_warehouse_is_not_replaced(spark):
+    folder = tempfile.mkdtemp(prefix="wh-broken-")
+    os.mkdir(f"{folder}/dim_time")
+    with open(f"{folder}/dim_time/part-0.parquet", "w") as f:
+        f.write("not parquet")
     with pytest.raises(Exception):
-        W.fact_project(W.key_gate(stage)).write.format("noop").mode("overwrite").save()
+        W.ensure_warehouse(spark, folder)
+        W.open_warehouse(spark, folder)["dim_time"].count()
+    assert open(f"{folder}/dim_time/part-0.parquet").read() == "not parquet"
