@@ -42,7 +42,7 @@ SYMBOLS = 64
 CHUNK = 4
 CHUNKS = SYMBOLS // CHUNK
 MAX_ERRORS = 31
-BLOCK = 512
+BLOCK = 1024
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) | np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
@@ -156,22 +156,21 @@ def _first_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 def _open_meetings(members: DataFrame, labels: DataFrame) -> tuple:
     """Who still has to meet whom, without writing pairs out: (node, label, block) puts every member
     of a bucket with several components into one block of about ``BLOCK`` nodes, (node, block) names
-    the blocks that a node outside its bucket's largest component has to be held against."""
+    the blocks that a node outside its bucket's largest component has to be held against.  Of two
+    such nodes, the one of the lower block visits the other."""
     rows = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("label"))
     sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.count("*").alias("k")).where("k > 1").select(
         "key", F.col("x.label").alias("top"))
     rows = materialise(rows.join(top, "key"), "near-open")
+    # nodes are put together by their largest bucket, so that a large group lies in few blocks
     homes = rows.groupBy("node").agg(F.first("label").alias("label"), F.max(F.struct("n", "key")).alias("home"))
-    in_label = homes.groupBy("label").agg(F.count("*").alias("size"))
-    part = lambda size: F.pmod(F.xxhash64("node"), F.ceil(size / F.lit(BLOCK)))
-    # components are cut into blocks; lone nodes are put together by their largest bucket
-    blocks = homes.join(in_label, "label").select("node", "label", F.when(
-        F.col("size") > 1, F.xxhash64(F.lit("c"), "label", part(F.col("size")))).otherwise(
-        F.xxhash64(F.lit("b"), "home.key", part(F.col("home.n")))).alias("block"))
-    blocks = materialise(blocks, "near-blocks")
-    there = rows.select("key", "node").join(blocks.select("node", "block"), "node").select("key", "block").distinct()
-    meet = rows.where("label <> top").select("key", "node").join(there, "key").select("node", "block").distinct()
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("home.n") / F.lit(BLOCK)))
+    blocks = materialise(homes.select("node", "label", F.xxhash64("home.key", part).alias("block")), "near-blocks")
+    placed = rows.join(blocks.select("node", "block"), "node")
+    there = placed.groupBy("key", "block").agg(F.bool_or(F.col("label") == F.col("top")).alias("has_top"))
+    guests = placed.where("label <> top").select("key", "node", F.col("block").alias("own"))
+    meet = guests.join(there, "key").where("has_top or block >= own").select("node", "block").distinct()
     return blocks, materialise(meet, "near-meet"), rows
 
 
