@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import byte_bpe, chat_pairs, decontam, html_main, lm_attention, minhash_hamming, quality_llr, token_counts, token_files, warc_derivatives
 from .common import scratch, table, whole_text
+from .oracle_sql import SQL  # noqa: F401  (read by the entry module)
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +85,3 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {f.__name__: f for f in (
     op1_html_extraction, op2_byte_level_bpe, op3_chat_formatting, op4_token_counts, op5_warc_derivatives,
     op6_lm_scoring, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
-SQL: dict[str, str] = {"op3_chat_formatting": chat_pairs.SQL}
