@@ -95,29 +95,21 @@ def option_values(ref: DataFrame, features: list) -> DataFrame:
     return out
 
 
-def representative_records(ref: DataFrame, summary: DataFrame) -> DataFrame:
-    """For every summary row, the best matching reference row (highest metric) with its
-    key measures replaced by the group averages (E03, P18): one null-safe join and a
-    top-1 per group instead of a scan per selection."""
+def representative_records(ref: DataFrame) -> DataFrame:
+    """For every explorer combination, its best row (highest metric) with the key measures replaced by the
+    combination's means (E03, P18): means and top-1 are one mergeable aggregation, without a join."""
     df = with_display_columns(ref)
     metric = choose_metric(df.columns)
-    keys = [c for c in SUMMARY_GROUPS if c in df.columns and c in summary.columns]
-    avgs = [c for c in summary.columns if c.startswith("avg_")]
-    s = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *[F.col(c).alias(f"_a_{c}") for c in avgs])
-    cond = None
-    for k in keys:
-        c = df[k].cast("string").eqNullSafe(s[f"_s_{k}"].cast("string"))
-        cond = c if cond is None else cond & c
-    j = df.join(s, cond, "inner")
-    # top-1 per combination as a mergeable aggregate (highest metric, nulls last, then keys)
+    keys = [c for c in SUMMARY_GROUPS if c in df.columns]
+    measures = {"monthly_sales": metric, **{c: c for c in SUMMARY_OPTIONAL if c in df.columns}}
+    # highest metric, nulls last, then keys
     order = F.struct(F.col(metric).isNull().alias("_n"), (-F.col(metric)).alias("_m"), F.col("product_key"),
                      F.col("customer_key"), F.col("year_num"), F.col("month_num"))
-    top = j.groupBy(*[f"_s_{k}" for k in keys]).agg(
-        F.min_by(F.struct(*[F.col(c) for c in j.columns]), order).alias("_r")).select("_r.*")
-    # every group mean replaces (or adds) the column it averages
-    repl = {c[len("avg_"):]: F.col(f"_a_{c}") for c in avgs}
-    drop = [c for c in top.columns if c.startswith("_s_") or c.startswith("_a_")]
-    return top.withColumns(repl).drop(*drop)
+    top = df.groupBy(*[F.col(k).alias(f"_s_{k}") for k in keys]).agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), order).alias("_r"),
+        *[exact_mean(c).alias(f"_a_{name}") for name, c in measures.items()])
+    return top.select("_r.*", *[f"_a_{name}" for name in measures]).withColumns(
+        {name: F.col(f"_a_{name}") for name in measures}).drop(*[f"_a_{name}" for name in measures])
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:

@@ -15,7 +15,6 @@ from ..operators import explorer as X
 from ..operators import importance as IM
 from ..operators import monitoring as MO
 from ..operators import requests as RQ
-from ..operators.keys import dense_number
 from ..operators import integrity as I
 from ..operators import panel as P
 from ..operators import quality as Q
@@ -333,22 +332,10 @@ def impute_median_mode(spark, sf_dir):
     """Exact medians of numeric features and most frequent value (ties → smallest) of
     categorical features over the training rows (M05, M06); medians are found by a
     distributed sort (global positions), not by collecting a feature's values."""
+    from ..ml.preprocess import exact_medians, modes
     train = _train(spark, sf_dir)
-    num = _numeric_features(train)
-    long = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
-                                            for c in num])).alias("s")).select("s.*").where(F.col("x").isNotNull())
-    pos = dense_number(long, ["feature", "x"], "_g")
-    stats = pos.groupBy("feature").agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    r = pos.join(stats, "feature").withColumn("_r", F.col("_g") - F.col("_start"))
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.ceil((F.col("_n") - 1) / 2)
-    med = r.where((F.col("_r") == lo) | (F.col("_r") == hi)).groupBy("feature").agg(
-        F.avg("x").alias("median_value"))
-    cats = [c for c in P.CATEGORICAL_FEATURES if c in train.columns]
-    cl = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("v"))
-                                          for c in cats])).alias("s")).select("s.*").where(F.col("v").isNotNull())
-    mode = cl.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(
-        F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v"))).alias("mode_value"))
+    med = exact_medians(train, _numeric_features(train)).withColumnRenamed("median", "median_value")
+    mode = modes(train, [c for c in P.CATEGORICAL_FEATURES if c in train.columns]).withColumnRenamed("mode", "mode_value")
     return med.select("feature", F.lit("median").alias("strategy"), "median_value",
                       F.lit(None).cast("string").alias("mode_value")).unionByName(
         mode.select("feature", F.lit("most_frequent").alias("strategy"),
@@ -552,7 +539,7 @@ def feature_options(spark, sf_dir):
 def representative_records(spark, sf_dir):
     """One representative record per explorer combination."""
     ref = _features(spark, sf_dir).drop("split")
-    return X.representative_records(ref, X.product_store_summary(ref))
+    return X.representative_records(ref)
 
 
 def visible_features(spark, sf_dir):

@@ -87,8 +87,9 @@ def importance_from_metadata(spark: SparkSession, metadata_json: DataFrame, col:
     nested = F.from_json("v", "map<string,string>")
     from_map = pairs.select(
         F.col("feature"),
-        F.when(F.col("v").startswith("{"), nested.getItem("importance")).otherwise(F.col("v")).alias("importance"),
-        F.when(F.col("v").startswith("{"), nested.getItem("importance_pct")).alias("importance_pct"))
+        F.when(F.col("v").startswith("{"), F.coalesce(*[nested.getItem(c) for c in IM.IMPORTANCE_COLUMN_CANDIDATES]))
+         .otherwise(F.col("v")).alias("importance"),
+        F.when(F.col("v").startswith("{"), F.coalesce(*[nested.getItem(c) for c in IM.PCT_COLUMN_CANDIDATES])).alias("importance_pct"))
     from_list = rows_list.select(
         F.coalesce(*[F.col("m").getItem(c) for c in IM.FEATURE_COLUMN_CANDIDATES]).alias("feature"),
         F.coalesce(*[F.col("m").getItem(c) for c in IM.IMPORTANCE_COLUMN_CANDIDATES]).alias("importance"),
