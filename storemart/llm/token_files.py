@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import struct
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -92,34 +93,117 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[first - numbers[0] * block:last - numbers[0] * block]
 
 
+# ASCII marks that the checked split pattern keeps together and apart from letters; the apostrophe (contractions)
+# and the marks of special tokens are not among them.
+_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_CHUNK = 1 << 21  # bytes of text worked on at a time (one longer text is a chunk of its own)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_LONG = 64  # longer words are not hashed but looked up one by one
+_rng = np.random.default_rng(20240229)
+_VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_BASE = int(_rng.integers(1, 1 << 62)) * 2 + 1
+_UNBASE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base squared, ... modulo 2 to the 64."""
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word of a byte array, by prefix sums of a polynomial in an odd base."""
+    n = -(-(len(data) + 1) // _CHUNK) * _CHUNK  # few different sizes: the powers are kept
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * _powers(_BASE, n)[:len(data)])])
+    return (prefix[stop] - prefix[start]) * _powers(_UNBASE, n)[start]
+
+
 class WordIds:
-    """Ids of texts by the tokenizers library, one call for the words of a batch not met before.
+    """Ids of texts by the tokenizers library, which sees each new word once.
 
-    Holds for tokenizers that drop ASCII white space before splitting (checked): a text's ids are the
-    concatenation of its words' ids."""
+    Holds for lower-casing tokenizers that drop ASCII white space and split letters from other marks (checked):
+    a text's ids are the concatenation of its words' ids, and a word's are those of its stem and of the
+    marks that end it.  Words are found and told apart by numpy over the bytes of many texts: words of up to
+    ``_LONG`` bytes by a 64-bit hash (two of n different words agree with probability n * n / 2**65), longer
+    ones by themselves."""
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
-        split = json.dumps(spec.get("pre_tokenizer"))
-        if '"Removed"' not in split or '"invert": true' not in split or "\\\\s" not in split:
-            raise ValueError("this tokenizer may join ids across white space")
-        self.tokenizer, self.remembered, self.known = Tokenizer.from_file(path), remembered, {}
+        split, normal = json.dumps(spec.get("pre_tokenizer")), json.dumps(spec.get("normalizer"))
+        if '"Removed"' not in split or '"invert": true' not in split or "|[^\\\\s\\\\p{L}\\\\p{N}]+" not in split or '"Lowercase"' not in normal:
+            raise ValueError("this tokenizer may join ids across words or marks")
+        self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
+        self.words, self.stems = {}, {}  # hash of a word, or a stem, to its ids as little-endian bytes
+
+    @staticmethod
+    def stem(word: bytes) -> tuple:
+        """(stem, marks that end the word); the stem in lower case where that cannot change what the library sees."""
+        if b"|" in word:  # may hold a special token
+            return word, b""
+        core = word.rstrip(_MARKS)
+        if len(core) < len(word) and not core[-1:].isalnum() and not (core and core.decode()[-1].isalpha()):
+            core = word  # the marks may go on to the left
+        return core.lower() if core.isascii() else core, word[len(core):]
+
+    def _learn(self, new: dict) -> None:
+        """Work out the ids of words not remembered (key -> word): the library gets their unknown stems in one call."""
+        if len(self.stems) > self.remembered:
+            self.stems = {}
+        stems, parts = self.stems, [(key, *self.stem(w)) for key, w in new.items()]
+        unknown = list({x for _, *pair in parts for x in pair} - stems.keys())
+        for i in range(0, len(unknown), 20_000):
+            some = unknown[i:i + 20_000]
+            for x, e in zip(some, self.tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)):
+                ids = e.ids
+                stems[x] = struct.pack(f"<{len(ids)}I", *ids)
+        self.words.update((key, stems[core] + stems[marks] if marks else stems[core]) for key, core, marks in parts)
 
     def encode(self, texts: list, end: int) -> list:
         """Unsigned 32-bit id arrays, each with the end id."""
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > self.remembered:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        tail = np.array([end], "<u4").tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)) + tail, "<u4") for words in split]
+        out, chunk, size = [], [], 0
+        for t in texts:
+            chunk.append(t.encode())
+            size += len(chunk[-1])
+            if size >= _CHUNK:
+                out.extend(self._encode(chunk, end))
+                chunk, size = [], 0
+        return out + self._encode(chunk, end) if chunk else out
+
+    def _encode(self, texts: list, end: int) -> list:
+        joined = b"\n".join(texts) + b"\n"
+        data = np.frombuffer(joined, np.uint8)
+        space = _SPACE[data]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1  # words begin and end in turn
+        if not space[0]:
+            edge = np.concatenate([[0], edge])
+        start, stop = edge[0::2], edge[1::2]
+        hashes = word_hashes(data, start, stop)
+        long = np.flatnonzero(stop - start > _LONG)
+        keys, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = keys.tolist()
+        if len(self.words) > self.remembered:
+            self.words = {}
+        known = self.words
+        self._learn({k: joined[start[i]:stop[i]] for k, i in zip(keys, first.tolist()) if k not in known and stop[i] - start[i] <= _LONG})
+        coded = [known.get(k, b"") for k in keys]
+        if len(long):  # every long word has an entry of its own
+            words = [joined[start[i]:stop[i]] for i in long]
+            self._learn(dict(enumerate(words, -len(words))))
+            number[long] = np.arange(len(coded), len(coded) + len(words))
+            coded += [known.pop(i - len(words)) for i in range(len(words))]
+        flat = np.frombuffer(b"".join(coded), "<u4")
+        length = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        at = np.cumsum(length) - length
+        many = length[number]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        ids = flat[np.repeat(at[number] - upto[:-1], many) + np.arange(upto[-1])]
+        # words before each text's end, then ids before it
+        text_end = np.cumsum([len(t) + 1 for t in texts])
+        cut = upto[np.searchsorted(start, text_end)].tolist()
+        return [np.append(ids[a:b], np.uint32(end)) for a, b in zip([0, *cut], cut)]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -87,8 +87,11 @@ def test_blocks_round_trip():
 def test_word_ids_equal_library():
     tk = Tokenizer.from_file(P.path(T.TOKENIZER))
     ours = T.WordIds(P.path(T.TOKENIZER), remembered=800)
-    for i in range(0, len(STRINGS), 500):
-        part = STRINGS[i:i + 500]
+    marked = ["".join(_rnd.choice("ABab01.,!?-_'s#$%&*|<>()é\u0301Σß² ") for _ in range(_rnd.randint(0, 30))) for _ in range(4000)]
+    marked += ["", " ", "x" * 65 + " " + "y" * 300 + "! " + "x" * 65, "é" * 200, "\n\na"]
+    assert ours.encode([], 1) == []
+    for i in range(0, len(STRINGS + marked), 900):
+        part = (STRINGS + marked)[i:i + 900]
         assert [x[:-1].tolist() for x in ours.encode(part, 1)] == [e.ids for e in tk.encode_batch(part, add_special_tokens=False)]
 
 
