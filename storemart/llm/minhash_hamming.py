@@ -144,12 +144,15 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
 
 
-def _first_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Each node with the nearest leader of its buckets.  A bucket is led by its most central member,
-    the one that shares the most keys with others."""
+def _leaders(members: DataFrame) -> DataFrame:
+    """(key, lead): a bucket is led by its most central member, the one that shares the most keys with others."""
     central = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    lead = members.join(central, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("x")).select("key", F.col("x.node").alias("a"))
-    pairs = members.join(lead, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    return members.join(central, "node").groupBy("key").agg(F.max(F.struct("weight", "node")).alias("x")).select("key", F.col("x.node").alias("lead"))
+
+
+def _first_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each node with the nearest leader of its buckets (``members`` with the column lead)."""
+    pairs = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     return _near(pairs, nodes).groupBy("b").agg(F.min(F.struct("errors", "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
 
 
@@ -158,15 +161,17 @@ def _open_meetings(members: DataFrame, labels: DataFrame) -> tuple:
     of a bucket with several components into one block of about ``BLOCK`` nodes, (node, block) names
     the blocks that a node outside its bucket's largest component has to be held against.  Of two
     such nodes, the one of the lower block visits the other."""
-    rows = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("label"))
+    rows = members.join(labels, "node", "left").select("key", "node", "n", "lead", F.coalesce("component", "node").alias("label"))
     sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.count("*").alias("k")).where("k > 1").select(
         "key", F.col("x.label").alias("top"))
     rows = materialise(rows.join(top, "key"), "near-open")
-    # nodes are put together by their largest bucket, so that a large group lies in few blocks
-    homes = rows.groupBy("node").agg(F.first("label").alias("label"), F.max(F.struct("n", "key")).alias("home"))
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("home.n") / F.lit(BLOCK)))
-    blocks = materialise(homes.select("node", "label", F.xxhash64("home.key", part).alias("block")), "near-blocks")
+    # nodes are put together by the leader of their largest bucket, so that a large group lies in few blocks
+    homes = rows.groupBy("node").agg(F.first("label").alias("label"), F.max(F.struct("n", "key", "lead")).alias("home")).select(
+        "node", "label", F.col("home.lead").alias("lead"))
+    size = homes.groupBy("lead").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / F.lit(BLOCK)))
+    blocks = materialise(homes.join(size, "lead").select("node", "label", F.xxhash64("lead", part).alias("block")), "near-blocks")
     placed = rows.join(blocks.select("node", "block"), "node")
     there = placed.groupBy("key", "block").agg(F.bool_or(F.col("label") == F.col("top")).alias("has_top"))
     guests = placed.where("label <> top").select("key", "node", F.col("block").alias("own"))
@@ -238,8 +243,9 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "
                 F.monotonically_increasing_id().alias("node")), "near-nodes")
     keys = materialise(index_keys(nodes), "near-keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")  # the others join with nothing
-    members = materialise(keys.join(shared, "key"), "near-buckets")
-    forget(spark, keys)
+    found = materialise(keys.join(shared, "key"), "near-buckets")
+    members = materialise(found.join(_leaders(found), "key"), "near-members")
+    forget(spark, keys, found)
 
     sets_of = lambda wanted: _full_sets(docs, wanted, nodes, shingle, text_col, id_col)
     first = materialise(_first_pairs(members, nodes), "near-first")
