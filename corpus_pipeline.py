@@ -39,7 +39,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with the digests of ids and decoded bytes."""
     configure(spark)
-    return byte_bpe.digest(byte_bpe.encode(docs), keep_ids=True)
+    return byte_bpe.digest(byte_bpe.encode(docs.select("doc_id", "text")), keep_ids=True)
 
 
 STAGES = [("quality rules", quality), ("near-duplicate removal", near_duplicates),

@@ -9,7 +9,8 @@ The vocabulary (about 50,000 entries, bounded by its file) is read on the driver
 hash is built once, and broadcast.
 
 Defined cases: a null text is the empty text (no ids, empty bytes); repeated rows are encoded row by
-row; long texts are matched by the pattern as a whole; other columns pass through.
+row; long texts are matched by the pattern as a whole; other columns pass through, one named like the
+result is replaced.
 """
 
 from __future__ import annotations
@@ -131,7 +132,9 @@ def _restore(ranks, pattern, limit, whole):
 
 
 def _map_column(df: DataFrame, source: str, out: str, path: str, work) -> DataFrame:
-    """Append the binary column ``out`` = work(encoder, value of ``source``)."""
+    """Append the binary column ``out`` = work(encoder, value of ``source``); a column of that name is replaced."""
+    if out in df.columns and out != source:
+        df = df.drop(out)
     shared = df.sparkSession.sparkContext.broadcast(Encoder(read_ranks(path)))
     at = df.columns.index(source)
 

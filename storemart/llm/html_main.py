@@ -12,7 +12,7 @@ lines (menus without a telling tag) do not.
 
 Defined cases: a null, empty or markup-only page has the empty text; unclosed tags are closed by their
 containers; a vetoed element that is never closed ends where an article or main element begins;
-repeated pages are read row by row; other columns pass through.
+repeated pages are read row by row; other columns pass through, one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -236,6 +236,7 @@ def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> Data
     """All columns plus ``out``: the main text, blocks joined by an empty line."""
     whole = fresh(pages, "__whole")
     df = pages.withColumn(whole, whole_text(html_col))
+    df = df.drop(out) if out in df.columns else df
     at = df.columns.index(whole)
 
     def run(frames):

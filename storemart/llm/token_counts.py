@@ -11,7 +11,7 @@ The vocabulary is bounded by its file; it is prepared on the driver and broadcas
 
 Defined cases: a null or empty text has 0 tokens; strings of control tokens inside a text are ordinary
 text; characters outside the vocabulary count one token per UTF-8 byte; repeated rows are counted row
-by row; other columns pass through.
+by row; other columns pass through, one named like the result is replaced.
 """
 
 from __future__ import annotations
@@ -119,6 +119,7 @@ def count(docs: DataFrame, path: str | None = None, text_col: str = "text", out:
     shared = docs.sparkSession.sparkContext.broadcast(Counter(read_scores(path or public_tokenizers.path(MODEL))))
     whole = fresh(docs, "__whole")
     df = docs.withColumn(whole, whole_text(text_col))
+    df = df.drop(out) if out in df.columns else df
     at = df.columns.index(whole)
 
     def run(frames):

@@ -46,6 +46,7 @@ def test_bpe_frames(odd, nothing):
     done = B.decode(B.encode(odd, out="codes"), ids_col="codes", out="plain").collect()
     assert len(done) == len(ODD) and all(bytes(r["plain"]).decode() == (r["text"] or "") and r["ids"] == "extra ids" for r in done)
     assert B.digest(B.encode(nothing)).count() == 0
+    assert B.encode(odd).columns.count("ids") == 1 and B.encode(odd).select("ids").dtypes == [("ids", "binary")]
     d = {(r["doc_id"], r["n_tokens"]) for r in B.digest(B.encode(odd.select("doc_id", "text"))).collect()}
     assert (1, 0) in d and (2, 0) in d
 
