@@ -5,10 +5,10 @@ each line knows its text, its number of tags, its share of link text and the con
 Lines inside boilerplate (by element, role, hidden state, or a class or id that names one) are marked.
 
 The text-to-tag ratio of the lines in page order is smoothed with a Gaussian; lines at or above the
-threshold (the standard deviation of the smoothed ratios) seed clusters.  The content region is the
-article or main element around the seeds, else the smallest container that holds them.  All unmarked
-lines of the region are returned in page order, so short paragraphs inside it stay; runs of pure link
-lines (menus without a telling tag) do not.
+threshold (the standard deviation of the smoothed ratios) seed clusters.  Seeds inside article or main
+elements choose these and the articles beside them; with a seed outside of such elements, the content
+region is the whole page.  All unmarked lines of the region are returned in page order, so short
+paragraphs and sections stay; runs of pure link lines (menus without a telling tag) do not.
 
 Defined cases: a null, empty or markup-only page has the empty text; unclosed tags are closed by their
 containers; a vetoed element that is never closed ends where an article or main element begins;
@@ -195,17 +195,21 @@ def _menu_lines(lines: list) -> set:
     return out
 
 
+def _home(path: tuple) -> tuple:
+    """The path of the outermost article or main element around a line; empty without one."""
+    return next((path[:depth + 1] for depth, (tag, _) in enumerate(path) if tag in ("article", "main")), ())
+
+
 def _region(paths: list) -> tuple:
-    """The container path around the seed lines: their article or main element, else the smallest container of all."""
+    """The container path around seed lines inside articles: their article or main element, else the smallest container of all."""
     common = paths[0]
     for p in paths[1:]:
         n = 0
         while n < min(len(common), len(p)) and common[n] == p[n]:
             n += 1
         common = common[:n]
-    for depth, (tag, _) in enumerate(common):
-        if tag in ("article", "main"):
-            return common[:depth + 1]
+    if _home(common):
+        return _home(common)
     while common and common[-1][0] not in REGION:
         common = common[:-1]
     return common
@@ -221,15 +225,16 @@ def blocks_of(html: str) -> list:
         return []
     ratio = smoothed_ratios(lines)
     seeds = [i for i in free if ratio[i] >= ratio.std()] or [max(free, key=lambda i: ratio[i])]
+    if not all(_home(lines[i][3]) for i in seeds):
+        return [lines[i][0] for i in free]  # nothing tells prose of uneven length from the rest of the page
     region = _region([lines[i][3] for i in seeds])
-    # a heading just before the region, in the same parent, belongs to it
-    first = next(i for i in free if lines[i][3][:len(region)] == region)
-    lead = []
-    if not any(t in ("article", "main") for t, _ in region):
-        before = [i for i in free if i < first]
+    article = _home(region)
+    kept = {i for i in free if lines[i][3][:len(region)] == region or article and _home(lines[i][3])[:-1] == article[:-1] and _home(lines[i][3])}
+    if not article:  # headings just before the region belong to it
+        before = [i for i in free if i < min(kept)]
         while before and lines[before[-1]][3] and lines[before[-1]][3][-1][0] in HEADINGS:
-            lead.insert(0, before.pop())
-    return [lines[i][0] for i in lead] + [lines[i][0] for i in free if lines[i][3][:len(region)] == region]
+            kept.add(before.pop())
+    return [lines[i][0] for i in sorted(kept)]
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

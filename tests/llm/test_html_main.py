@@ -48,6 +48,19 @@ def test_short_paragraphs_of_a_long_article_stay():
     assert H.blocks_of("<body><div><article>" + "".join(f"<p>{b}</p>" for b in body) + "</article></div></body>") == body
 
 
+def test_sections_of_uneven_length_stay():
+    short, long = [f"Short paragraph {i} of the summary, cut at sixty chars." for i in range(2)], [f"Long {i} " + FILL * 9 + "." for i in range(6)]
+    sections = (f"<section><h2>{name}</h2>" + "".join(f"<p>{p}</p>" for p in body) + "</section>" for name, body in (("Summary", short), ("Details", long)))
+    page = f"<body><nav><a href=1>Menu</a></nav><div class=hero><h1>Title</h1></div><div id=text>{''.join(sections)}</div><div class=footer>Foot</div></body>"
+    assert H.blocks_of(page) == ["Title", "Summary", *short, "Details", *long]
+
+
+def test_articles_of_uneven_length_stay():
+    short, long = [f"Short {i}." for i in range(6)], [f"Long {i} " + FILL * 9 + "." for i in range(6)]
+    first, second = ("".join(f"<p>{p}</p>" for p in body) for body in (short, long))
+    assert H.blocks_of(f"<body><div>Site</div><div><article><h2>One</h2>{first}</article><article>{second}</article></div></body>") == ["One", *short, *long]
+
+
 def test_generated_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     for r in H.extract(pages, out="main").collect():
