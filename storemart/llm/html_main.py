@@ -3,12 +3,15 @@
 The standard library's parser feeds events to a line builder: every block-level tag ends a line, and
 each line knows its text, its number of tags, its share of link text and the containers it stands in.
 Lines inside boilerplate (by element, role, hidden state, or a class or id that names one) are marked.
+A name counts in full when all of it says boilerplate ("comments", "ad-box"); inside article and main
+elements only such names of containers count.  Elsewhere, a name of which only a part says so ("post-menu")
+does not mark an element that holds most of the prose.  Headings and anchors of sections are never marked by name.
 
 The text-to-tag ratio of the lines in page order is smoothed with a Gaussian; lines at or above the
 threshold (the standard deviation of the smoothed ratios) seed clusters.  Seeds inside article or main
 elements choose these and the articles beside them; with a seed outside of such elements, the content
 region is the whole page.  All unmarked lines of the region are returned in page order, so short
-paragraphs and sections stay; runs of pure link lines (menus without a telling tag) do not.
+paragraphs and sections stay; runs of pure link lines outside articles (menus without a telling tag) do not.
 
 Defined cases: a null, empty or markup-only page has the empty text; unclosed tags are closed by their
 containers; a vetoed element that is never closed ends where an article or main element begins;
@@ -43,6 +46,13 @@ NAMES = frozenset(("ad ads advert adverts advertisement advertising sponsor spon
                    "widgets pagination pager toolbar skip copyright teaser teasers outbrain taboola paywall").split())
 #: Of a whole page or article, only these names make it boilerplate.
 ARTICLE_NAMES = frozenset("ad ads advert advertisement sponsored promo comment comments reply related teaser recommended".split())
+#: Names with no other use, and words that may stand beside one.
+PLAIN_NAMES = frozenset(("ad ads advert adverts advertisement advertising sponsor sponsored promo gdpr consent navbar navigation nav breadcrumb "
+                         "breadcrumbs sidebar footer masthead topbar comment comments reply replies disqus share sharing related recommended "
+                         "newsletter subscribe signup popup modal pagination pager copyright teaser teasers outbrain taboola paywall").split())
+BESIDE = frozenset(("area section list box block body container wrapper wrap inner form left right top bottom slot unit banner bar button buttons "
+                    "link links icons item items card group row column col panel posts post articles article stories widget node").split())
+CONTAINERS = frozenset("article main div section aside ul ol li dl table nav header footer details center dir".split())
 NEGATED = ("no", "not", "has", "with", "without", "is", "hide")
 REGION = frozenset("article main section div td body blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -53,33 +63,52 @@ _KERNEL = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 _KERNEL /= _KERNEL.sum()
 
 
-def _named(tag: str, attrs: list) -> bool:
-    """Whether role, state, class or id of an element say boilerplate."""
+def _plain(name: str, names: frozenset) -> bool:
+    """Whether a whole class or id says boilerplate: one of the names, with nothing but layout words beside it."""
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    return not names.isdisjoint(parts) and all(p in names or p in BESIDE or p.isdigit() for p in parts)
+
+
+def _partly(name: str) -> bool:
+    """Whether a part of a class or id says boilerplate; parts after a negation do not."""
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    end = next((i for i, p in enumerate(parts) if p in NEGATED), len(parts))
+    return not NAMES.isdisjoint(parts[:end])
+
+
+def _named(tag: str, attrs: list, inside: bool = False) -> int:
+    """What role, state, class and id of an element say: 2 boilerplate, 1 boilerplate unless it holds most of the prose, 0 neither."""
     if tag in ("html", "body"):
-        return False
-    names = ARTICLE_NAMES if tag in ("article", "main") else NAMES
+        return 0
+    found = 0
     for key, value in attrs:
         value = value or ""
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 2
         if key == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
+            return 2
         if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id"):
-            for name in value.split():
-                parts = [p.lower() for p in _PARTS.findall(name)]
-                if parts and parts[0] not in NEGATED and not names.isdisjoint(parts):
-                    return True
-    return False
+            return 2
+        if key not in ("class", "id") or tag in HEADINGS or key == "id" and (tag not in CONTAINERS or inside and tag == "section"):
+            continue
+        for name in value.split():
+            if tag in ("article", "main"):
+                found = 2 if _plain(name, ARTICLE_NAMES) else found
+            elif inside:
+                found = 2 if tag in CONTAINERS and _plain(name, PLAIN_NAMES) else found
+            elif _plain(name, PLAIN_NAMES if tag in CONTAINERS else NAMES):
+                found = 2
+            elif tag in CONTAINERS and (tag, key) != ("section", "id") and _partly(name):
+                found = max(found, 1)
+    return found
 
 
 class LineBuilder(HTMLParser):
-    """Parser events to lines: (text pieces, tags, link characters, container path, marked)."""
+    """Parser events to lines: (text, tags, link characters, container path, marks of the containers)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = []  # open block elements: (tag, number, marked)
+        self.stack = []  # open block elements: (tag, number, mark 0 to 2)
         self.count = 0
         self.links = 0
         self.lines = []
@@ -88,8 +117,7 @@ class LineBuilder(HTMLParser):
     def end_line(self):
         text = " ".join("".join(self.pieces).split())
         if text:
-            marked = any(m for _, _, m in self.stack)
-            self.lines.append((text, self.tags, self.link_chars, tuple((t, n) for t, n, _ in self.stack), marked))
+            self.lines.append((text, self.tags, self.link_chars, tuple((t, n) for t, n, _ in self.stack), tuple(m for _, _, m in self.stack)))
             self.tags = 0
         self.pieces, self.link_chars = [], 0
 
@@ -106,7 +134,9 @@ class LineBuilder(HTMLParser):
             self.links = 1
         elif tag in ("td", "th"):
             self.pieces.append(" ")
-        marks = tag in BOILERPLATE or _named(tag, attrs) or (tag == "header" and not self.inside("article", "main"))
+        inside = self.inside("article", "main")
+        named = _named(tag, attrs, inside)
+        marks = 2 if tag in BOILERPLATE or tag == "header" and not inside else named
         if tag in VOID:
             if tag == "hr":
                 self.end_line()
@@ -114,7 +144,7 @@ class LineBuilder(HTMLParser):
         if tag not in BLOCKS and not marks:
             return
         if tag in BLOCKS:
-            if tag in ("article", "main") and not _named(tag, attrs):
+            if tag in ("article", "main") and not named:
                 self.leave_unclosed()
             self.imply_ends(tag)
         self.end_line()
@@ -170,11 +200,22 @@ class LineBuilder(HTMLParser):
 
 
 def lines_of(html: str) -> list:
+    """The lines of a page: (text, tags, link characters, container path, marked)."""
     parser = LineBuilder()
     parser.feed(html)
     parser.close()
     parser.close_to(0)
-    return parser.lines
+    prose, total = {}, 0  # characters outside links, of each container marked 1 and of the page
+    for text, _, link_chars, path, marks in parser.lines:
+        if 2 not in marks:
+            chars = max(0, len(text) - link_chars)
+            total += chars
+            for (_, number), mark in zip(path, marks):
+                if mark:
+                    prose[number] = prose.get(number, 0) + chars
+    most = {number for number, chars in prose.items() if 2 * chars > total}
+    return [(text, tags, link_chars, path, any(m == 2 or m and n not in most for (_, n), m in zip(path, marks)))
+            for text, tags, link_chars, path, marks in parser.lines]
 
 
 def smoothed_ratios(lines: list) -> np.ndarray:
@@ -184,10 +225,10 @@ def smoothed_ratios(lines: list) -> np.ndarray:
 
 
 def _menu_lines(lines: list) -> set:
-    """Numbers of lines in runs of three or more that are link text only."""
+    """Numbers of lines outside articles in runs of three or more that are link text only."""
     out, run = set(), []
-    for i, (text, _, link_chars, _, _) in enumerate([*lines, ("", 0, -1, (), False)]):
-        if link_chars >= 0 and link_chars >= 0.9 * len(text):
+    for i, (text, _, link_chars, path, _) in enumerate([*lines, ("", 0, -1, (), False)]):
+        if link_chars >= 0 and link_chars >= 0.9 * len(text) and not _home(path):
             run.append(i)
         else:
             out.update(run if len(run) >= 3 else ())

@@ -27,6 +27,15 @@ PAGES = {
     "article header": (f"<header>Site {FILL}</header><article><header><h1>Head</h1></header><p>Body {FILL}</p><footer>By me {FILL}</footer></article>",
                        ["Head", f"Body {FILL}"]),
     "comments as articles": (f"<article><p>Body {FILL}</p></article><article class=comment><p>Reader {FILL}</p></article>", [f"Body {FILL}"]),
+    "names inside an article": (f"<article class='post comment-open'><h2 id=related-work>Related work</h2><p>Body {FILL}</p><section id=discussion><h2>Discussion</h2>"
+                                f"<p class=notice>We argue {FILL}</p></section><div class=search-methods><p>Found {FILL}</p></div>"
+                                f"<div class=ad-box>Buy {FILL}</div><div id=comments><p>Reader {FILL}</p></div></article>",
+                                ["Related work", f"Body {FILL}", "Discussion", f"We argue {FILL}", f"Found {FILL}"]),
+    "names around the text": (f"<div class=post-with-comments><h1 id=search>Head</h1><p>Body {FILL}</p></div><div class='page-menu wide'><p>More {FILL}</p><p>Most {FILL * 3}</p></div>"
+                              f"<div class=top-menu>Menu</div><section id=discussion><p>Ends {FILL}</p></section><section id=comments><p>{FILL * 20}</p></section>",
+                              ["Head", f"Body {FILL}", f"More {FILL}", f"Most {FILL * 3}", f"Ends {FILL}"]),
+    "linked sources": (f"<main><p>Body {FILL}</p><h2>Sources</h2><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></main>",
+                       [f"Body {FILL}", "Sources", "One", "Two", "Three"]),
     "text only": ("just text", ["just text"]),
     "nothing": ("", []),
     "markup only": ("<html><body><nav>menu</nav><script>x</script></body></html>", []),
