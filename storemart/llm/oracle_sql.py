@@ -1,6 +1,6 @@
 """DuckDB statements of the corpus queries that SQL can express."""
 
-from . import chat_pairs
+from . import centroid_native, chat_pairs, fim_arrow, pstable_cosine
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -36,4 +36,6 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM d LEFT JOIN n ON n.r = d.r JOIN least_id ON least_id.r = d.r
 """
 
-SQL = {"op3_chat_formatting": chat_pairs.SQL, "op9_benchmark_decontamination": DECONTAMINATION, "op10_minhash_near_dedup": NEAR_DUPLICATES}
+SQL = {"op3_chat_formatting": chat_pairs.SQL, "op9_benchmark_decontamination": DECONTAMINATION, "op10_minhash_near_dedup": NEAR_DUPLICATES,
+       "op11_embedding_near_dedup": pstable_cosine.SQL, "op12_fim_transformation": fim_arrow.SQL,
+       "op13_centroid_clustering": centroid_native.duckdb_sql()}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_pairs, decontam, html_main, lm_attention, minhash_hamming, quality_llr, token_counts, token_files, warc_derivatives
+from . import (byte_bpe, centroid_native, chat_pairs, decontam, fim_arrow, html_main, lm_attention, minhash_hamming, pstable_cosine, quality_llr,
+               token_counts, token_files, warc_derivatives)
 from .common import scratch, table, whole_text
 from .oracle_sql import SQL  # noqa: F401  (read by the entry module)
 
@@ -82,6 +83,27 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component and number of links of every embedding (cosine 0.98 or more within a label)."""
+    found = pstable_cosine.groups(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op12_fim_transformation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, and the text rebuilt from it, as digests."""
+    made = fim_arrow.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return fim_arrow.restore(made).select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                                          F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"),
+                                          F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every embedding after ten rounds from eight hashed starts."""
+    found = centroid_native.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=8, dim=64, rounds=10, seed=3)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid_native.centroid_digest().alias("centroid_sha256"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_html_extraction, op2_byte_level_bpe, op3_chat_formatting, op4_token_counts, op5_warc_derivatives,
-    op6_lm_scoring, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup)}
+    op6_lm_scoring, op7_token_files, op8_quality_rules, op9_benchmark_decontamination, op10_minhash_near_dedup,
+    op11_embedding_near_dedup, op12_fim_transformation, op13_centroid_clustering)}
