@@ -40,22 +40,24 @@ def start(vectors: DataFrame, k: int, seed: int) -> list:
     return [list(r["q"]) for r in vectors.select("q", digest.alias("h")).orderBy("h", "q").limit(k).collect()]
 
 
+def _array(numbers: list) -> str:
+    return "array(" + ", ".join(f"{x}L" for x in numbers) + ")"
+
+
 def nearest(centroids: list) -> Column:
     """Struct (distance, cluster) of the nearest centroid to ``q``."""
-    def squared(c):
-        literal = F.array(*[F.lit(x).cast("long") for x in c])
-        return F.aggregate(F.zip_with("q", literal, lambda x, y: (x - y) * (x - y)), F.lit(0).cast("long"), lambda s, x: s + x)
-
-    return F.array_min(F.array(*[F.struct(squared(c).alias("distance"), F.lit(i).alias("cluster")) for i, c in enumerate(centroids)]))
+    squared = "aggregate(zip_with(q, {}, (x, y) -> (x - y) * (x - y)), 0L, (s, x) -> s + x)"
+    return F.expr("array_min(array(" + ", ".join(
+        f"named_struct('distance', {squared.format(_array(c))}, 'cluster', {i})" for i, c in enumerate(centroids)) + "))")
 
 
 def update(vectors: DataFrame, centroids: list, dim: int) -> list:
     """Centroids after one round: exact floor of the mean of each component; empty clusters keep theirs."""
     rows = vectors.select(nearest(centroids)["cluster"].alias("cluster"), "q").groupBy("cluster").agg(
-        F.count("*").alias("n"), *[F.sum(F.col("q")[i]).alias(f"s{i}") for i in range(dim)]).collect()
+        F.count("*").alias("n"), *[F.expr(f"sum(q[{i}])") for i in range(dim)]).collect()
     moved = list(centroids)
     for r in rows:
-        moved[r["cluster"]] = [r[f"s{i}"] // r["n"] for i in range(dim)]  # Python's // is the floor
+        moved[r["cluster"]] = [total // r["n"] for total in r[2:]]  # Python's // is the floor
     return moved
 
 
@@ -72,7 +74,7 @@ def cluster(vectors: DataFrame, k: int = 8, dim: int = 64, rounds: int = 10, see
     last = materialise(kept.select("vec_id", nearest(centroids).alias("near")).select("vec_id", "near.cluster", "near.distance"), "centroid-assigned")
     spent = {r["cluster"]: int(r["s"]) for r in last.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
     by_cluster = F.array(*[F.lit(spent.get(i, 0)).cast("long") for i in range(len(centroids))])
-    arrays = F.array(*[F.array(*[F.lit(x).cast("long") for x in c]) for c in centroids])
+    arrays = F.expr(f"array({', '.join(map(_array, centroids))})")
     return last.select("vec_id", "cluster", "distance", by_cluster[F.col("cluster")].alias("cluster_inertia"),
                        F.lit(sum(spent.values())).cast("long").alias("inertia"), arrays[F.col("cluster")].alias("centroid"))
 
@@ -85,7 +87,7 @@ def duckdb_sql(k: int = 8, dim: int = 64, rounds: int = 10, seed: int = 3) -> st
     """The whole computation in DuckDB, one pair of steps per round."""
     def assign(r):
         return f"""a{r} AS MATERIALIZED (SELECT r, q, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
-            SELECT v.r, v.q, m.c, list_sum(list_transform(list_zip(v.q, m.q), p -> (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{r} m) x GROUP BY r, q)"""
+            SELECT v.r, v.q, m.c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v.q, m.q)]) AS d FROM v, c{r} m) x GROUP BY r, q)"""
 
     def move(r):
         return f"""c{r + 1} AS MATERIALIZED (SELECT old.c, coalesce(new.q, old.q) AS q FROM c{r} old LEFT JOIN (
@@ -94,8 +96,8 @@ def duckdb_sql(k: int = 8, dim: int = 64, rounds: int = 10, seed: int = 3) -> st
 
     steps = ",\n".join(x for r in range(rounds) for x in (assign(r), move(r)))
     return f"""
-WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x) AND abs({SCALE} * CAST(x AS DOUBLE)) <= {LIMIT})) = {dim}),
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q
+  FROM embeddings WHERE len(embedding) = {dim} AND len([x for x in embedding if x IS NOT NULL AND isfinite(x) AND abs({SCALE} * CAST(x AS DOUBLE)) <= {LIMIT}]) = {dim}),
 c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q FROM (
   SELECT sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM v ORDER BY h, q LIMIT {k}) x),
 {steps},

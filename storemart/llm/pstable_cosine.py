@@ -272,8 +272,8 @@ def groups(vectors: DataFrame, cosine: float = COSINE, miss: float = MISS, id_co
 SQL = """
 WITH RECURSIVE
 v AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NOT NULL AND isfinite(x))) = len(e)
-      AND len(list_filter(e, x -> x <> 0)) > 0),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len([x for x in e if x IS NOT NULL AND isfinite(x)]) = len(e)
+      AND len([x for x in e if x <> 0]) > 0),
 edge AS (SELECT a.r AS x, b.r AS y FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT r, r AS other FROM v UNION SELECT reach.r, edge.y FROM reach JOIN edge ON edge.x = reach.other),

@@ -51,7 +51,7 @@ def planted(seed=4, dim=64):
         rows += [(label, rng.standard_normal(dim)) for _ in range(60)]
         centre = M.unit(rng.standard_normal(dim))
         rows += [(label, near(rng, centre, 0.996) * rng.uniform(0.1, 9)) for _ in range(70)]  # a ball with its border
-        rows += [(label, near(rng, centre, c)) for c in (0.9805, 0.981, 0.985, 0.97, 0.98, 0.99) * 4]
+        rows += [(label, near(rng, centre, c)) for c in (0.9801, 0.981, 0.985, 0.97, 0.9799, 0.99) * 4]
         wide = M.unit(rng.standard_normal(dim))
         rows += [(label, near(rng, wide, 0.988)) for _ in range(40)]  # members about 0.976 apart: links and others
         step = M.unit(rng.standard_normal(dim))
