@@ -84,3 +84,43 @@ def running_sum(df: DataFrame, group_cols: list, order_cols: list, sum_cols: lis
     out = local.join(offsets, [_PID, *group_cols], "inner")
     return out.withColumns({f"{c}{suffix}": F.col(f"_o_{c}") + F.col(f"_l_{c}") for c in sum_cols}) \
         .drop(_PID, *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
+
+
+def neighbours(df: DataFrame, group_cols: list, order_cols: list, value_cols: list, before: int, after: int,
+               before_col: str = "_before", after_col: str = "_after", num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus arrays of the values of the up to ``before`` previous and ``after`` next rows of the same group, in
+    order, without putting a whole group in one task.
+
+    Rows are range-partitioned on (group, order) and checkpointed; each task looks at its slice.  A group lies in more
+    than one slice only if it is the first or last of a slice, so at most two groups per slice have borders: their
+    ``before`` first and last (``after``) rows per slice, a table bounded by the number of slices, are put in order once
+    more and their arrays carried over.  (group, order) must be unique.
+    """
+    checkpoint_dir(df.sparkSession)
+    keys = list(group_cols) + list(order_cols)
+    fixed = _ranged(df, keys, num_partitions).sortWithinPartitions(*keys).checkpoint(eager=True)
+    tagged = fixed.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
+
+    def arrays(w):
+        x = F.struct(*value_cols)
+        return {before_col: F.collect_list(x).over(w.rowsBetween(-before, -1)), after_col: F.collect_list(x).over(w.rowsBetween(1, after))}
+
+    slice_of = Window.partitionBy(_PID, *group_cols)
+    local = tagged.withColumns({**arrays(slice_of.orderBy(*order_cols)), "_sm_rn": F.row_number().over(slice_of.orderBy(*order_cols))})
+    group = F.struct(*group_cols)
+    # the first and last group of each slice: two rows per slice
+    edges = tagged.groupBy(_PID).agg(F.min(group).alias("a"), F.max(group).alias("z")).select(_PID, F.explode(F.array("a", "z")).alias("g")).distinct()
+    split = edges.groupBy("g").agg(F.count("*").alias("_sm_slices")).where("_sm_slices > 1").select("g.*")
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in group_cols]
+    cut = tagged.select(_PID, _MID, *keys, *value_cols).alias("x").join(F.broadcast(split.alias("y")), same, "left_semi")
+    back = slice_of.orderBy(*[F.col(c).desc() for c in order_cols])
+    reach = max(before, after)
+    border = cut.withColumns({"_sm_rn": F.row_number().over(slice_of.orderBy(*order_cols)), "_sm_back": F.row_number().over(back)}) \
+        .where((F.col("_sm_rn") <= reach) | (F.col("_sm_back") <= reach))
+    carried = border.withColumns(arrays(Window.partitionBy(*group_cols).orderBy(*order_cols))).select(
+        _MID, F.col(before_col).alias("_sm_before"), F.col(after_col).alias("_sm_after"), F.col("_sm_back"))
+    joined = local.join(carried, _MID, "left")
+    return joined.withColumns({
+        before_col: F.when(F.col("_sm_back").isNotNull() & (F.col("_sm_rn") <= before), F.col("_sm_before")).otherwise(F.col(before_col)),
+        after_col: F.when(F.col("_sm_back") <= after, F.col("_sm_after")).otherwise(F.col(after_col)),
+    }).drop(_PID, _MID, "_sm_rn", "_sm_before", "_sm_after", "_sm_back")

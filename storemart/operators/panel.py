@@ -1,10 +1,9 @@
 """Monthly product × store panel, next-period target and engineered features.
 
 Plan shape: the star join feeds a partial+final hash aggregate on the 26
-group columns; the three windows (lead, lag, rolling) share one window
-specification partitioned by (product_key, store_id), so Spark sorts once per
-partition.  A hot (product, store) pair is bounded by months × customers ×
-salespeople rows after the aggregation, never by raw order lines.
+group columns; lead, lag and rolling values come from one pass over slices of
+(product, store, panel order) that carries at most three rows over each slice
+border, so a hot (product, store) pair is never in one task.
 
 Money stays DECIMAL through sums (exact, order-independent) and becomes
 DOUBLE only at the feature boundary; averages are sum/count in double so the
@@ -13,11 +12,12 @@ value does not depend on summation order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import measures as M
+from .keys import neighbours
 
 PRODUCT_GROUP = ["product_key", "product_id", "product_name", "product_category_name",
                  "product_subcategory_name", "product_model_name", "color", "size", "weight",
@@ -82,38 +82,36 @@ def _measures_as_double(df: DataFrame) -> DataFrame:
     })
 
 
-def panel_window() -> Window:
-    return Window.partitionBy("product_key", "store_id").orderBy(*_PANEL_ORDER)
-
-
 def monthly_panel(wh: dict) -> DataFrame:
     """The monthly panel with measures as double."""
     return _measures_as_double(monthly_aggregate(wh)).select(*GROUP_COLS, *MEASURES)
 
 
-def with_target(agg: DataFrame) -> DataFrame:
+def in_order(agg: DataFrame) -> DataFrame:
+    """Each panel row with its up to three previous and one next rows of the same (product, store), in panel order."""
+    return neighbours(agg, ["product_key", "store_id"], _PANEL_ORDER, ["_net", "_margin"], before=3, after=1)
+
+
+def with_target(ordered: DataFrame) -> DataFrame:
     """Next row's net sales within (product, store) (W01); rows without one dropped."""
-    w = panel_window()
-    return agg.withColumn("_next", F.lead("_net").over(w)).where(F.col("_next").isNotNull())
+    return ordered.withColumn("_next", F.get("_after", F.lit(0))["_net"]).where(F.col("_next").isNotNull())
 
 
 def model_dataset(wh: dict) -> DataFrame:
     """Panel + target, rows with a successor only."""
-    d = _measures_as_double(with_target(monthly_aggregate(wh)))
+    d = _measures_as_double(with_target(in_order(monthly_aggregate(wh))))
     return d.select(*GROUP_COLS, *MEASURES, F.col("_next").cast("double").alias(TARGET))
 
 
 def engineer(with_next: DataFrame) -> DataFrame:
-    """M02 on a frame that still carries the decimal sums (_net, _margin, ...)."""
-    w = panel_window()
-    prev_net = F.lag("_net", 1).over(w)
-    roll = w.rowsBetween(-3, -1)
-    roll_sum = F.sum("_net").over(roll)
-    roll_cnt = F.count("_net").over(roll)
+    """M02 on a frame that still carries the decimal sums (_net, _margin, ...) and the neighbouring rows."""
+    last = F.get("_before", F.size("_before") - 1)
+    known = F.filter(F.transform("_before", lambda r: r["_net"]), lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast("decimal(38,4)"), lambda acc, x: (acc + x).cast("decimal(38,4)"))
     d = _measures_as_double(with_next).withColumns({
-        "_prev": prev_net.cast("double"),
-        "_prev_margin": F.lag("_margin", 1).over(w).cast("double"),
-        "_roll": F.when(roll_cnt > 0, roll_sum.cast("double") / roll_cnt),
+        "_prev": last["_net"].cast("double"),
+        "_prev_margin": last["_margin"].cast("double"),
+        "_roll": F.when(F.size(known) > 0, total.cast("double") / F.size(known)),
     })
     cur = F.col("current_month_net_sales")
     feats = {
@@ -139,7 +137,7 @@ def engineer(with_next: DataFrame) -> DataFrame:
 
 def engineered_features(wh: dict) -> DataFrame:
     """The training table: panel, target, 11 engineered features (M01 + M02)."""
-    return engineer(with_target(monthly_aggregate(wh)))
+    return engineer(with_target(in_order(monthly_aggregate(wh))))
 
 
 def feature_columns(df: DataFrame) -> list:

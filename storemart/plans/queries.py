@@ -443,10 +443,19 @@ def tree_attribution(spark, sf_dir):
     return ML.grouped_importance(spark, sf_dir, "gradient_boosting")
 
 
+def forest_attribution(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.grouped_importance(spark, sf_dir, "random_forest")
+
+
 def reduced_boosting_forecast(spark, sf_dir):
     from ..ml import pipeline as ML
-    from ..ml import train as TR
-    return TR.predictions(ML.reduced(spark, sf_dir, "gradient_boosting"), ML.dataset(spark, sf_dir))
+    return ML.reduced_forecast(spark, sf_dir, "gradient_boosting")
+
+
+def reduced_forest_forecast(spark, sf_dir):
+    from ..ml import pipeline as ML
+    return ML.reduced_forecast(spark, sf_dir, "random_forest")
 
 
 def model_comparison(spark, sf_dir):
@@ -610,7 +619,9 @@ REGISTRY = {
     "forest_forecast": forest_forecast,
     "boosting_forecast": boosting_forecast,
     "tree_attribution": tree_attribution,
+    "forest_attribution": forest_attribution,
     "reduced_boosting_forecast": reduced_boosting_forecast,
+    "reduced_forest_forecast": reduced_forest_forecast,
     "model_comparison": model_comparison,
     "runs_table": runs_table,
     "best_run": best_run,
