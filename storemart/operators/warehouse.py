@@ -21,6 +21,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import dates as D
 from ..functions import measures as M
@@ -264,7 +265,7 @@ def fact_project(stage: DataFrame, key_col: str = "fact_store_sales_key") -> Dat
         F.col("subtotal").cast("decimal(19,4)").alias("header_subtotal"),
         F.col("tax_amt").cast("decimal(19,4)").alias("header_tax_amt"),
         F.col("freight").cast("decimal(19,4)").alias("header_freight"),
-        F.col("total_due").cast("decimal(19,4)").alias("header_total_due"))
+        F.col("total_due").cast("decimal(19,4)").alias("header_total_due"), *(["period"] if "period" in stage.columns else []))
 
 
 def missing_key_counts(stage: DataFrame) -> DataFrame:
@@ -321,7 +322,7 @@ def build_raw(src: dict, base: str = BASE_PERIOD_START, max_period: int | None =
     start, end = _all_periods(base, max_period)
     raw = raw_extract(src, start, end, base)
     n = dense_number(raw, ["period", "sales_order_id", "sales_order_detail_id"], "raw_store_sales_id")
-    return n.select("raw_store_sales_id", *RAW_COLS)
+    return n.select("raw_store_sales_id", *RAW_COLS, "period")
 
 
 def build_fact(raw: DataFrame, dims: dict) -> DataFrame:
@@ -338,18 +339,29 @@ def backfill(spark, src: dict, wh_dir: str, base: str = BASE_PERIOD_START,
     for name, df in dims.items():
         df.write.mode("overwrite").parquet(f"{wh_dir}/{name}")
     dims = {name: spark.read.parquet(f"{wh_dir}/{name}") for name in dims}
-    build_raw(src, base, max_period).write.mode("overwrite").parquet(f"{wh_dir}/raw_store_sales")
-    raw = spark.read.parquet(f"{wh_dir}/raw_store_sales")
-    build_fact(raw, dims).write.mode("overwrite").parquet(f"{wh_dir}/fact_store_sales")
+    build_raw(src, base, max_period).write.mode("overwrite").partitionBy("period").parquet(f"{wh_dir}/raw_store_sales")
+    facts = build_fact(months(spark, wh_dir, "raw_store_sales"), dims)
+    facts.repartitionByRange("period", "fact_store_sales_key").write.mode("overwrite").partitionBy("period").parquet(f"{wh_dir}/fact_store_sales")
+    for name in MONTHLY_TABLES:
+        _note_keys(months(spark, wh_dir, name), wh_dir, name)
     return open_warehouse(spark, wh_dir)
 
 
-WAREHOUSE_TABLES = ["dim_store_customer", "dim_product", "dim_time", "dim_salesperson",
-                    "raw_store_sales", "fact_store_sales"]
+# Tables in month folders (period=N) with the column that numbers their rows.
+MONTHLY_TABLES = {"raw_store_sales": "raw_store_sales_id", "fact_store_sales": "fact_store_sales_key"}
+WAREHOUSE_TABLES = ["dim_store_customer", "dim_product", "dim_time", "dim_salesperson", *MONTHLY_TABLES]
+
+
+def months(spark, wh_dir: str, name: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Rows of a month-partitioned table with their ``period``; with limits, only those months' folders are read."""
+    from .. import schemas
+    df = spark.read.schema(StructType([*schemas.WAREHOUSE[name].fields, StructField("period", IntegerType())])).parquet(f"{wh_dir}/{name}")
+    return df if first is None else df.where(F.col("period").between(first, last))
 
 
 def open_warehouse(spark, wh_dir: str) -> dict:
-    return {t: spark.read.parquet(f"{wh_dir}/{t}") for t in WAREHOUSE_TABLES}
+    return {t: months(spark, wh_dir, t).drop("period") if t in MONTHLY_TABLES else spark.read.parquet(f"{wh_dir}/{t}")
+            for t in WAREHOUSE_TABLES}
 
 
 # ---------------------------------------------------------------- monthly load
@@ -363,6 +375,20 @@ def _append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _note_keys(rows: DataFrame, wh_dir: str, name: str) -> None:
+    """Append the largest key of each of these months to the written key state: one small row per month and load."""
+    _append(rows.groupBy("period").agg(F.max(MONTHLY_TABLES[name]).alias("max_key")).select(F.lit(name).alias("table_name"), "period", "max_key"),
+            f"{wh_dir}/_key_state")
+
+
+def _next_key(spark, wh_dir: str, name: str, here: DataFrame) -> int:
+    """The key after the largest one given: from the key state and, should a load have ended between rows and state, the
+    months being loaded (``here``)."""
+    path, key = f"{wh_dir}/_key_state", MONTHLY_TABLES[name]
+    noted = spark.read.parquet(path).where(F.col("table_name") == name) if _exists(spark, path) else None
+    return 1 + max(_max_key(here, key), _max_key(noted, "max_key") if noted is not None else 0)
+
+
 def _exists(spark, path: str) -> bool:
     """Whether the path is there; any other failure (permission, network) surfaces."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -375,7 +401,9 @@ def ensure_warehouse(spark, wh_dir: str) -> None:
     for name in WAREHOUSE_TABLES:
         path = f"{wh_dir}/{name}"
         if not _exists(spark, path):
-            spark.createDataFrame([], schemas.WAREHOUSE[name]).write.mode("errorifexists").parquet(path)
+            empty = spark.createDataFrame([], schemas.WAREHOUSE[name]).withColumn("period", F.lit(1))
+            writer = empty.write.partitionBy("period") if name in MONTHLY_TABLES else empty.drop("period").write
+            writer.mode("errorifexists").parquet(path)
     sp_path = f"{wh_dir}/dim_salesperson"
     sp = spark.read.parquet(sp_path)
     seed = unknown_salesperson(spark).join(sp.select("salesperson_id"), "salesperson_id", "left_anti")
@@ -398,15 +426,18 @@ def write_period_counter(spark, wh_dir: str, next_period: int) -> None:
 
 
 def load_period(spark, src: dict, wh_dir: str, period: int | None = None,
-                base: str = BASE_PERIOD_START, max_period: int | None = None, close: bool = True) -> dict:
-    """Load one month: new dimension members, new raw rows, new facts; then advance
-    the counter (unless the month stays open, ``close=False``).  Idempotent: a re-run finds nothing
-    new.  A period outside the limits is reported in ``rejected_period``."""
+                base: str = BASE_PERIOD_START, max_period: int | None = None, close: bool = True, through: int | None = None) -> dict:
+    """Load one month, or the months from ``period`` up to ``through`` at once (catching up gives the same keys as month by
+    month): new dimension members, new raw rows, new facts; then advance the counter (unless the last month stays
+    open, ``close=False``).  Raw rows and facts are looked up in the folders of these months only; the next key comes from
+    the key state.  Idempotent: a re-run finds nothing new.  A period outside the limits is reported in
+    ``rejected_period``."""
     ensure_warehouse(spark, wh_dir)
     p = clamp_period(read_period_counter(spark, wh_dir) if period is None else period)
-    start, end = period_window(p, base, max_period)
-    if start is None:
-        return {"loaded_period": None, "next_period": p, "rejected_period": p}
+    last = max(p, through or p)
+    start, end = period_window(p, base, max_period)[0], period_window(last, base, max_period)[1]
+    if start is None or end is None:
+        return {"loaded_period": None, "next_period": p, "rejected_period": last}
     wh = open_warehouse(spark, wh_dir)
 
     # dimensions: anti-join on the natural id, number after the current max key
@@ -418,38 +449,42 @@ def load_period(spark, src: dict, wh_dir: str, period: int | None = None,
         ("dim_salesperson", salesperson_rows(src, start, end, base), "salesperson_id",
          "salesperson_key", DIM_SALESPERSON_COLS),
     ]
-    for name, rows, id_col, key_col, cols in specs:
+    def append_members(name, rows, id_col, key_col, cols) -> None:
         existing = wh[name]
         new = rows.join(existing.select(id_col), id_col, "left_anti")
         start_key = _max_key(existing, key_col) + 1
         numbered = dense_number(new, ["first_period", id_col], key_col, start=start_key)
         _append(numbered.select(F.col(key_col).cast("long"), *cols).select(*existing.columns),
                 f"{wh_dir}/{name}")
-    tim = time_rows(src, start, end).join(wh["dim_time"].select("full_date"), "full_date", "left_anti")
-    _append(tim.select(*wh["dim_time"].columns), f"{wh_dir}/dim_time")
 
-    # raw rows not yet loaded (composite-key anti-join, J04)
-    wh = open_warehouse(spark, wh_dir)
-    raw_new = raw_extract(src, start, end, base).join(
-        wh["raw_store_sales"].select("sales_order_id", "sales_order_detail_id"),
-        ["sales_order_id", "sales_order_detail_id"], "left_anti")
-    raw_start = _max_key(wh["raw_store_sales"], "raw_store_sales_id") + 1
-    raw_num = dense_number(raw_new, ["sales_order_id", "sales_order_detail_id"], "raw_store_sales_id",
-                           start=raw_start)
-    _append(raw_num.select("raw_store_sales_id", *RAW_COLS).select(*wh["raw_store_sales"].columns),
-            f"{wh_dir}/raw_store_sales")
-
-    # raw rows of the period without a fact yet → facts
+    def append_days() -> None:
+        tim = time_rows(src, start, end).join(wh["dim_time"].select("full_date"), "full_date", "left_anti")
+        _append(tim.select(*wh["dim_time"].columns), f"{wh_dir}/dim_time")
+
+    line = ["sales_order_id", "sales_order_detail_id"]
+
+    def append_months(name: str, rows: DataFrame, finish) -> None:
+        """Rows whose line is not in its month yet (an order line lies in the month of its order date, J04), numbered in
+        (month, order, line) order."""
+        here = months(spark, wh_dir, name, p, last)
+        new = rows.join(here.select("period", *line), ["period", *line], "left_anti")
+        numbered = dense_number(new, ["period", *line], MONTHLY_TABLES[name], start=_next_key(spark, wh_dir, name, here))
+        out = finish(numbered).select(*wh[name].columns, "period")
+        out.repartitionByRange("period", MONTHLY_TABLES[name]).write.mode("append").partitionBy("period").parquet(f"{wh_dir}/{name}")
+        _note_keys(months(spark, wh_dir, name, p, last), wh_dir, name)
+
+    # dimensions and raw rows do not read each other: independent jobs from a few driver threads
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        jobs = [pool.submit(append_months, "raw_store_sales", raw_extract(src, start, end, base),
+                            lambda n: n.select("raw_store_sales_id", *RAW_COLS, "period"))]
+        jobs += [pool.submit(append_members, *spec) for spec in specs] + [pool.submit(append_days)]
+        for job in jobs:
+            job.result()
     wh = open_warehouse(spark, wh_dir)
-    staged = wh["raw_store_sales"].where(in_window("order_date", start, end)).join(
-        wh["fact_store_sales"].select("sales_order_id", "sales_order_detail_id"),
-        ["sales_order_id", "sales_order_detail_id"], "left_anti")
-    fact_start = _max_key(wh["fact_store_sales"], "fact_store_sales_key") + 1
-    staged_num = dense_number(staged.drop("raw_store_sales_id"),
-                              ["sales_order_id", "sales_order_detail_id"], "fact_store_sales_key",
-                              start=fact_start)
-    facts = fact_project(key_gate(fact_stage(staged_num, wh)))
-    _append(facts.select(*wh["fact_store_sales"].columns), f"{wh_dir}/fact_store_sales")
-
-    write_period_counter(spark, wh_dir, p + 1 if close else p)  # only after every append succeeded (T05)
+    # raw rows of the months without a fact yet
+    append_months("fact_store_sales", months(spark, wh_dir, "raw_store_sales", p, last).drop("raw_store_sales_id"),
+                  lambda n: fact_project(key_gate(fact_stage(n, wh))))
+
+    write_period_counter(spark, wh_dir, last + 1 if close else last)  # only after every append succeeded (T05)
     return {"loaded_period": p, "next_period": read_period_counter(spark, wh_dir)}

@@ -592,3 +592,12 @@ ranked AS (
 SELECT * EXCLUDE (rn, avg_monthly_sales, {", ".join("avg_" + c for c in _REP_REPLACE)})
        REPLACE ({", ".join(f"avg_{c} AS {c}" for c in _REP_REPLACE)}), avg_monthly_sales AS monthly_sales
 FROM ranked WHERE rn = 1"""
+
+SQL.update({
+    "monthly_load_replay": SQL["fact_transform"],
+    "streaming_incremental_load": with_ctes("""
+SELECT f.sales_order_id, f.sales_order_detail_id, c.customer_id, p.product_id, s.salesperson_id, f.order_date_key, f.order_qty,
+       f.gross_amount, f.discount_amount, f.net_amount, f.margin_amount
+FROM fact_store_sales f JOIN dim_store_customer c USING (customer_key) JOIN dim_product p USING (product_key)
+JOIN dim_salesperson s USING (salesperson_key)"""),
+})

@@ -7,6 +7,8 @@ folder), so its work grows with the input.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
@@ -19,6 +21,7 @@ from ..operators import integrity as I
 from ..operators import panel as P
 from ..operators import quality as Q
 from ..operators import warehouse as W
+from ..session import checkpoint_dir
 from ..sources import catalog
 
 BASE = catalog.TESTDATA_BASE
@@ -480,6 +483,42 @@ def ab_scored_log(spark, sf_dir):
     return ML.ab_scored_log(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- scheduled load
+
+# Fixed value: months loaded one by one before the replay catches up two years at a time.
+REPLAY_SINGLE_MONTHS = 2
+
+
+def monthly_load_replay(spark, sf_dir):
+    """The scheduled load from an empty warehouse: single months, a rerun that adds nothing, then two years at a time."""
+    src = _src(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/storemart/replay-{uuid.uuid4().hex}"
+    last = src["salesorderheader"].agg(F.max(W.period_col("order_date", BASE))).first()[0] or 0
+    for _ in range(min(REPLAY_SINGLE_MONTHS, last)):
+        W.load_period(spark, src, root, base=BASE)
+    W.load_period(spark, src, root, period=1, base=BASE)
+    W.ensure_warehouse(spark, root)
+    while (p := W.read_period_counter(spark, root)) <= last:
+        W.load_period(spark, src, root, period=p, base=BASE, through=min(p + 23, last))
+    return W.open_warehouse(spark, root)["fact_store_sales"]
+
+
+# Dates inside months at which the orders of the stream are delivered.
+DELIVERY_CUTS = ["1996-03-15", "1998-07-10"]
+
+
+def streaming_incremental_load(spark, sf_dir):
+    """T01-T06 driven by arriving orders: three deliveries that split two months; facts by their natural keys."""
+    from ..streaming import jobs as SJ
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    wh = W.open_warehouse(spark, SJ.run_incremental_load(spark, _src(spark, sf_dir), orders, DELIVERY_CUTS, BASE))
+    return wh["fact_store_sales"].join(wh["dim_store_customer"].select("customer_key", "customer_id"), "customer_key") \
+        .join(wh["dim_product"].select("product_key", "product_id"), "product_key") \
+        .join(wh["dim_salesperson"].select("salesperson_key", "salesperson_id"), "salesperson_key") \
+        .select("sales_order_id", "sales_order_detail_id", "customer_id", "product_id", "salesperson_id", "order_date_key", "order_qty",
+                "gross_amount", "discount_amount", "net_amount", "margin_amount")
+
+
 # ---------------------------------------------------------------- streaming forms
 
 def streaming_fingerprints(spark, sf_dir):
@@ -619,6 +658,8 @@ REGISTRY = {
     "forest_forecast": forest_forecast,
     "boosting_forecast": boosting_forecast,
     "tree_attribution": tree_attribution,
+    "monthly_load_replay": monthly_load_replay,
+    "streaming_incremental_load": streaming_incremental_load,
     "forest_attribution": forest_attribution,
     "reduced_boosting_forecast": reduced_boosting_forecast,
     "reduced_forest_forecast": reduced_forest_forecast,

@@ -37,6 +37,22 @@ def test_monthly_loads_equal_backfill_and_are_idempotent(spark):
     for t in W.WAREHOUSE_TABLES:
         assert _canon(a[t]) == _canon(b[t]), t
     assert counts["fact_store_sales"] > 0
+    # the same months caught up in one load get the same keys
+    caught_up = tempfile.mkdtemp(prefix="wh-through-")
+    assert W.load_period(spark, src, caught_up, period=1, base=BASE, through=PERIODS)["next_period"] == PERIODS + 1
+    c = W.open_warehouse(spark, caught_up)
+    for t in W.WAREHOUSE_TABLES:
+        assert _canon(a[t]) == _canon(c[t]), t
+    # one month's folder is read, not the table
+    files = W.months(spark, monthly, "fact_store_sales", 2, 2).select(F.input_file_name().alias("f")).distinct().collect()
+    assert files and all("period=2/" in r["f"] for r in files)
+    plan = W.months(spark, monthly, "fact_store_sales", 2, 2)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan
+    # a load on top of the backfill goes on with its keys
+    W.load_period(spark, src, onepass, period=PERIODS + 1, base=BASE)
+    W.load_period(spark, src, monthly, base=BASE)
+    for t in W.WAREHOUSE_TABLES:
+        assert _canon(W.open_warehouse(spark, monthly)[t]) == _canon(W.open_warehouse(spark, onepass)[t]), t
     # the Unknown salesperson is seeded first
     assert a["dim_salesperson"].where(F.col("salesperson_key") == 1).first()["salesperson_id"] == -1
 
@@ -69,3 +85,14 @@ def test_unreadable_warehouse_is_not_replaced(spark):
         W.ensure_warehouse(spark, folder)
         W.open_warehouse(spark, folder)["dim_time"].count()
     assert open(f"{folder}/dim_time/part-0.parquet").read() == "not parquet"
+
+
+def test_keys_go_on_after_a_load_that_ended_before_its_key_state(spark):
+    src = testdata.source_frames(spark, SF_SMALL)
+    wh = tempfile.mkdtemp(prefix="wh-crash-")
+    W.load_period(spark, src, wh, period=1, base=BASE)
+    import shutil
+    shutil.rmtree(f"{wh}/_key_state")
+    W.load_period(spark, src, wh, period=1, base=BASE, through=2)
+    facts = W.open_warehouse(spark, wh)["fact_store_sales"]
+    assert facts.select("fact_store_sales_key").distinct().count() == facts.count() == facts.agg(F.max("fact_store_sales_key")).first()[0]
