@@ -271,10 +271,11 @@ def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pipeline form: one document of each group with the columns of ``docs``; exact repeats of its row go too."""
-    kept = (groups(docs, shingle, percent, id_col, text_col)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash")))
-            .select(F.col("doc_id").alias("__kid"), F.col("text_hash").alias("__khash")).distinct())
     h, i = fresh(docs, "__hash"), fresh(docs, "__id")
     wide = docs.withColumn(h, F.xxhash64(whole_text(text_col))).withColumn(i, F.col(id_col).cast("long"))
-    return (wide.join(kept, F.col(h).eqNullSafe(F.col("__khash")) & F.col(i).eqNullSafe(F.col("__kid")), "left_semi")
+    kid, khash = fresh(wide, "__kid"), fresh(wide, "__khash")
+    kept = (groups(docs, shingle, percent, id_col, text_col)
+            .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("keep_hash")))
+            .select(F.col("doc_id").alias(kid), F.col("text_hash").alias(khash)).distinct())
+    return (wide.join(kept, F.col(h).eqNullSafe(F.col(khash)) & F.col(i).eqNullSafe(F.col(kid)), "left_semi")
             .dropDuplicates([i, h]).select(*docs.columns))

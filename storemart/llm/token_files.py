@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -138,16 +139,22 @@ class WordIds:
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
         self.words, self.stems = {}, {}  # hash of a word, or a stem, to its ids as little-endian bytes
 
-    @staticmethod
-    def stem(word: bytes) -> tuple:
+    def stem(self, word: bytes) -> tuple:
         """(stem, marks that end the word); the stem in lower case where that cannot change what the library sees."""
         if b"|" in word:  # may hold a special token
             return word, b""
         core = word.rstrip(_MARKS)
-        if len(core) < len(word) and not core[-1:].isalnum() and not (core and core.decode()[-1].isalpha()):
+        if len(core) < len(word) and not core[-1:].isalnum() and not (core and self._ends_in_letter(core.decode())):
             core = word  # the marks may go on to the left
         return core.lower() if core.isascii() else core, word[len(core):]
 
+    def _ends_in_letter(self, core: str) -> bool:
+        """Whether the library splits marks from this stem: what it makes of the stem ends in a letter or digit (lower case
+        and composition can end a letter in a combining mark, which goes with the marks).  Letters that are younger
+        than the oldest tables may be none to the library: then the word stays whole."""
+        normal = self.tokenizer.normalizer.normalize_str(core)
+        return bool(normal) and all(table.category(normal[-1])[0] in "LN" for table in (unicodedata, unicodedata.ucd_3_2_0))
+
     def _learn(self, new: dict) -> None:
         """Work out the ids of words not remembered (key -> word): the library gets their unknown stems in one call."""
         if len(self.stems) > self.remembered:

@@ -96,6 +96,23 @@ def test_word_ids_equal_library():
         assert [x[:-1].tolist() for x in ours.encode(part, 1)] == [e.ids for e in tk.encode_batch(part, add_special_tokens=False)]
 
 
+def test_every_letter_before_every_mark():
+    """Letters whose lower case or composition ends in a combining mark keep the marks behind them."""
+    import sys
+    import unicodedata
+    tk = Tokenizer.from_file(P.path(T.TOKENIZER))
+    ours = T.WordIds(P.path(T.TOKENIZER), remembered=100_000)
+    letters = [chr(c) for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "LNM" and not 0x3400 <= c <= 0x9FFF
+               and not 0xAC00 <= c <= 0xD7A3 and not 0x17000 <= c <= 0x18CFF and not 0x20000 <= c <= 0x3FFFF]
+    marks = [bytes([b]).decode() for b in T._MARKS]
+    texts = [f"a{c}{marks[i % len(marks)]} {c}.. b{c}!{c}" for i, c in enumerate(letters)]
+    texts += [f"x{c}{m}" for c in "\u0130\u0958\u095f\u09dc\u0a33\u0f43\ufb1d\u00df\u03a3" for m in marks] + ["\u0130zm\u0130!", "\u0958."]
+    for i in range(0, len(texts), 20_000):
+        part = texts[i:i + 20_000]
+        bad = [t for t, x, e in zip(part, ours.encode(part, 1), tk.encode_batch(part, add_special_tokens=False)) if x[:-1].tolist() != e.ids]
+        assert not bad, bad[:10]
+
+
 def expected(rows):
     tk = Tokenizer.from_file(P.path(T.TOKENIZER))
     out, start = [], 0
