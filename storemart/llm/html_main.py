@@ -9,18 +9,21 @@ does not mark an element that holds most of the prose.  Headings and anchors of
 
 The text-to-tag ratio of the lines in page order is smoothed with a Gaussian; lines at or above the
 threshold (the standard deviation of the smoothed ratios) seed clusters.  Seeds inside article or main
-elements choose these and the articles beside them; with a seed outside of such elements, the content
-region is the whole page.  All unmarked lines of the region are returned in page order, so short
-paragraphs and sections stay; runs of pure link lines outside articles (menus without a telling tag) do not.
+elements choose these and the articles beside them.  With a seed outside of such elements the clusters are
+containers (sections, divisions, cells): ratios are smoothed inside each, and containers that stay below the
+threshold and have no heading (link rows, footers without a telling tag) go.  All unmarked lines of what is kept
+are returned in page order, so short paragraphs stay; runs of pure link lines outside articles do not.
 
 Defined cases: a null, empty or markup-only page has the empty text; unclosed tags are closed by their
-containers; a vetoed element that is never closed ends where an article or main element begins;
+containers, an unclosed comment or tag at the end goes; nesting of any depth and pages of any length take
+time in proportion to their length; a vetoed element that is never closed ends where an article or main element begins;
 repeated pages are read row by row; other columns pass through, one named like the result is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -56,9 +59,11 @@ CONTAINERS = frozenset("article main div section aside ul ol li dl table nav hea
 NEGATED = ("no", "not", "has", "with", "without", "is", "hide")
 REGION = frozenset("article main section div td body blockquote".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SILENT = frozenset(("script", "style"))
 RADIUS = 2
 SIGMA = 1.0
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_TAG_START = re.compile(r"<[A-Za-z/!?]")
 _KERNEL = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 _KERNEL /= _KERNEL.sum()
 
@@ -104,12 +109,15 @@ def _named(tag: str, attrs: list, inside: bool = False) -> int:
 
 
 class LineBuilder(HTMLParser):
-    """Parser events to lines: (text, tags, link characters, container path, marks of the containers)."""
+    """Parser events to lines (text, tags, link characters, node): a node is a block element with its parent, so a line costs the
+    same however deep it stands.  Node 0 is the page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = []  # open block elements: (tag, number, mark 0 to 2)
-        self.count = 0
+        self.tag, self.parent, self.mark, self.home = [""], [-1], [0], [0]  # by node; home: outermost article or main, 0 without
+        self.stack = [0]  # open nodes
+        self.open = {}  # tag to the places of its open nodes in the stack
+        self.marked = 0  # open nodes with a mark
         self.links = 0
         self.lines = []
         self.pieces, self.tags, self.link_chars = [], 0, 0
@@ -117,15 +125,23 @@ class LineBuilder(HTMLParser):
     def end_line(self):
         text = " ".join("".join(self.pieces).split())
         if text:
-            self.lines.append((text, self.tags, self.link_chars, tuple((t, n) for t, n, _ in self.stack), tuple(m for _, _, m in self.stack)))
+            self.lines.append((text, self.tags, self.link_chars, self.stack[-1]))
             self.tags = 0
         self.pieces, self.link_chars = [], 0
 
     def close_to(self, depth: int):
+        """Close the open nodes from this place of the stack on."""
         self.end_line()
+        for node in self.stack[depth:]:
+            self.open[self.tag[node]].pop()
+            self.marked -= self.mark[node] > 0
         del self.stack[depth:]
         self.links = 0
 
+    def place(self, *tags) -> int:
+        """Place of the innermost open node with one of these tags, 0 without."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag == "br":
@@ -134,7 +150,7 @@ class LineBuilder(HTMLParser):
             self.links = 1
         elif tag in ("td", "th"):
             self.pieces.append(" ")
-        inside = self.inside("article", "main")
+        inside = bool(self.home[self.stack[-1]])
         named = _named(tag, attrs, inside)
         marks = 2 if tag in BOILERPLATE or tag == "header" and not inside else named
         if tag in VOID:
@@ -147,34 +163,43 @@ class LineBuilder(HTMLParser):
             if tag in ("article", "main") and not named:
                 self.leave_unclosed()
             self.imply_ends(tag)
-        self.end_line()
-        self.count += 1
-        self.stack.append((tag, self.count, marks))
-
-    def inside(self, *tags) -> bool:
-        return any(t in tags for t, _, _ in self.stack)
+        if not (tag in SILENT and self.mark[self.stack[-1]] == 0):  # a script inside a paragraph does not end its line
+            self.end_line()
+        self.push(tag, marks)
+
+    def push(self, tag: str, marks: int):
+        above, node = self.stack[-1], len(self.tag)
+        self.open.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(node)
+        self.marked += marks > 0
+        self.tag.append(tag)
+        self.parent.append(above)
+        self.mark.append(marks)
+        self.home.append(self.home[above] or (node if tag in ("article", "main") else 0))
 
     def leave_unclosed(self):
         """An article begins: boilerplate of the page that is still open was never closed."""
-        for depth, (tag, _, marked) in enumerate(self.stack):
-            if marked and tag in ("nav", "header", "head", "title", "form", "p", "span", "ul"):
+        if not self.marked:
+            return
+        for depth, node in enumerate(self.stack):
+            if self.mark[node] and self.tag[node] in ("nav", "header", "head", "title", "form", "p", "span", "ul"):
                 self.close_to(depth)
                 return
 
     def imply_ends(self, tag: str):
         """A new block ends an open paragraph; a list item, row or option ends its predecessor."""
-        for depth in range(len(self.stack) - 1, -1, -1):
-            open_tag = self.stack[depth][0]
-            if open_tag == "p" or open_tag in HEADINGS and tag in HEADINGS:
-                self.close_to(depth)
-                return
-            if open_tag == tag and tag in ("li", "dt", "dd", "tr", "option"):
-                self.close_to(depth)
-                return
-            if open_tag == "head" and tag == "body":
+        if tag in ("li", "tr"):  # looks through other blocks, up to the list or table
+            at = self.place("p", tag, "ul", "ol", "table", "tbody", "thead", "tfoot", "menu")
+            if at and self.tag[self.stack[at]] in ("p", tag):
+                self.close_to(at)
+            return
+        for depth in range(len(self.stack) - 1, 0, -1):
+            open_tag = self.tag[self.stack[depth]]
+            if open_tag == "p" or open_tag in HEADINGS and tag in HEADINGS or open_tag == tag and tag in ("dt", "dd", "option") \
+                    or open_tag == "head" and tag == "body":
                 self.close_to(depth)
                 return
-            if open_tag in BLOCKS and not (tag in ("li", "tr") and open_tag not in ("ul", "ol", "table", "tbody", "thead", "tfoot", "menu")):
+            if open_tag in BLOCKS:
                 return
 
     def handle_endtag(self, tag):
@@ -183,52 +208,88 @@ class LineBuilder(HTMLParser):
             self.links = 0
         elif tag in ("td", "th"):
             self.pieces.append(" ")
-        for depth in range(len(self.stack) - 1, -1, -1):
-            open_tag = self.stack[depth][0]
-            if open_tag == tag:
-                self.close_to(depth)
-                return
-            if open_tag in ("article", "main", "body") and tag not in ("body", "html", "main", "article"):
-                break  # a stray end tag does not close its container
-        if tag in BLOCKS:
+        at = self.place(tag)
+        # a stray end tag does not close its container
+        if at and (tag in ("body", "html", "main", "article") or at > self.place("article", "main", "body")):
+            if tag in SILENT and at == len(self.stack) - 1:
+                self.drop_silent()
+            else:
+                self.close_to(at)
+        elif tag in BLOCKS:
             self.end_line()
 
+    def drop_silent(self):
+        """The end of a script or style: its node goes, the line around it goes on."""
+        node = self.stack.pop()
+        self.open[self.tag[node]].pop()
+        self.marked -= self.mark[node] > 0
+
     def handle_data(self, data):
+        if self.tag[self.stack[-1]] in SILENT:
+            return
         self.pieces.append(data)
         if self.links:
             self.link_chars += len(data.strip())
 
 
-def lines_of(html: str) -> list:
-    """The lines of a page: (text, tags, link characters, container path, marked)."""
+def _whole_tags(html: str) -> tuple[str, str]:
+    """(markup up to the last tag's end, text behind it).  A comment or tag that is never closed is not looked for again
+    and again from every '<' in it: the comment goes, and so does the tag with what follows."""
+    comment = html.find("<!--", html.rfind("-->") + 1)
+    html = html if comment < 0 else html[:comment]
+    end = html.rfind(">") + 1
+    tail = html[end:]
+    cut = _TAG_START.search(tail)
+    return html[:end], tail[:cut.start()] if cut else tail
+
+
+def lines_of(html: str) -> tuple[list, LineBuilder]:
+    """The lines of a page (text, tags, link characters, node, marked), and the parser with its nodes."""
     parser = LineBuilder()
-    parser.feed(html)
+    markup, tail = _whole_tags(html)
+    parser.feed(markup)
     parser.close()
-    parser.close_to(0)
-    prose, total = {}, 0  # characters outside links, of each container marked 1 and of the page
-    for text, _, link_chars, path, marks in parser.lines:
-        if 2 not in marks:
+    parser.handle_data(unescape(tail))
+    parser.close_to(1)
+    hard, soft = [False], [0]  # by node: inside a node marked 2; nearest node marked 1, itself included
+    for node in range(1, len(parser.tag)):
+        up = parser.parent[node]
+        hard.append(hard[up] or parser.mark[node] == 2)
+        soft.append(node if parser.mark[node] == 1 else soft[up])
+    prose, total = [0] * len(parser.tag), 0  # characters outside links, of each node marked 1 and of the page
+    for text, _, link_chars, node in parser.lines:
+        if not hard[node]:
             chars = max(0, len(text) - link_chars)
             total += chars
-            for (_, number), mark in zip(path, marks):
-                if mark:
-                    prose[number] = prose.get(number, 0) + chars
-    most = {number for number, chars in prose.items() if 2 * chars > total}
-    return [(text, tags, link_chars, path, any(m == 2 or m and n not in most for (_, n), m in zip(path, marks)))
-            for text, tags, link_chars, path, marks in parser.lines]
-
-
-def smoothed_ratios(lines: list) -> np.ndarray:
-    """Text-to-tag ratio of each line, smoothed over its neighbours; marked lines weigh nothing."""
-    raw = np.array([0.0 if marked else len(text) / max(1, tags) for text, tags, _, _, marked in lines])
-    return np.convolve(np.pad(raw, RADIUS, mode="edge"), _KERNEL, mode="valid")
-
-
-def _menu_lines(lines: list) -> set:
+            prose[soft[node]] += chars
+    for node in range(len(parser.tag) - 1, 0, -1):  # inner nodes first
+        if parser.mark[node] == 1:
+            prose[soft[parser.parent[node]]] += prose[node]
+    spared = [True]  # by node: every node marked 1 around it holds most of the prose
+    for node in range(1, len(parser.tag)):
+        spared.append(spared[parser.parent[node]] and (parser.mark[node] != 1 or 2 * prose[node] > total))
+    return [(text, tags, links, node, hard[node] or not spared[node]) for text, tags, links, node in parser.lines], parser
+
+
+def smoothed_ratios(lines: list, group: list | None = None) -> np.ndarray:
+    """Text-to-tag ratio of each line, smoothed over its neighbours (of the same group; the outermost line stands for what
+    lies beyond); marked lines weigh nothing."""
+    raw = np.array([0.0 if line[4] else len(line[0]) / max(1, line[1]) for line in lines])
+    group = np.zeros(len(raw), np.int64) if group is None else np.asarray(group)
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    first, last = np.searchsorted(group, group, "left"), np.searchsorted(group, group, "right") - 1
+    near = np.arange(len(raw))[:, None] + np.arange(-RADIUS, RADIUS + 1)
+    smooth = np.empty(len(raw))
+    smooth[order] = raw[order][np.clip(near, first[:, None], last[:, None])] @ _KERNEL
+    return smooth
+
+
+def _menu_lines(lines: list, home: list) -> set:
     """Numbers of lines outside articles in runs of three or more that are link text only."""
     out, run = set(), []
-    for i, (text, _, link_chars, path, _) in enumerate([*lines, ("", 0, -1, (), False)]):
-        if link_chars >= 0 and link_chars >= 0.9 * len(text) and not _home(path):
+    for i, (text, _, link_chars, node, _) in enumerate([*lines, ("", 0, -1, 0, False)]):
+        if link_chars >= 0 and link_chars >= 0.9 * len(text) and not home[node]:
             run.append(i)
         else:
             out.update(run if len(run) >= 3 else ())
@@ -236,45 +297,43 @@ def _menu_lines(lines: list) -> set:
     return out
 
 
-def _home(path: tuple) -> tuple:
-    """The path of the outermost article or main element around a line; empty without one."""
-    return next((path[:depth + 1] for depth, (tag, _) in enumerate(path) if tag in ("article", "main")), ())
-
-
-def _region(paths: list) -> tuple:
-    """The container path around seed lines inside articles: their article or main element, else the smallest container of all."""
-    common = paths[0]
-    for p in paths[1:]:
-        n = 0
-        while n < min(len(common), len(p)) and common[n] == p[n]:
-            n += 1
-        common = common[:n]
-    if _home(common):
-        return _home(common)
-    while common and common[-1][0] not in REGION:
-        common = common[:-1]
-    return common
+def _clusters(lines: list, free: list, page: LineBuilder) -> list:
+    """The free lines of the containers that hold content.  Ratios are smoothed inside each container; one with a line at or
+    above the threshold, the smaller of the standard deviation and the median of all smoothed ratios, or with a
+    heading, is content with all its lines, and so are containers inside it; others (link rows, footers) are not."""
+    container = [0]  # by node: the nearest container, itself included
+    for node in range(1, len(page.tag)):
+        container.append(node if page.tag[node] in REGION else container[page.parent[node]])
+    held = [container[lines[i][3]] for i in free]
+    ratio = smoothed_ratios([lines[i] for i in free], held)
+    threshold = min(ratio.std(), float(np.median(ratio)))
+    seeded = {c for c, r in zip(held, ratio) if r >= threshold}
+    content = seeded | {c for c, i in zip(held, free) if page.tag[lines[i][3]] in HEADINGS}
+    within = [False]  # by node: below a container with a seed; the page itself does not count
+    for node in range(1, len(page.tag)):
+        up = page.parent[node]
+        within.append(within[up] or up in seeded and page.tag[up] not in ("", "body"))
+    return [i for i in free if container[lines[i][3]] in content or within[container[lines[i][3]]]]
 
 
 def blocks_of(html: str) -> list:
     """The content blocks of a page in page order."""
-    lines = lines_of(html)
-    menus = _menu_lines(lines)
-    lines = [(t, n, k, p, m or i in menus) for i, (t, n, k, p, m) in enumerate(lines)]
+    lines, page = lines_of(html)
+    home = page.home
+    menus = _menu_lines(lines, home)
+    lines = [(*line[:4], line[4] or i in menus) for i, line in enumerate(lines)]
     free = [i for i, line in enumerate(lines) if not line[4]]
     if not free:
         return []
     ratio = smoothed_ratios(lines)
-    seeds = [i for i in free if ratio[i] >= ratio.std()] or [max(free, key=lambda i: ratio[i])]
-    if not all(_home(lines[i][3]) for i in seeds):
-        return [lines[i][0] for i in free]  # nothing tells prose of uneven length from the rest of the page
-    region = _region([lines[i][3] for i in seeds])
-    article = _home(region)
-    kept = {i for i in free if lines[i][3][:len(region)] == region or article and _home(lines[i][3])[:-1] == article[:-1] and _home(lines[i][3])}
-    if not article:  # headings just before the region belong to it
-        before = [i for i in free if i < min(kept)]
-        while before and lines[before[-1]][3] and lines[before[-1]][3][-1][0] in HEADINGS:
-            kept.add(before.pop())
+    least = ratio.std()
+    seeds = [i for i in free if ratio[i] >= least] or [max(free, key=lambda i: ratio[i])]
+    homes = {home[lines[i][3]] for i in seeds}
+    if 0 in homes:  # content outside of articles: its containers, and all articles
+        kept = {*_clusters(lines, free, page), *(i for i in free if home[lines[i][3]])}
+    else:  # the articles with seeds, and those beside them
+        beside = {page.parent[h] for h in homes}
+        kept = {i for i in free if home[lines[i][3]] in homes or home[lines[i][3]] and page.parent[home[lines[i][3]]] in beside}
     return [lines[i][0] for i in sorted(kept)]
 
 

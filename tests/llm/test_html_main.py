@@ -70,6 +70,31 @@ def test_articles_of_uneven_length_stay():
     assert H.blocks_of(f"<body><div>Site</div><div><article><h2>One</h2>{first}</article><article>{second}</article></div></body>") == ["One", *short, *long]
 
 
+FOOTED = (f"<body><div class=links>About us Jobs</div><div class=text><p>Body {FILL * 2}</p><p>No.</p><p>More {FILL}</p><div>Caption</div></div>"
+          f"<div>(c) 2024 Foo Inc</div></body>")
+
+
+def test_link_rows_and_footers_without_a_telling_tag_go(monkeypatch):
+    want = [f"Body {FILL * 2}", "No.", f"More {FILL}", "Caption"]
+    assert H.blocks_of(FOOTED) == want
+    # the ratios decide it: constant ones let everything through
+    monkeypatch.setattr(H, "smoothed_ratios", lambda lines, group=None: __import__("numpy").ones(len(lines)))
+    assert H.blocks_of(FOOTED) == ["About us Jobs", *want, "(c) 2024 Foo Inc"]
+
+
+def test_script_inside_a_paragraph_does_not_split_it():
+    assert H.blocks_of(f"<article><p>One <script>var a;</script>two {FILL}<style>p{{}}</style>.</p></article>") == [f"One two {FILL}."]
+
+
+@pytest.mark.parametrize("part", ["<div>x", "<div>", "<a ", "<li><div>", "<span class=ad>y", "</p></foo>", "<!-- ", "<article>z", "<p <b>", "<a href='", "&amp", "<"])
+def test_hostile_pages_take_linear_time(part):
+    import time
+    page = "<div>" * 2000 + part * (500_000 // len(part)) + "</x>" * 2000
+    start = time.process_time()
+    H.blocks_of(page)
+    assert time.process_time() - start < 8
+
+
 def test_generated_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     for r in H.extract(pages, out="main").collect():
