@@ -601,3 +601,30 @@ SELECT f.sales_order_id, f.sales_order_detail_id, c.customer_id, p.product_id, s
 FROM fact_store_sales f JOIN dim_store_customer c USING (customer_key) JOIN dim_product p USING (product_key)
 JOIN dim_salesperson s USING (salesperson_key)"""),
 })
+
+# Drift of the scored log: train rows against the other rows, whose arms alternate in request order, validation first.
+_WATCHED = ["current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m", "month_num"]
+_WATCHED_CATEGORIES = ["product_category_name", "color"]
+_SCORED_SIDES = f""", sides AS (
+  SELECT model, 'ref' AS side, {", ".join(_WATCHED + _WATCHED_CATEGORIES)}
+  FROM splitted, (VALUES ('gradient_boosting'), ('random_forest')) m(model) WHERE split = 'train'
+  UNION ALL
+  SELECT CASE WHEN i % 2 = 0 THEN 'gradient_boosting' ELSE 'random_forest' END, 'prod', {", ".join(_WATCHED + _WATCHED_CATEGORIES)}
+  FROM (SELECT *, row_number() OVER (ORDER BY CASE split WHEN 'validation' THEN 0 ELSE 1 END,
+                  concat_ws('|', product_key, store_id, customer_key, salesperson_key, year_num, month_num)) - 1 AS i
+        FROM splitted WHERE split <> 'train') r)"""
+
+
+def _scored(kind: str, rows: str, opening: str, closing: str) -> str:
+    """The statement of the event log's drift, over the scored log's sides and features."""
+    body = SQL[kind][SQL[kind].index(opening):]
+    first, last = body.index("SELECT model, '"), body.index(closing)
+    return _panel(_SCORED_SIDES + "\n" + body[:first] + rows + body[last:], split=True)
+
+
+_SCORED_D = _scored("numeric_drift_d", " UNION ALL ".join(
+    f"SELECT model, '{c}' AS feature, side, CAST({c} AS DOUBLE) AS value FROM sides" for c in _WATCHED), ", long AS", ") u")
+_SCORED_C = _scored("categorical_drift", " UNION ALL ".join(
+    f"SELECT model, '{c}' AS feature, side, coalesce(CAST({c} AS VARCHAR), 'MISSING') AS category FROM sides" for c in _WATCHED_CATEGORIES), ", cl AS", "),\ncc AS")
+SQL["scored_drift"] = (f"SELECT * FROM ({SQL['numeric_drift_p'].replace(SQL['numeric_drift_d'], _SCORED_D)}) n "
+                       f"UNION ALL BY NAME SELECT * FROM ({_SCORED_C}) c")

@@ -483,6 +483,20 @@ def ab_scored_log(spark, sf_dir):
     return ML.ab_scored_log(spark, sf_dir)
 
 
+def scored_log_summary(spark, sf_dir):
+    """A17 over the log that the published models wrote, with the metric of each model's run."""
+    from ..ml import pipeline as ML
+    from ..ml import serving
+    return serving.log_summary(spark, *ML.served(spark, sf_dir))
+
+
+def scored_drift(spark, sf_dir):
+    """R04 over the same log: merged value counts of its batches against each model's written snapshot."""
+    from ..ml import pipeline as ML
+    from ..ml import serving
+    return serving.log_drift(spark, *ML.served(spark, sf_dir), ML.dataset(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- scheduled load
 
 # Fixed value: months loaded one by one before the replay catches up two years at a time.
@@ -658,6 +672,8 @@ REGISTRY = {
     "forest_forecast": forest_forecast,
     "boosting_forecast": boosting_forecast,
     "tree_attribution": tree_attribution,
+    "scored_log_summary": scored_log_summary,
+    "scored_drift": scored_drift,
     "monthly_load_replay": monthly_load_replay,
     "streaming_incremental_load": streaming_incremental_load,
     "forest_attribution": forest_attribution,
