@@ -28,6 +28,28 @@ LABELS = [("store_id", ["store_name", "store", "customer_store_name"], "Store"),
           ("salesperson_key", ["salesperson_name", "salesperson_id"], "Salesperson"),
           ("territory_id", ["territory_name", "sales_territory_name"], "Territory")]
 
+# Static options of the categorical inputs.
+DEFAULT_OPTIONS = {
+    "product_category_name": ["Clothing", "Bikes", "Accessories", "Components"],
+    "product_subcategory_name": ["Socks", "Mountain Bikes", "Road Bikes", "Touring Bikes", "Helmets", "Jerseys", "Tires and Tubes", "Handlebars"],
+    "product_model_name": ["Mountain Socks", "Mountain-100", "Road-150", "Touring-1000", "Sport-100", "Classic Vest", "HL Mountain Tire"],
+    "color": ["Red", "Black", "Blue", "Silver", "Yellow", "Multi", "NA"],
+    "size": ["", "S", "M", "L", "XL", "42", "44", "48"],
+    "weight": ["", "0.0", "50.0", "100.0", "500.0", "1000.0"],
+}
+
+# The value of an input that a record does not give.
+DEFAULT_VALUES = {
+    "product_key": 100, "product_category_name": "Clothing", "product_subcategory_name": "Socks", "product_model_name": "Mountain Socks",
+    "size": "", "weight": "", "color": "Red", "standard_cost": 2.50, "list_price": 5.00, "customer_key": 200, "customer_id": 200,
+    "customer_name": "Customer 200", "store_id": 300, "store_name": "Store 300", "territory_id": 1, "salesperson_key": 400,
+    "sales_quota": 5000.0, "bonus": 100.0, "commission_pct": 0.05, "sales_ytd": 10000.0, "sales_last_year": 15000.0, "year_num": 2008,
+    "month_num": 7, "current_month_order_qty": 50, "current_month_gross_sales": 250.0, "current_month_discount_amount": 10.0,
+    "current_month_net_sales": 240.0, "current_month_margin_amount": 115.0, "avg_unit_price": 5.0, "avg_unit_price_discount": 0.2,
+    "number_of_orders": 5, "number_of_order_lines": 5, "previous_month_sales": 200.0, "rolling_avg_sales_3m": 210.0,
+    "previous_month_margin": 90.0,
+}
+
 
 def choose_metric(cols: list) -> str | None:
     """First available metric column (P20)."""
@@ -81,10 +103,14 @@ def lookup_options(ref: DataFrame, feature: str) -> DataFrame:
 
 
 def option_values(ref: DataFrame, features: list) -> DataFrame:
-    """Distinct sorted option values per feature; a blank option is added for size and
-    weight (E02)."""
-    parts = []
+    """Distinct option values per feature; a blank option is added for size and weight.  A feature that the reference does
+    not have, or has without a value, gets its static options (E02)."""
+    spark, parts = ref.sparkSession, []
     for f in features:
+        static = spark.createDataFrame([(f, v) for v in DEFAULT_OPTIONS.get(f, [])], "feature string, option string")
+        if f not in ref.columns or not ref.where(F.col(f).isNotNull()).take(1):
+            parts.append(static)
+            continue
         v = ref.where(F.col(f).isNotNull()).select(F.lit(f).alias("feature"), F.col(f).cast("string").alias("option"))
         if f in ("size", "weight"):
             v = v.unionByName(ref.sparkSession.range(1).select(F.lit(f).alias("feature"), F.lit("").alias("option")))
@@ -118,7 +144,8 @@ def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
     out = {}
     for c, v in defaults.items():
         if c in df.columns:
-            out[c] = F.coalesce(T.clean_missing(F.col(c)), F.lit(v).cast(dict(df.dtypes)[c]))
+            # a default that is no value of the column's type (a blank weight) stays missing
+            out[c] = F.coalesce(T.clean_missing(F.col(c)), F.lit(v).try_cast(dict(df.dtypes)[c]))
         else:
             out[c] = F.lit(v)
     return df.withColumns(out)

@@ -19,6 +19,7 @@ from ..functions import dates as D
 from ..functions import measures as M
 from .keys import neighbours
 
+# The panel's columns.
 PRODUCT_GROUP = ["product_key", "product_id", "product_name", "product_category_name",
                  "product_subcategory_name", "product_model_name", "color", "size", "weight",
                  "standard_cost", "list_price"]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from ..operators import importance as IM
 from .oracle_base import with_ctes
 
+# The panel's group columns.
 _PANEL_GROUP = """product_key, product_id, product_name, product_category_name, product_subcategory_name,
   product_model_name, color, size, weight, standard_cost, list_price, customer_key, customer_id, store_id,
   store_name, territory_id, salesperson_key, salesperson_id, sales_quota, bonus, commission_pct, sales_ytd,
@@ -74,6 +76,7 @@ def _mart(select_sql: str) -> str:
     return base[: base.rindex("SELECT 1")].rstrip() + MART_CTES + "\n" + select_sql.strip()
 
 
+# The fingerprinted columns in order.
 _FP_COLS = ["fact_store_sales_key", "sales_order_id", "sales_order_detail_id", "sales_order_number",
             "customer_key", "product_key", "order_date_key", "salesperson_key", "order_qty", "unit_price",
             "unit_price_discount", "gross_amount", "discount_amount", "margin_amount", "net_amount",
@@ -391,6 +394,7 @@ _DISPLAY = f"""
   CASE WHEN {_cm('salesperson_id')} IS NOT NULL THEN {_cm('salesperson_id')} || ' (Salesperson ' || salesperson_key || ')'
        ELSE 'Salesperson ' || salesperson_key END AS salesperson_key_display"""
 
+# Optional measures of the explorer summary.
 _OPTIONAL = ["current_month_order_qty", "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m",
              "current_month_discount_amount", "current_month_gross_sales", "previous_month_margin"]
 
@@ -513,6 +517,7 @@ SELECT time_bucket(INTERVAL 1 DAY, timestamp) AS window_start,
 FROM log GROUP BY 1, 2, 3"""),
 })
 
+# Columns of the profile.
 _DESCRIBE_COLS = [*_NUMERIC, "next_period_net_sales"]
 _DESC_LONG = "\n  UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x FROM splitted WHERE {c} IS NOT NULL" for c in _DESCRIBE_COLS)
@@ -566,6 +571,7 @@ UNION ALL SELECT DISTINCT 'size', option FROM (SELECT CAST(size AS VARCHAR) AS o
 UNION ALL SELECT DISTINCT 'weight', option FROM (SELECT CAST(weight AS VARCHAR) AS option FROM engineered WHERE weight IS NOT NULL UNION SELECT '') t"""),
 })
 
+# The mart's columns.
 _MART_COLS = ['fact_store_sales_key', 'sales_order_id', 'sales_order_detail_id', 'sales_order_number', 'customer_id', 'store_id', 'store_name', 'territory_id', 'product_id', 'product_name', 'product_subcategory_name', 'product_category_name', 'order_date', 'year_num', 'month_num', 'month_name', 'year_month', 'salesperson_id', 'salesperson_name', 'order_qty', 'unit_price', 'unit_price_discount', 'gross_amount', 'discount_amount', 'margin_amount', 'net_amount', 'header_subtotal', 'header_tax_amt', 'header_freight', 'header_total_due']
 SQL["null_counts_mart"] = _mart(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM mart" for c in _MART_COLS))
@@ -575,8 +581,10 @@ SELECT product_key, store_id, customer_key, salesperson_key, year_num, month_num
        previous_month_sales, rolling_avg_sales_3m, previous_month_margin, sales_growth_previous_period
 FROM engineered""", panel=True)
 
+# Keys of a representative record.
 _REP_KEYS = ["product_key_display", "product_category_name", "product_subcategory_name", "product_model_name",
              "store_id_display", "customer_key_display", "territory_id_display"]
+# Its replaced measures.
 _REP_REPLACE = ["current_month_order_qty", "current_month_net_sales", "previous_month_sales", "rolling_avg_sales_3m",
                 "current_month_discount_amount", "current_month_gross_sales", "previous_month_margin"]
 _REP_ON = " AND ".join(f"CAST(d.{k} AS VARCHAR) IS NOT DISTINCT FROM CAST(s.{k} AS VARCHAR)" for k in _REP_KEYS)
@@ -594,6 +602,7 @@ SELECT * EXCLUDE (rn, avg_monthly_sales, {", ".join("avg_" + c for c in _REP_REP
 FROM ranked WHERE rn = 1"""
 
 SQL.update({
+    "stamped_versions": SQL["fingerprints"],
     "monthly_load_replay": SQL["fact_transform"],
     "streaming_incremental_load": with_ctes("""
 SELECT f.sales_order_id, f.sales_order_detail_id, c.customer_id, p.product_id, s.salesperson_id, f.order_date_key, f.order_qty,
@@ -628,3 +637,40 @@ _SCORED_C = _scored("categorical_drift", " UNION ALL ".join(
     f"SELECT model, '{c}' AS feature, side, coalesce(CAST({c} AS VARCHAR), 'MISSING') AS category FROM sides" for c in _WATCHED_CATEGORIES), ", cl AS", "),\ncc AS")
 SQL["scored_drift"] = (f"SELECT * FROM ({SQL['numeric_drift_p'].replace(SQL['numeric_drift_d'], _SCORED_D)}) n "
                        f"UNION ALL BY NAME SELECT * FROM ({_SCORED_C}) c")
+
+
+# The visible inputs of a model on the features that the coverage rule selects.
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
+
+
+_VISIBLE = _SHARES + f""",
+selected AS (
+  SELECT raw_feature FROM (SELECT *, coalesce(lag(cumulative_importance_share) OVER (ORDER BY rank), 0.0) AS prev,
+                                  max(mean_abs_shap) OVER () AS mx FROM shares) s
+  WHERE CASE WHEN mx = 0 THEN rank <= 10 ELSE prev < 0.95 END),
+dep(derived, parent) AS (VALUES {_values((d, x) for d, xs in IM.DERIVED_DEPENDENCIES.items() for x in xs)}),
+name(feature, label) AS (VALUES {_values(IM.FEATURE_LABELS.items())}),
+own AS (SELECT raw_feature AS feature, true AS needed FROM selected
+        UNION ALL SELECT f, false FROM (VALUES {_values((f,) for f in IM.SCENARIO_ADJUSTMENT_FEATURES)}) d(f)),
+edge AS (SELECT feature, CASE WHEN needed THEN coalesce(parent, feature) ELSE feature END AS visible, needed FROM own LEFT JOIN dep ON feature = derived),
+node AS (SELECT visible, bool_or(needed) AS needed FROM edge GROUP BY visible),
+source AS (SELECT visible, feature AS source FROM edge WHERE needed UNION SELECT visible, visible FROM node),
+pct AS (SELECT visible, sum(coalesce(importance_share, 0.0)) AS p FROM source LEFT JOIN shares ON raw_feature = source GROUP BY visible),
+seen AS (
+  SELECT n.visible AS feature, coalesce(label, n.visible) AS label, round(p, 8) AS importance_pct, needed AS is_model_required_or_dependency,
+         CASE WHEN n.visible LIKE 'product\\_%' ESCAPE '\\' OR n.visible IN ({", ".join(f"'{c}'" for c in IM.PRODUCT_INPUTS)}) THEN 'Product inputs'
+              WHEN n.visible LIKE 'customer\\_%' ESCAPE '\\' OR n.visible IN ({", ".join(f"'{c}'" for c in IM.CUSTOMER_INPUTS)}) THEN 'Customer and store inputs'
+              WHEN n.visible LIKE 'salesperson%' OR n.visible IN ({", ".join(f"'{c}'" for c in IM.PERSON_INPUTS)}) THEN 'Salesperson inputs'
+              WHEN n.visible IN ({", ".join(f"'{c}'" for c in IM.TIME_INPUTS)}) THEN 'Time inputs'
+              ELSE 'Sales and demand inputs' END AS "group"
+  FROM node n JOIN pct ON pct.visible = n.visible LEFT JOIN name ON name.feature = n.visible)
+"""
+SQL["visible_features"] = _panel(_VISIBLE + "SELECT * FROM seen", split=True)
+SQL["feature_groups"] = _panel(_VISIBLE + """SELECT "group", string_agg(feature, ',' ORDER BY feature) AS features FROM seen GROUP BY "group" """, split=True)
+
+SQL["default_filled_records"] = _panel(f"""
+SELECT product_key, store_id, customer_key, salesperson_key, year_num, month_num, coalesce({_cm('size')}, '') AS size, coalesce({_cm('color')}, 'Red') AS color,
+       coalesce({_cm('product_category_name')}, 'Clothing') AS product_category_name, coalesce({_cm('product_model_name')}, 'Mountain Socks') AS product_model_name,
+       coalesce(sales_quota, 5000.0) AS sales_quota, weight, 'Customer 200' AS customer_name
+FROM engineered""")

@@ -503,6 +503,18 @@ def scored_drift(spark, sf_dir):
 REPLAY_SINGLE_MONTHS = 2
 
 
+def stamped_versions(spark, sf_dir):
+    """Fingerprints of a versioned fact table in which every second month was stamped before."""
+    from ..sources import sinks, versions
+    _wh(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/storemart/versions-{uuid.uuid4().hex}"
+    fact = I.ensure_fingerprint_column(W.months(spark, catalog.warehouse_path(spark, sf_dir, "fact_store_sales").rpartition("/")[0], "fact_store_sales"))
+    before = I.stamp(fact).withColumn("fingerprint", F.when(F.col("period") % 2 == 0, F.col("fingerprint")))
+    versions.create(before, root, "period")
+    sinks.stamp_table(spark, root)
+    return versions.read(spark, root, "period").select("fact_store_sales_key", "fingerprint")
+
+
 def monthly_load_replay(spark, sf_dir):
     """The scheduled load from an empty warehouse: single months, a rerun that adds nothing, then two years at a time."""
     src = _src(spark, sf_dir)
@@ -604,18 +616,28 @@ def representative_records(spark, sf_dir):
     return X.representative_records(ref)
 
 
+def _visible(spark, sf_dir):
+    shares = _shares(spark, sf_dir)
+    required = [r["raw_feature"] for r in IM.select_by_coverage(shares, IM.DEFAULT_COVERAGE).collect()]  # at most the schema's features
+    return IM.visible_feature_table(spark, required, IM.normalise_importance(shares))
+
+
 def visible_features(spark, sf_dir):
-    """Visible inputs of the reduced boosting model with their importance."""
-    from ..ml import pipeline as ML
-    req = ML.selected_features(spark, sf_dir, "gradient_boosting")
-    imp = IM.normalise_importance(ML.grouped_importance(spark, sf_dir, "gradient_boosting"))
-    return IM.visible_feature_table(spark, req, imp)
+    """Visible inputs of a model on the selected features, with their importance."""
+    return _visible(spark, sf_dir).withColumn("importance_pct", F.round("importance_pct", 8))
+
+
+def default_filled_records(spark, sf_dir):
+    """records of the training table with blank or missing inputs replaced by their defaults, and one that is absent."""
+    rec = _features(spark, sf_dir).select(*P.SPLIT_KEY, "size", "color", "product_category_name", "product_model_name", "sales_quota", "weight")
+    names = ["size", "color", "product_category_name", "product_model_name", "sales_quota", "weight", "customer_name"]
+    return X.with_defaults(rec, {c: X.DEFAULT_VALUES[c] for c in names})
 
 
 def feature_groups(spark, sf_dir):
     """Visible features grouped by business area."""
-    return visible_features(spark, sf_dir).groupBy("group").agg(
-        F.array_sort(F.collect_list("feature")).alias("features"))
+    return _visible(spark, sf_dir).groupBy("group").agg(
+        F.array_join(F.array_sort(F.collect_list("feature")), ",").alias("features"))
 
 
 def null_counts_mart(spark, sf_dir):
@@ -672,8 +694,10 @@ REGISTRY = {
     "forest_forecast": forest_forecast,
     "boosting_forecast": boosting_forecast,
     "tree_attribution": tree_attribution,
+    "default_filled_records": default_filled_records,
     "scored_log_summary": scored_log_summary,
     "scored_drift": scored_drift,
+    "stamped_versions": stamped_versions,
     "monthly_load_replay": monthly_load_replay,
     "streaming_incremental_load": streaming_incremental_load,
     "forest_attribution": forest_attribution,

@@ -37,10 +37,32 @@ def test_records_and_stamp_table(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
     recs = [json.loads(r[0]) for r in S.as_records(df, 1).collect()]
     assert recs == [{"k": 1, "v": None}]  # null fields stay
-    d = tempfile.mkdtemp(prefix="st-")
+
+
+def test_stamping_rewrites_only_the_partitions_it_touches(spark):
+    import glob
+    import os
+    from storemart.operators import integrity as I
+    from storemart.sources import versions as V
     from tests.test_functions import FP_SCHEMA, _row
-    spark.createDataFrame([_row(1, 1, 44, 1, "2024.9940", "126.899600", "2024.994000")], FP_SCHEMA) \
-        .write.parquet(f"{d}/fact")
-    counts = S.stamp_table(spark, f"{d}/fact", f"{d}/fact_v2")
-    assert counts == {"rows_scanned": 1, "rows_stamped": 1}
-    assert spark.read.parquet(f"{d}/fact_v2").where(F.col("fingerprint").isNotNull()).count() == 1
+    root = f"{tempfile.mkdtemp(prefix='st-')}/fact"
+    rows = spark.createDataFrame([_row(i, i, 44, 1, "2024.9940", "126.899600", "2024.994000") for i in range(1, 7)], FP_SCHEMA)
+    fact = rows.withColumn("period", (F.col("fact_store_sales_key") % 3 + 1).cast("int"))
+    stamped = I.stamp(I.ensure_fingerprint_column(fact))
+    before = stamped.withColumn("fingerprint", F.when(F.col("period") > 1, F.col("fingerprint")))  # month 1 is not stamped
+    before = before.withColumn("fingerprint", F.when(F.col("fact_store_sales_key") == 1, "kept").otherwise(F.col("fingerprint")))
+    V.create(before, root, "period")
+
+    def files():
+        return {f: os.path.getmtime(f) for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+
+    old = files()
+    assert S.stamp_table(spark, root) == {"rows_scanned": 6, "rows_stamped": 2, "partitions_written": 1}
+    now = files()
+    assert old.items() <= now.items()  # nothing that was there changed
+    assert {f.split("/period=")[1][0] for f in now.keys() - old.keys() if "/data/" in f} == {"1"}
+    got = {r["fact_store_sales_key"]: r["fingerprint"] for r in V.read(spark, root, "period").collect()}
+    want = {r["fact_store_sales_key"]: r["fingerprint"] for r in stamped.collect()}
+    assert got == {**want, 1: "kept"} and V.pointers(spark, root) == {"1": 1, "2": 0, "3": 0}
+    assert S.stamp_table(spark, root) == {"rows_scanned": 6, "rows_stamped": 0, "partitions_written": 0}
+    assert files() == now  # a rerun writes nothing
