@@ -11,7 +11,8 @@ All of it is array expressions inside one row; the only shuffle gathers the turn
 Defined cases: a null text is empty and a null role is "user"; turns are ordered by number, then role
 and text, and a repeated row counts once; equal conversations have the whole conversation as prompt and two
 empty completions; a missing side is an empty conversation; control marks inside texts are broken up
-so that they cannot end a turn.
+so that they cannot end a turn; a text of any length is one cell of its row; an empty table gives an empty
+table; extra columns are kept by ``format_pairs``.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 TURN = "struct<role:string,text:string>"
 END = "<|end|>\n"
 
@@ -64,64 +67,82 @@ def _common(a: Column, b: Column) -> Column:
 
 def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """All columns but the two conversations, plus n_common, prompt, and for each side the completion
-    text and its assistant spans.  A completion's opening assistant header, the same on both sides,
-    is moved to the prompt (spans are relative to the completion)."""
-    empty = F.array().cast(f"array<{TURN}>")
-    df = pairs.withColumns({"__a": F.coalesce(chosen, empty), "__b": F.coalesce(rejected, empty)})
-    df = df.withColumn("n_common", _common(F.col("__a"), F.col("__b")))
-    rest = {s: F.slice(F.col(f"__{s}"), F.col("n_common") + 1, F.size(f"__{s}")) for s in "ab"}
-    df = df.withColumns({f"__rest_{s}": F.when(F.size(f"__{s}") > 0, e).otherwise(empty) for s, e in rest.items()})
-    opens = F.coalesce((F.get("__rest_a", F.lit(0))["role"] == "assistant") & (F.get("__rest_b", F.lit(0))["role"] == "assistant"), F.lit(False))
-    opening = F.concat(F.lit("<|assistant|>\n"))
-    df = df.withColumn("__cut", F.when(opens, F.char_length(opening)).otherwise(F.lit(0)))
-    out = {"prompt": F.concat(_render(F.slice(F.col("__a"), F.lit(1), F.col("n_common"))), F.when(opens, opening).otherwise(F.lit("")))}
-    for side, name in (("a", "chosen"), ("b", "rejected")):
-        text = _render(F.col(f"__rest_{side}"))
-        out[f"{name}_text"] = F.substring(text, F.col("__cut") + 1, F.char_length(text))
-        out[f"{name}_spans"] = F.transform(_spans(F.col(f"__rest_{side}")), lambda x: F.struct(
-            (x["start"] - F.col("__cut")).cast("long").alias("start"), x["length"].alias("length")))
-    keep = [c for c in pairs.columns if c not in (chosen, rejected)]
-    return df.withColumns(out).select(*keep, F.col("n_common").cast("long").alias("n_common"), *out)
+    text and its assistant spans (a column of the same name is replaced).  A completion's opening assistant
+    header, the same on both sides, is moved to the prompt (spans are relative to the completion)."""
+    empty, opening = F.array().cast(f"array<{TURN}>"), "<|assistant|>\n"
+    made = ("n_common", "prompt", "chosen_text", "chosen_spans", "rejected_text", "rejected_spans")
+    keep = [c for c in pairs.columns if c not in (chosen, rejected) and c.lower() not in made]
+    df, name = pairs, {}
+    for base in ("__a", "__b", "__n", "__rest_a", "__rest_b", "__cut"):
+        name[base] = fresh(df, base)
+        if base in ("__a", "__b"):
+            column = F.coalesce(chosen if base == "__a" else rejected, empty)
+        elif base == "__n":
+            column = _common(F.col(name["__a"]), F.col(name["__b"]))
+        elif base == "__cut":
+            both = [F.get(F.col(name[r]), F.lit(0))["role"] == "assistant" for r in ("__rest_a", "__rest_b")]
+            column = F.when(both[0] & both[1], len(opening)).otherwise(0)
+        else:
+            whole = F.col(name["__" + base[-1]])
+            column = F.when(F.size(whole) > 0, F.slice(whole, F.col(name["__n"]) + 1, F.size(whole))).otherwise(empty)
+        df = df.withColumn(name[base], column)
+    a, n, cut = (F.col(name[x]) for x in ("__a", "__n", "__cut"))
+    out = [n.cast("long").alias("n_common"),
+           F.concat(_render(F.slice(a, F.lit(1), n)), F.when(cut > 0, opening).otherwise("")).alias("prompt")]
+    for rest, side in (("__rest_a", "chosen"), ("__rest_b", "rejected")):
+        text = _render(F.col(name[rest]))
+        out += [F.substring(text, cut + 1, F.char_length(text)).alias(f"{side}_text"),
+                F.transform(_spans(F.col(name[rest])), lambda x: F.struct(
+                    (x["start"] - cut).cast("long").alias("start"), x["length"].alias("length"))).alias(f"{side}_spans")]
+    return df.select(*keep, *out)
 
 
 def reply_pairs(turns: DataFrame) -> DataFrame:
-    """Pairs from a plain conversation table: chosen is a conversation up to its last assistant turn,
-    rejected the same with that reply exchanged for the last reply of the conversation whose id
-    follows.  Without an assistant turn chosen is the whole conversation; without a following reply
-    rejected is the conversation without its own."""
+    """Pairs from a plain conversation table: chosen is a conversation with all its turns, rejected the same
+    up to its last assistant turn, that reply exchanged for the last reply of the conversation whose id
+    follows.  Without an assistant turn both are the whole conversation; without a following reply
+    rejected ends before the conversation's own.  An id that is no number is followed by none."""
     conv = conversations(turns)
     last = F.array_max(F.transform(F.col("turns"), lambda t, i: F.when(t["role"] == "assistant", i)))
-    conv = conv.withColumn("last", last)
+    conv = conv.withColumn("last", last).withColumn("number", F.col("conv_id").cast("string").try_cast("long"))
     reply = F.get("turns", F.col("last"))
-    follow = conv.where("last is not null").select((F.col("conv_id") - 1).alias("conv_id"), reply.alias("other"))
+    follow = conv.where("last is not null and number is not null").select(F.try_subtract("number", F.lit(1)).alias("number"), reply.alias("other"))
     before = F.slice("turns", F.lit(1), F.col("last"))
     whole = F.col("last").isNull()
-    return conv.join(follow, "conv_id", "left").select(
-        "conv_id",
-        F.when(whole, F.col("turns")).otherwise(F.concat(before, F.array(reply))).alias("chosen"),
+    return conv.join(follow, "number", "left").select(
+        "conv_id", F.col("turns").alias("chosen"),
         F.when(whole, F.col("turns")).when(F.col("other").isNull(), before).otherwise(F.concat(before, F.array("other"))).alias("rejected"))
 
 
-# DuckDB statement of ``format_pairs(reply_pairs(conversations))`` as the query prints it.
+# DuckDB statement of ``format_pairs(reply_pairs(conversations))`` as the query prints it; it searches the common prefix.
 SQL = r"""
 WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations),
 t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM r),
-l AS (SELECT conv_id, max(k) FILTER (role = 'assistant') AS last, max(k) AS n FROM t GROUP BY conv_id),
+l AS (SELECT conv_id, max(k) FILTER (role = 'assistant') AS last FROM t GROUP BY conv_id),
 reply AS (SELECT t.conv_id, t.role, t.text FROM t JOIN l ON t.conv_id = l.conv_id AND t.k = l.last),
-x AS (
-  SELECT l.conv_id, l.last, l.n, a.text AS own, b.text AS other,
-         CASE WHEN l.last IS NULL THEN l.n WHEN b.text IS NOT NULL AND a.text = b.text THEN l.last ELSE l.last - 1 END AS n_common,
-         l.last IS NOT NULL AND b.text IS NOT NULL AND a.text <> b.text AS opens
-  FROM l LEFT JOIN reply a ON a.conv_id = l.conv_id LEFT JOIN reply b ON b.conv_id = l.conv_id + 1),
-p AS (SELECT t.conv_id, string_agg('<|' || replace(role, '<|', '< |') || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY k) AS prompt
-      FROM t JOIN x ON t.conv_id = x.conv_id AND t.k <= x.n_common GROUP BY t.conv_id),
-y AS (SELECT x.*, coalesce(p.prompt, '') || CASE WHEN opens THEN '<|assistant|>' || chr(10) ELSE '' END AS prompt,
-        CASE WHEN last IS NULL OR n_common = last THEN ''
-             ELSE (CASE WHEN opens THEN '' ELSE '<|assistant|>' || chr(10) END) || replace(own, '<|', '< |') || '<|end|>' || chr(10) END AS chosen_text,
-        CASE WHEN opens THEN replace(other, '<|', '< |') || '<|end|>' || chr(10) ELSE '' END AS rejected_text
-      FROM x LEFT JOIN p ON p.conv_id = x.conv_id)
-SELECT conv_id, CAST(n_common AS BIGINT) AS n_common, prompt, chosen_text, rejected_text,
-       CASE WHEN chosen_text = '' THEN '' WHEN opens THEN '0+' || length(chosen_text) ELSE '14+' || (length(chosen_text) - 14) END AS chosen_mask,
-       CASE WHEN rejected_text = '' THEN '' ELSE '0+' || length(rejected_text) END AS rejected_mask
-FROM y
+side AS (SELECT 'a' AS s, conv_id, k, role, text FROM t
+         UNION ALL SELECT 'b', t.conv_id, k, role, text FROM t JOIN l ON l.conv_id = t.conv_id WHERE last IS NULL OR k < last
+         UNION ALL SELECT 'b', l.conv_id, last, role, text FROM l JOIN reply ON reply.conv_id = l.conv_id + 1 WHERE last IS NOT NULL),
+size AS (SELECT conv_id, count(*) FILTER (s = 'a') AS na, count(*) FILTER (s = 'b') AS nb FROM side GROUP BY conv_id),
+differs AS (SELECT a.conv_id, min(a.k) AS k FROM side a JOIN side b ON a.conv_id = b.conv_id AND a.k = b.k AND a.s = 'a' AND b.s = 'b'
+            WHERE a.role <> b.role OR a.text <> b.text GROUP BY a.conv_id),
+c AS (SELECT size.conv_id, coalesce(differs.k - 1, least(na, nb)) AS n FROM size LEFT JOIN differs ON differs.conv_id = size.conv_id),
+x AS (SELECT c.conv_id, n, count(*) FILTER (side.role = 'assistant') = 2 AS opens
+      FROM c LEFT JOIN side ON side.conv_id = c.conv_id AND side.k = n + 1 GROUP BY c.conv_id, n),
+u AS (SELECT s, side.conv_id, k, k > n AS rest, opens, role = 'assistant' AS own,
+             '<|' || replace(role, '<|', '< |') || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+      FROM side JOIN x ON x.conv_id = side.conv_id),
+w AS (SELECT *, coalesce(sum(length(head || body)) OVER (PARTITION BY s, conv_id, rest ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                + length(head) - CASE WHEN opens THEN 14 ELSE 0 END AS pos FROM u),
+g AS (SELECT conv_id, any_value(opens) AS opens,
+             coalesce(string_agg(head || body, '' ORDER BY k) FILTER (s = 'a' AND NOT rest), '') AS prompt,
+             coalesce(string_agg(head || body, '' ORDER BY k) FILTER (s = 'a' AND rest), '') AS a,
+             coalesce(string_agg(head || body, '' ORDER BY k) FILTER (s = 'b' AND rest), '') AS b,
+             coalesce(string_agg(CAST(pos AS BIGINT) || '+' || length(body), ',' ORDER BY k) FILTER (s = 'a' AND rest AND own), '') AS am,
+             coalesce(string_agg(CAST(pos AS BIGINT) || '+' || length(body), ',' ORDER BY k) FILTER (s = 'b' AND rest AND own), '') AS bm
+      FROM w GROUP BY conv_id)
+SELECT g.conv_id, CAST(n AS BIGINT) AS n_common, prompt || CASE WHEN g.opens THEN '<|assistant|>' || chr(10) ELSE '' END AS prompt,
+       CASE WHEN g.opens THEN substr(a, 15) ELSE a END AS chosen_text, CASE WHEN g.opens THEN substr(b, 15) ELSE b END AS rejected_text,
+       am AS chosen_mask, bm AS rejected_mask
+FROM g JOIN x ON x.conv_id = g.conv_id
 """

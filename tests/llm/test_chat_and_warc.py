@@ -28,7 +28,11 @@ PAIRS = [
 
 
 def test_pairs(spark):
-    df = spark.createDataFrame(PAIRS, f"conv_id long, chosen {TURN}, rejected {TURN}").withColumn("prompt_id", F.lit("kept"))
+    df = spark.createDataFrame(PAIRS, f"conv_id long, chosen {TURN}, rejected {TURN}").withColumns({
+        c: F.lit("kept") for c in ("prompt_id", "prompt", "__a", "__rest_b", "N_common")})
+    assert sorted(C.format_pairs(df).columns) == sorted(["conv_id", "prompt_id", "__a", "__rest_b", "n_common", "prompt", "chosen_text", "chosen_spans",
+                                                         "rejected_text", "rejected_spans"])
+    assert {r["__a"] for r in C.format_pairs(df).collect()} == {"kept"}
     for r, (_, a, b) in zip(sorted(C.format_pairs(df).collect(), key=lambda r: r["conv_id"]), PAIRS):
         a, b = a or [], b or []
         n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
@@ -51,10 +55,12 @@ def test_conversations_and_reply_pairs(spark):
     as_rows = lambda turns: [tuple(t) for t in turns]
     assert as_rows(got[1]["chosen"]) == [("user", "hi"), ("assistant", "one")]
     assert as_rows(got[1]["rejected"]) == [("user", "hi"), ("assistant", "two")]
-    assert as_rows(got[2]["chosen"]) == [("user", ""), ("assistant", "two")] and as_rows(got[2]["rejected"]) == [("user", "")]
+    assert as_rows(got[2]["chosen"]) == [("user", ""), ("assistant", "two"), ("user", "bye")] and as_rows(got[2]["rejected"]) == [("user", "")]
     assert as_rows(got[3]["chosen"]) == as_rows(got[3]["rejected"]) == [("user", "alone")] and None in got
     assert as_rows(got[5]["rejected"]) == [("user", "q")]
     assert C.reply_pairs(df.limit(0)).count() == 0
+    named = df.withColumn("conv_id", F.concat(F.lit("c"), F.col("conv_id")))  # ids that are no numbers
+    assert all(r["rejected"] is not None for r in C.reply_pairs(named).collect())
 
 
 PAGE = """<!DOCTYPE html><html><head><title>A &amp; B</title><script>var x = "<a href='no'>";</script></head>
