@@ -16,7 +16,12 @@ def duck():
     return duckdb_connection(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# Minutes each: every model family's whole grid, and the load of all months.  Their parts have tests of their own
+# (test_histogram_trees, test_ml, test_drift_counts, test_warehouse); scripts/check_oracle.py runs them.
+SLOW = {"scored_drift", "monthly_load_replay"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     res = compare(QUERIES[name](spark, SF_SMALL).toPandas(), duck.execute(ORACLES[name]).fetchdf())
     assert res["ok"], res
