@@ -24,9 +24,10 @@ text is the empty text: only the end id is written.  An empty table gives an emp
 from __future__ import annotations
 
 import json
+import re
 import struct
-import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -94,12 +95,10 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[first - numbers[0] * block:last - numbers[0] * block]
 
 
-# ASCII marks that the checked split pattern keeps together and apart from letters; the apostrophe (contractions)
-# and the marks of special tokens are not among them.
-_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
-_CHUNK = 1 << 21  # bytes of text worked on at a time (one longer text is a chunk of its own)
+_CHUNK = 1 << 21  # bytes of text worked on at a time (a longer word is a chunk of its own)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-_LONG = 64  # longer words are not hashed but looked up one by one
+_GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
+_LONG = 64  # longer words are not remembered
 _rng = np.random.default_rng(20240229)
 _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = int(_rng.integers(1, 1 << 62)) * 2 + 1
@@ -121,65 +120,98 @@ def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     return (prefix[stop] - prefix[start]) * _powers(_UNBASE, n)[start]
 
 
+class Strings:
+    """A growing list of short arrays of one type, end to end in one buffer."""
+
+    def __init__(self, dtype):
+        self.flat, self.at, self.n = np.empty(1 << 16, dtype), np.zeros(1 << 12, np.int64), 0
+
+    def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        used, n = int(self.at[self.n]), self.n + len(lengths)
+        if used + len(flat) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (used + len(flat)))
+        if n >= len(self.at):
+            self.at = np.resize(self.at, 2 * n)
+        self.flat[used:used + len(flat)] = flat
+        self.at[self.n + 1:n + 1] = used + np.cumsum(lengths)
+        self.n = n
+
+    def gather(self, entry: np.ndarray, lengths: np.ndarray) -> tuple:
+        """(the entries' first ``lengths`` values end to end, where each begins and all end)."""
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        return self.flat.take(np.repeat(self.at[entry] - upto[:-1], lengths) + np.arange(upto[-1]), mode="clip"), upto
+
+
 class WordIds:
     """Ids of texts by the tokenizers library, which sees each new word once.
 
-    Holds for lower-casing tokenizers that drop ASCII white space and split letters from other marks (checked):
-    a text's ids are the concatenation of its words' ids, and a word's are those of its stem and of the
-    marks that end it.  Words are found and told apart by numpy over the bytes of many texts: words of up to
-    ``_LONG`` bytes by a 64-bit hash (two of n different words agree with probability n * n / 2**65), longer
-    ones by themselves."""
+    Holds for tokenizers that drop ASCII white space (checked): a text's ids are the concatenation of its words'
+    ids.  Words are found by numpy over the bytes of many texts and looked up by a 64-bit hash in a sorted array;
+    every occurrence is then compared with the remembered bytes, so words that share a hash are told apart.
+    Those and words of more than ``_LONG`` bytes go to the library each time.  The table starts afresh beyond
+    ``remembered`` words (about 60 bytes each)."""
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    def __init__(self, path: str, remembered: int = 1_500_000):
         from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
         split, normal = json.dumps(spec.get("pre_tokenizer")), json.dumps(spec.get("normalizer"))
         if '"Removed"' not in split or '"invert": true' not in split or "|[^\\\\s\\\\p{L}\\\\p{N}]+" not in split or '"Lowercase"' not in normal:
-            raise ValueError("this tokenizer may join ids across words or marks")
+            raise ValueError("this tokenizer may join ids across words")
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
-        self.words, self.stems = {}, {}  # hash of a word, or a stem, to its ids as little-endian bytes
-
-    def stem(self, word: bytes) -> tuple:
-        """(stem, marks that end the word); the stem in lower case where that cannot change what the library sees."""
-        if b"|" in word:  # may hold a special token
-            return word, b""
-        core = word.rstrip(_MARKS)
-        if len(core) < len(word) and not core[-1:].isalnum() and not (core and self._ends_in_letter(core.decode())):
-            core = word  # the marks may go on to the left
-        return core.lower() if core.isascii() else core, word[len(core):]
-
-    def _ends_in_letter(self, core: str) -> bool:
-        """Whether the library splits marks from this stem: what it makes of the stem ends in a letter or digit (lower case
-        and composition can end a letter in a combining mark, which goes with the marks).  Letters that are younger
-        than the oldest tables may be none to the library: then the word stays whole."""
-        normal = self.tokenizer.normalizer.normalize_str(core)
-        return bool(normal) and all(table.category(normal[-1])[0] in "LN" for table in (unicodedata, unicodedata.ucd_3_2_0))
-
-    def _learn(self, new: dict) -> None:
-        """Work out the ids of words not remembered (key -> word): the library gets their unknown stems in one call."""
-        if len(self.stems) > self.remembered:
-            self.stems = {}
-        stems, parts = self.stems, [(key, *self.stem(w)) for key, w in new.items()]
-        unknown = list({x for _, *pair in parts for x in pair} - stems.keys())
-        for i in range(0, len(unknown), 20_000):
-            some = unknown[i:i + 20_000]
-            for x, e in zip(some, self.tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)):
-                ids = e.ids
-                stems[x] = struct.pack(f"<{len(ids)}I", *ids)
-        self.words.update((key, stems[core] + stems[marks] if marks else stems[core]) for key, core, marks in parts)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.entry = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted hashes, place in the lists
+        self.words, self.ids = Strings(np.uint8), Strings(np.uint32)
+
+    def _ask(self, words: list) -> list:
+        """The library's ids of each word."""
+        out = []
+        for i in range(0, len(words), 20_000):
+            out.extend(e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 20_000]], add_special_tokens=False))
+        return out
+
+    def _learn(self, keys: np.ndarray, words: list) -> None:
+        """Remember new words (their hashes ascending)."""
+        ids = self._ask(words)
+        entry = np.arange(self.words.n, self.words.n + len(words))
+        self.words.extend(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids.extend(np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum()), lengths)
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.entry = np.insert(self.keys, place, keys), np.insert(self.entry, place, entry)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 for none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, self.entry[place], -1)
 
     def encode(self, texts: list, end: int) -> list:
         """Unsigned 32-bit id arrays, each with the end id."""
-        out, chunk, size = [], [], 0
-        for t in texts:
-            chunk.append(t.encode())
-            size += len(chunk[-1])
-            if size >= _CHUNK:
-                out.extend(self._encode(chunk, end))
-                chunk, size = [], 0
-        return out + self._encode(chunk, end) if chunk else out
-
-    def _encode(self, texts: list, end: int) -> list:
+        parts, chunk, owner, size = [[] for _ in texts], [], [], 0
+
+        def flush():
+            for i, ids in zip(owner, self._encode(chunk)):
+                parts[i].append(ids)
+            chunk.clear()
+            owner.clear()
+
+        for i, text in enumerate(texts):
+            for piece in _pieces(text.encode()):
+                if chunk and size + len(piece) > _CHUNK:
+                    flush()
+                    size = 0
+                chunk.append(piece)
+                owner.append(i)
+                size += len(piece) + 1
+        if chunk:
+            flush()
+        last = np.array([end], np.uint32)
+        return [np.concatenate([*p, last]) for p in parts]
+
+    def _encode(self, texts: list) -> list:
         joined = b"\n".join(texts) + b"\n"
         data = np.frombuffer(joined, np.uint8)
         space = _SPACE[data]
@@ -187,30 +219,50 @@ class WordIds:
         if not space[0]:
             edge = np.concatenate([[0], edge])
         start, stop = edge[0::2], edge[1::2]
-        hashes = word_hashes(data, start, stop)
-        long = np.flatnonzero(stop - start > _LONG)
-        keys, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        if len(self.words) > self.remembered:
-            self.words = {}
-        known = self.words
-        self._learn({k: joined[start[i]:stop[i]] for k, i in zip(keys, first.tolist()) if k not in known and stop[i] - start[i] <= _LONG})
-        coded = [known.get(k, b"") for k in keys]
-        if len(long):  # every long word has an entry of its own
-            words = [joined[start[i]:stop[i]] for i in long]
-            self._learn(dict(enumerate(words, -len(words))))
-            number[long] = np.arange(len(coded), len(coded) + len(words))
-            coded += [known.pop(i - len(words)) for i in range(len(words))]
-        flat = np.frombuffer(b"".join(coded), "<u4")
-        length = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        at = np.cumsum(length) - length
-        many = length[number]
-        upto = np.concatenate([[0], np.cumsum(many)])
-        ids = flat[np.repeat(at[number] - upto[:-1], many) + np.arange(upto[-1])]
+        size = stop - start
+        keys, first, number = np.unique(word_hashes(data, start, stop), return_index=True, return_inverse=True)
+        if self.words.n > self.remembered:
+            self._forget()
+        found = self._find(keys)
+        new = np.flatnonzero((found < 0) & (size[first] <= _LONG))
+        if len(new):
+            self._learn(keys[new], [joined[a:b] for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist())])
+            found = self._find(keys)
+        entry = found[number]
+        # every occurrence against the remembered bytes; what differs, and long words, go to the library
+        known = (entry >= 0) & (self.words.at[entry + 1] - self.words.at[entry] == size)
+        entry[~known] = 0
+        stored, begin = self.words.gather(entry, size)
+        wrong = np.flatnonzero(stored != data[~space])
+        known[np.searchsorted(begin, wrong, "right") - 1] = False
+        asked = np.flatnonzero(~known)
+        answers = self._ask([joined[start[i]:stop[i]] for i in asked.tolist()])
+        many = self.ids.at[entry + 1] - self.ids.at[entry]
+        many[asked] = [len(a) for a in answers]
+        ids, upto = self.ids.gather(entry, many)
+        for i, a in zip(asked.tolist(), answers):
+            ids[upto[i]:upto[i + 1]] = a
         # words before each text's end, then ids before it
-        text_end = np.cumsum([len(t) + 1 for t in texts])
-        cut = upto[np.searchsorted(start, text_end)].tolist()
-        return [np.append(ids[a:b], np.uint32(end)) for a, b in zip([0, *cut], cut)]
+        cut = upto[np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))].tolist()
+        return [ids[a:b] for a, b in zip([0, *cut], cut)]
+
+
+def _pieces(text: bytes):
+    """A text in pieces of about ``_CHUNK`` bytes at most, cut at white space only."""
+    at = 0
+    while len(text) - at > _CHUNK:
+        gap = _GAP.search(text, at + _CHUNK)
+        if gap is None:
+            break
+        yield text[at:gap.start()]
+        at = gap.end()
+    yield text[at:] if at else text
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One table of words for all tasks that a Python worker runs one after the other."""
+    return WordIds(path)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -222,7 +274,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     def run(frames):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encoder, shard = WordIds(tokenizer), TaskContext.get().partitionId()
+        encoder, shard = word_ids(tokenizer), TaskContext.get().partitionId()
         segment = start = held = 0
         doc_ids, parts = [], []
 
