@@ -43,6 +43,7 @@ TOKENIZER = "word_bpe_49k.json"
 BLOCK = 2048
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 18
+ROWS = 1000  # texts taken from an Arrow batch at a time
 _HEAD = struct.Struct("<5sIQI")
 _BLOCK_HEAD = struct.Struct("<IBI")
 SCHEMA = ("shard int, segment int, start long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary")
@@ -95,7 +96,7 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[first - numbers[0] * block:last - numbers[0] * block]
 
 
-_CHUNK = 1 << 21  # bytes of text worked on at a time (a longer word is a chunk of its own)
+_CHUNK = 1 << 20  # bytes of text worked on at a time (a longer word is a chunk of its own)
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _LONG = 64  # longer words are not remembered
@@ -116,8 +117,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """64-bit hash of each word of a byte array, by prefix sums of a polynomial in an odd base."""
     n = -(-(len(data) + 1) // _CHUNK) * _CHUNK  # few different sizes: the powers are kept
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[data] * _powers(_BASE, n)[:len(data)])])
-    return (prefix[stop] - prefix[start]) * _powers(_UNBASE, n)[start]
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.multiply(_VALUE[data], _powers(_BASE, n)[:len(data)], out=prefix[1:])
+    np.cumsum(prefix, out=prefix)
+    hashes = prefix[stop]
+    hashes -= prefix[start]
+    hashes *= _powers(_UNBASE, n)[start]
+    return hashes
 
 
 class Strings:
@@ -139,7 +145,9 @@ class Strings:
     def gather(self, entry: np.ndarray, lengths: np.ndarray) -> tuple:
         """(the entries' first ``lengths`` values end to end, where each begins and all end)."""
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        return self.flat.take(np.repeat(self.at[entry] - upto[:-1], lengths) + np.arange(upto[-1]), mode="clip"), upto
+        place = np.repeat(self.at[entry] - upto[:-1], lengths)
+        place += np.arange(upto[-1])
+        return self.flat.take(place, mode="clip"), upto
 
 
 class WordIds:
@@ -151,7 +159,7 @@ class WordIds:
     Those and words of more than ``_LONG`` bytes go to the library each time.  The table starts afresh beyond
     ``remembered`` words (about 60 bytes each)."""
 
-    def __init__(self, path: str, remembered: int = 1_500_000):
+    def __init__(self, path: str, remembered: int = 1_000_000):
         from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
         split, normal = json.dumps(spec.get("pre_tokenizer")), json.dumps(spec.get("normalizer"))
@@ -167,8 +175,8 @@ class WordIds:
     def _ask(self, words: list) -> list:
         """The library's ids of each word."""
         out = []
-        for i in range(0, len(words), 20_000):
-            out.extend(e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 20_000]], add_special_tokens=False))
+        for i in range(0, len(words), 5_000):
+            out.extend(e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 5_000]], add_special_tokens=False))
         return out
 
     def _learn(self, keys: np.ndarray, words: list) -> None:
@@ -286,13 +294,15 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                 names=["shard", "segment", "start", "n_ids", "doc_ids", "lengths", "payload"])
 
         for batch in frames:
-            for doc_id, ids in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text").to_pylist(), end_id)):
-                doc_ids.append(doc_id)
-                parts.append(ids)
-                held += len(ids)
-                if held >= SEGMENT_IDS:
-                    yield close()
-                    segment, start, held, doc_ids, parts = segment + 1, start + held, 0, [], []
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                for doc_id, ids in zip(rows.column("id").to_pylist(), encoder.encode(rows.column("text").to_pylist(), end_id)):
+                    doc_ids.append(doc_id)
+                    parts.append(ids)
+                    held += len(ids)
+                    if held >= SEGMENT_IDS:
+                        yield close()
+                        segment, start, held, doc_ids, parts = segment + 1, start + held, 0, [], []
         if parts:
             yield close()
 
