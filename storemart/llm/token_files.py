@@ -43,7 +43,7 @@ TOKENIZER = "word_bpe_49k.json"
 BLOCK = 2048
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 18
-ROWS = 1000  # texts taken from an Arrow batch at a time
+ROWS = 200  # texts taken from an Arrow batch at a time
 _HEAD = struct.Struct("<5sIQI")
 _BLOCK_HEAD = struct.Struct("<IBI")
 SCHEMA = ("shard int, segment int, start long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary")
@@ -96,8 +96,8 @@ def unpack(segment: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return ids[first - numbers[0] * block:last - numbers[0] * block]
 
 
-_CHUNK = 1 << 20  # bytes of text worked on at a time (a longer word is a chunk of its own)
-_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_CHUNK = 1 << 19  # bytes of text worked on at a time (a longer word is a chunk of its own)
+_KIND = np.array([1 if c in b" \t\n\x0b\x0c\r" else 2 if chr(c).isalnum() else 3 if 32 < c < 127 else 0 for c in range(128)] + [0] * 128, np.uint8)
 _GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _LONG = 64  # longer words are not remembered
 _rng = np.random.default_rng(20240229)
@@ -135,9 +135,9 @@ class Strings:
     def extend(self, flat: np.ndarray, lengths: np.ndarray) -> None:
         used, n = int(self.at[self.n]), self.n + len(lengths)
         if used + len(flat) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (used + len(flat)))
+            self.flat = np.concatenate([self.flat[:used], np.empty((used + 3 * len(flat)) // 2, self.flat.dtype)])
         if n >= len(self.at):
-            self.at = np.resize(self.at, 2 * n)
+            self.at = np.concatenate([self.at[:self.n + 1], np.empty(n // 2 + len(lengths), np.int64)])
         self.flat[used:used + len(flat)] = flat
         self.at[self.n + 1:n + 1] = used + np.cumsum(lengths)
         self.n = n
@@ -153,36 +153,50 @@ class Strings:
 class WordIds:
     """Ids of texts by the tokenizers library, which sees each new word once.
 
-    Holds for tokenizers that drop ASCII white space (checked): a text's ids are the concatenation of its words'
-    ids.  Words are found by numpy over the bytes of many texts and looked up by a 64-bit hash in a sorted array;
+    Holds for tokenizers that drop ASCII white space and split letters and digits from marks (checked): a text's
+    ids are the concatenation of its words' ids.  A word is cut further before each ASCII mark that follows an ASCII
+    letter or digit, where a split always lies, unless it holds "|" (special tokens).  Words are found by numpy over the bytes of many texts and looked up by a 64-bit hash in a sorted array;
     every occurrence is then compared with the remembered bytes, so words that share a hash are told apart.
-    Those and words of more than ``_LONG`` bytes go to the library each time.  The table starts afresh beyond
-    ``remembered`` words (about 60 bytes each)."""
+    Those and words of more than ``_LONG`` bytes go to the library each time.  Beyond ``remembered`` words (about
+    70 bytes each) the table keeps the half at most that was met most often."""
 
-    def __init__(self, path: str, remembered: int = 1_000_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         from tokenizers import Tokenizer
         spec = json.load(open(path, encoding="utf-8"))
         split, normal = json.dumps(spec.get("pre_tokenizer")), json.dumps(spec.get("normalizer"))
         if '"Removed"' not in split or '"invert": true' not in split or "|[^\\\\s\\\\p{L}\\\\p{N}]+" not in split or '"Lowercase"' not in normal:
-            raise ValueError("this tokenizer may join ids across words")
+            raise ValueError("this tokenizer may join ids across words or marks")
         self.tokenizer, self.remembered = Tokenizer.from_file(path), remembered
-        self._forget()
+        self.keys, self.entry = np.empty(0, np.uint64), np.empty(0, np.int32)  # sorted hashes, place in the lists
+        self.words, self.ids, self.met = Strings(np.uint8), Strings(np.uint32), np.empty(0, np.int32)
 
     def _forget(self) -> None:
-        self.keys, self.entry = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted hashes, place in the lists
-        self.words, self.ids = Strings(np.uint8), Strings(np.uint32)
+        """Keep the words met most often, half of ``remembered`` at most; what they were met before counts half from here on."""
+        met = self.met[self.entry]
+        least = 2
+        while np.count_nonzero(met >= least) > self.remembered // 2:
+            least *= 2
+        stay = np.flatnonzero(met >= least)
+        old, self.keys, self.entry, self.met = self.entry[stay], self.keys[stay], np.arange(len(stay), dtype=np.int32), met[stay] // 2
+        for name in ("words", "ids"):
+            strings = getattr(self, name)
+            lengths = strings.at[old + 1] - strings.at[old]
+            kept = Strings(strings.flat.dtype)
+            kept.extend(strings.gather(old, lengths)[0], lengths)
+            setattr(self, name, kept)
 
     def _ask(self, words: list) -> list:
         """The library's ids of each word."""
         out = []
-        for i in range(0, len(words), 5_000):
-            out.extend(e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 5_000]], add_special_tokens=False))
+        for i in range(0, len(words), 2_000):
+            out.extend(e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i:i + 2_000]], add_special_tokens=False))
         return out
 
     def _learn(self, keys: np.ndarray, words: list) -> None:
         """Remember new words (their hashes ascending)."""
         ids = self._ask(words)
-        entry = np.arange(self.words.n, self.words.n + len(words))
+        entry = np.arange(self.words.n, self.words.n + len(words), dtype=np.int32)
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int32)])
         self.words.extend(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         self.ids.extend(np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum()), lengths)
@@ -222,13 +236,21 @@ class WordIds:
     def _encode(self, texts: list) -> list:
         joined = b"\n".join(texts) + b"\n"
         data = np.frombuffer(joined, np.uint8)
-        space = _SPACE[data]
+        kind = _KIND[data]
+        space = kind == 1
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1  # words begin and end in turn
         if not space[0]:
             edge = np.concatenate([[0], edge])
         start, stop = edge[0::2], edge[1::2]
+        cut = np.flatnonzero((kind[:-1] == 2) & (kind[1:] == 3)) + 1
+        bars = np.flatnonzero(data == ord("|"))
+        if len(bars):  # these words may hold a special token
+            barred = np.zeros(len(start) + 1, bool)
+            barred[np.searchsorted(start, bars, "right")] = True
+            cut = cut[~barred[np.searchsorted(start, cut, "right")]]
+        start, stop = (np.sort(np.concatenate([a, cut]), kind="stable") for a in (start, stop))
         size = stop - start
-        keys, first, number = np.unique(word_hashes(data, start, stop), return_index=True, return_inverse=True)
+        keys, first, number, times = np.unique(word_hashes(data, start, stop), return_index=True, return_inverse=True, return_counts=True)
         if self.words.n > self.remembered:
             self._forget()
         found = self._find(keys)
@@ -236,6 +258,7 @@ class WordIds:
         if len(new):
             self._learn(keys[new], [joined[a:b] for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist())])
             found = self._find(keys)
+        self.met[found[found >= 0]] += times[found >= 0]
         entry = found[number]
         # every occurrence against the remembered bytes; what differs, and long words, go to the library
         known = (entry >= 0) & (self.words.at[entry + 1] - self.words.at[entry] == size)
@@ -305,6 +328,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                         segment, start, held, doc_ids, parts = segment + 1, start + held, 0, [], []
         if parts:
             yield close()
+        pa.default_memory_pool().release_unused()  # the worker stays
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     # the text's hash spreads rows of one id over ranges
