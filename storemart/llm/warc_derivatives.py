@@ -12,6 +12,8 @@ Defined cases: a record without a body gives an empty text and no links; a null
 target header; control characters in a URL are percent-encoded, so that they cannot add headers;
 bodies are read as UTF-8 with replacement; repeated records give repeated results.  A record that is
 not a response, or whose header cannot be read, gives a row with ``error`` set and null records.
+Very long bodies take time in proportion to their length, broken markup included; a record is worked
+on whole in one task.  Other columns of the input are left out, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "warc-derivatives")
 _DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?[a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LINK = re.compile(r"""<(a|area|link|img|iframe|source)\b[^>]*?\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.S | re.I)
+_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:(</title\s*>)|\Z)", re.S | re.I)
+_LINK_TAG = re.compile(r"<(a|area|link|img|iframe|source)\b", re.I)
+_REFERENCE = re.compile(r"\b(?:href|src)\s*=\s*", re.I)
+_VALUE = re.compile(r'''"([^"]*)"|'([^']*)'|([^\s>"']+)''')
 _INLINE = frozenset("a abbr b bdi bdo cite code em font i kbd mark q s samp small span strong sub sup time tt u var".split())
 SCHEMA = ("page_id long, error string, response_id string, target_uri string, payload_digest string, metadata_id string, metadata binary, "
           "conversion_id string, conversion binary, text string, n_links long")
@@ -79,10 +83,48 @@ def parse(record: bytes) -> tuple:
     return warc, status, fields, body
 
 
+def _split(page: str) -> tuple:
+    """The page up to its last ``>`` and the rest, where no tag can end: patterns that look for the end of a tag
+    see the first part only, so each of their attempts succeeds and they take linear time."""
+    at = page.rfind(">") + 1
+    return page[:at], page[at:]
+
+
+def title(page: str) -> str | None:
+    """The first title, white space collapsed."""
+    head, tail = _split(page)
+    m = _TITLE.search(head)
+    return None if m is None else " ".join(html.unescape(m[1] if m[2] else m[1] + tail).split())
+
+
+def links(page: str) -> list:
+    """Tag and reference of each linking tag, in page order."""
+    page, out, at, close = _DROP.sub(" ", page), [], 0, -1
+    while m := _LINK_TAG.search(page, at):
+        if close < m.end():
+            close = page.find(">", m.end())
+            close = len(page) if close < 0 else close
+        at = close
+        for r in _REFERENCE.finditer(page, m.end(), close):
+            if v := _VALUE.match(page, r.end()):
+                out.append({"tag": m[1].lower(), "url": html.unescape(v[1] or v[2] or v[3] or "")})
+                at = v.end()
+                break
+    return out
+
+
 def visible_text(page: str) -> str:
     """Text of a page, a line per block, white space collapsed."""
-    page = _TITLE.sub(" ", _DROP.sub(" ", page))
-    page = _TAG.sub(lambda m: "" if (m[1] or "").lstrip("/").lower() in _INLINE else "\n", page)
+    head, tail = _split(_DROP.sub(" ", page))
+    unclosed = []
+
+    def blank(m):
+        if m[2] is None:
+            unclosed.append(m)
+        return " "
+
+    head, rest = _split(_TITLE.sub(blank, head) + ("" if unclosed else tail))
+    page = _TAG.sub(lambda m: "" if (m[1] or "").lstrip("/").lower() in _INLINE else "\n", head) + rest
     lines = (" ".join(line.split()) for line in html.unescape(page).split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -93,15 +135,13 @@ def build(record: bytes) -> dict:
     named = dict(warc)
     source, uri, date = named.get("WARC-Record-ID"), named.get("WARC-Target-URI"), named.get("WARC-Date")
     page = body.decode("utf-8", "replace")
-    title = _TITLE.search(page)
-    links = [{"tag": m[1].lower(), "url": html.unescape(m[2] or m[3] or m[4] or "")} for m in _LINK.finditer(_DROP.sub(" ", page))]
-    text = visible_text(page)
+    found, text = links(page), visible_text(page)
     ids = {k: f"<urn:uuid:{uuid.uuid5(_SPACE, f'{k} {source}')}>" for k in ("metadata", "conversion")}
     out = {"response_id": source, "target_uri": uri, "payload_digest": named.get("WARC-Payload-Digest") or digest(body),
-           "metadata_id": ids["metadata"], "conversion_id": ids["conversion"], "text": text, "n_links": len(links), "error": None}
+           "metadata_id": ids["metadata"], "conversion_id": ids["conversion"], "text": text, "n_links": len(found), "error": None}
     about = json.dumps({"source": {"warc": warc, "status": status, "http": http, "payload_digest": out["payload_digest"],
                                    "block_digest": named.get("WARC-Block-Digest")},
-                        "title": " ".join(html.unescape(title[1]).split()) if title else None, "links": links}, ensure_ascii=False).encode()
+                        "title": title(page), "links": found}, ensure_ascii=False).encode()
     for kind, other, block, mime in (("metadata", "conversion", about, "application/json"), ("conversion", "metadata", text.encode(), "text/plain; charset=utf-8")):
         out[kind] = _record(kind, [("WARC-Record-ID", ids[kind]), ("WARC-Refers-To", source), ("WARC-Concurrent-To", ids[other]),
                                    ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Block-Digest", digest(block)), ("Content-Type", mime)], block)

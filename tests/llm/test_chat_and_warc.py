@@ -1,6 +1,10 @@
 """Chat formatting and WARC derivatives."""
 
+import html
 import json
+import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +96,31 @@ def test_derivatives_are_linked_and_preserve_the_source():
     assert W.build(source) == out  # the same bytes again
 
 
+def test_markup_patterns_against_plain_ones():
+    """Titles, links and texts of random markup as by one pattern each (quadratic on broken markup)."""
+    link = re.compile(r"""<(a|area|link|img|iframe|source)\b[^>]*?\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.S | re.I)
+    title = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+    rnd = random.Random(3)
+    parts = ["<a ", "<img", " href=", " src = ", '"', "'", ">", "x", " ", "<", "</a>", "<title>", "</title>", "<title ", "<!--", "-->", "<p>", "y.z", "&amp;", "<!", "/"]
+    for _ in range(20_000):
+        page = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14)))
+        bare = W._DROP.sub(" ", page)
+        assert W.links(page) == [{"tag": m[1].lower(), "url": html.unescape(m[2] or m[3] or m[4] or "")} for m in link.finditer(bare)], page
+        m = title.search(page)
+        assert W.title(page) == (" ".join(html.unescape(m[1]).split()) if m else None), page
+        text = W._TAG.sub(lambda m: "" if (m[1] or "").lstrip("/").lower() in W._INLINE else "\n", title.sub(" ", bare))
+        lines = [" ".join(x.split()) for x in html.unescape(text).split("\n")]
+        assert W.visible_text(page) == "\n".join(x for x in lines if x), page
+
+
+@pytest.mark.parametrize("piece", ["<a href", "<a ", "<title ", "<a href=x ", "<a href='", '<a href="', "<!", "<", "<a href ", "<title>", "<script"])
+def test_broken_markup_takes_linear_time(piece):
+    source = W.response(1, "u", piece * 100_000)
+    since = time.process_time()
+    W.build(source)
+    assert time.process_time() - since < 5
+
+
 def test_frames(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "u", ""), (3, "u", "<p>" + "w " * 100_000)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record", F.lit("mine"))
