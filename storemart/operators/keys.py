@@ -5,9 +5,9 @@ task.  Auto-increment keys are instead assigned like this:
 
 1. range-partition on the full ordering key and sort inside partitions (the
    range partitioner splits even a hot leading key over many tasks);
-2. cut lineage with a reliable checkpoint into the cluster's shared
-   checkpoint folder, so partition contents and order are fixed even when
-   executors are lost and tasks re-run;
+2. write the rows with their partition number and position as a Parquet
+   table in the cluster's shared checkpoint folder, so both are fixed even
+   when executors are lost and tasks re-run;
 3. count rows per partition (one row per partition), turn the counts into
    prefix offsets (a table bounded by the partition count, broadcast);
 4. key = start + offset(partition) + position inside the partition.
@@ -18,6 +18,8 @@ the ordering key is unique.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,19 +40,28 @@ def _ranged(df: DataFrame, cols: list, num_partitions: int | None) -> DataFrame:
     return df.repartitionByRange(*cols)
 
 
-def dense_number(df: DataFrame, order_cols: list, out_col: str, start: int | Column = 1,
-                 num_partitions: int | None = None) -> DataFrame:
+def _fixed(df: DataFrame, cols: list, num_partitions: int | None, then=None) -> DataFrame:
+    """``df`` range-partitioned and sorted on ``cols``, written once as Parquet with each row's slice and position (Parquet
+    is several times smaller than an RDD checkpoint); ``then`` is applied between numbering and writing."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    ranged = _ranged(df, order_cols, num_partitions).sortWithinPartitions(*order_cols)
-    fixed = ranged.checkpoint(eager=True)
-    tagged = fixed.withColumn(_PID, F.spark_partition_id()) \
-        .withColumn(_MID, F.monotonically_increasing_id())
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/storemart/ranged-{uuid.uuid4().hex}"
+    ranged = _ranged(df, cols, num_partitions).sortWithinPartitions(*cols)
+    out = ranged.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
+    out = out if then is None else then(out)
+    out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def dense_number(df: DataFrame, order_cols: list, out_col: str, start: int | Column = 1,
+                 num_partitions: int | None = None, then=None) -> DataFrame:
+    """``df`` with its place in the order as ``out_col``.  ``then`` (rows -> rows) joins or projects the numbered rows before
+    they are written; it must hand on the extra columns and at least one row for each row."""
+    tagged = _fixed(df, order_cols, num_partitions, then)
     # monotonically_increasing_id = (partition id << 33) + position in partition
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
+    counts = tagged.groupBy(_PID).agg((F.max(local) + 1).alias(_CNT))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
     start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
     out = tagged.join(F.broadcast(offsets), _PID, "inner") \
         .withColumn(out_col, (start_col + F.col(_OFF) + local).cast("long"))
@@ -61,18 +72,15 @@ def running_sum(df: DataFrame, group_cols: list, order_cols: list, sum_cols: lis
                 num_partitions: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Per-group running sums in order, without putting a whole group in one task.
 
-    Rows are range-partitioned on (group, order) and checkpointed; each task
+    Rows are range-partitioned on (group, order) and written; each task
     sums its slice per group, slice totals become per-group prefix offsets
     (a table of at most partitions × groups-per-partition rows), and the running
     value is offset + running sum inside the slice.  Equals
     ``sum(c) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED PRECEDING)``
     for a unique order key.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = list(group_cols) + list(order_cols)
-    fixed = _ranged(df, keys, num_partitions).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = fixed.withColumn(_PID, F.spark_partition_id())
+    tagged = _fixed(df, keys, num_partitions).drop(_MID)
     inner = Window.partitionBy(_PID, *group_cols).orderBy(*order_cols) \
         .rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumns({f"_l_{c}": F.sum(c).over(inner) for c in sum_cols})
@@ -86,24 +94,38 @@ def running_sum(df: DataFrame, group_cols: list, order_cols: list, sum_cols: lis
         .drop(_PID, *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
 
 
+def _arrays(w, value_cols: list, before: int, after: int, before_col: str, after_col: str) -> dict:
+    x = F.struct(*value_cols)
+    return {before_col: F.collect_list(x).over(w.rowsBetween(-before, -1)), after_col: F.collect_list(x).over(w.rowsBetween(1, after))}
+
+
+def hot_values(df: DataFrame, col: str, limit: int) -> list:
+    """Values of ``col`` with more than ``limit`` rows: at most (rows / ``limit``) of them."""
+    return [r[0] for r in df.groupBy(col).agg(F.count(F.lit(1)).alias(_CNT)).where(F.col(_CNT) > limit).collect()]
+
+
+def near(df: DataFrame, group_cols: list, order_cols: list, value_cols: list, before: int, after: int,
+         before_col: str = "_before", after_col: str = "_after") -> DataFrame:
+    """``neighbours`` for groups that each fit in one task: one window per group."""
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return df.withColumns(_arrays(w, value_cols, before, after, before_col, after_col))
+
+
 def neighbours(df: DataFrame, group_cols: list, order_cols: list, value_cols: list, before: int, after: int,
                before_col: str = "_before", after_col: str = "_after", num_partitions: int | None = None) -> DataFrame:
     """``df`` plus arrays of the values of the up to ``before`` previous and ``after`` next rows of the same group, in
     order, without putting a whole group in one task.
 
-    Rows are range-partitioned on (group, order) and checkpointed; each task looks at its slice.  A group lies in more
+    Rows are range-partitioned on (group, order) and written; each task looks at its slice.  A group lies in more
     than one slice only if it is the first or last of a slice, so at most two groups per slice have borders: their
     ``before`` first and last (``after``) rows per slice, a table bounded by the number of slices, are put in order once
     more and their arrays carried over.  (group, order) must be unique.
     """
-    checkpoint_dir(df.sparkSession)
     keys = list(group_cols) + list(order_cols)
-    fixed = _ranged(df, keys, num_partitions).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = fixed.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
+    tagged = _fixed(df, keys, num_partitions)
 
     def arrays(w):
-        x = F.struct(*value_cols)
-        return {before_col: F.collect_list(x).over(w.rowsBetween(-before, -1)), after_col: F.collect_list(x).over(w.rowsBetween(1, after))}
+        return _arrays(w, value_cols, before, after, before_col, after_col)
 
     slice_of = Window.partitionBy(_PID, *group_cols)
     local = tagged.withColumns({**arrays(slice_of.orderBy(*order_cols)), "_sm_rn": F.row_number().over(slice_of.orderBy(*order_cols))})
@@ -119,7 +141,7 @@ def neighbours(df: DataFrame, group_cols: list, order_cols: list, value_cols: li
         .where((F.col("_sm_rn") <= reach) | (F.col("_sm_back") <= reach))
     carried = border.withColumns(arrays(Window.partitionBy(*group_cols).orderBy(*order_cols))).select(
         _MID, F.col(before_col).alias("_sm_before"), F.col(after_col).alias("_sm_after"), F.col("_sm_back"))
-    joined = local.join(carried, _MID, "left")
+    joined = local.join(F.broadcast(carried), _MID, "left")
     return joined.withColumns({
         before_col: F.when(F.col("_sm_back").isNotNull() & (F.col("_sm_rn") <= before), F.col("_sm_before")).otherwise(F.col(before_col)),
         after_col: F.when(F.col("_sm_back") <= after, F.col("_sm_after")).otherwise(F.col(after_col)),

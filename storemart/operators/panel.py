@@ -1,9 +1,11 @@
 """Monthly product × store panel, next-period target and engineered features.
 
-Plan shape: the star join feeds a partial+final hash aggregate on the 26
-group columns; lead, lag and rolling values come from one pass over slices of
-(product, store, panel order) that carries at most three rows over each slice
-border, so a hot (product, store) pair is never in one task.
+Plan shape: facts are grouped by the surrogate keys, which determine the other
+group columns, and lead, lag and rolling values are found on these narrow rows;
+one shuffle by product serves both.  Products with very many lines go another
+way: over slices of (product, store, panel order) that carry at most three rows
+over each slice border, so a hot (product, store) pair is never in one task.
+The dimensions' columns are joined last, to the rows that are left.
 
 Money stays DECIMAL through sums (exact, order-independent) and becomes
 DOUBLE only at the feature boundary; averages are sum/count in double so the
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import measures as M
-from .keys import neighbours
+from .keys import hot_values, near, neighbours
 
 # The panel's columns.
 PRODUCT_GROUP = ["product_key", "product_id", "product_name", "product_category_name",
@@ -46,21 +48,29 @@ CATEGORICAL_FEATURES = ["product_category_name", "product_subcategory_name", "pr
 _PANEL_ORDER = ["year_num", "month_num", "customer_key", "salesperson_key"]
 
 
-def star_inner(wh: dict) -> DataFrame:
-    """Fact ⋈ 4 dimensions, inner."""
-    f = wh["fact_store_sales"]
-    p = wh["dim_product"].select("product_key", *PRODUCT_GROUP[1:])
-    c = wh["dim_store_customer"].select(*CUSTOMER_GROUP)
+# Keys of a panel row; they determine the other group columns.
+PANEL_KEYS = ["product_key", "customer_key", "store_id", "salesperson_key", *TIME_GROUP]
+# Fact rows of one product that may lie in one task.
+HOT_PRODUCT_ROWS = 500_000
+
+
+def star_keys(wh: dict) -> DataFrame:
+    """Facts with their customer's store and their month (J11 without the columns that the keys determine)."""
+    c = wh["dim_store_customer"].select("customer_key", "store_id")
     t = wh["dim_time"].select(F.col("time_key").alias("order_date_key"), *TIME_GROUP)
-    s = wh["dim_salesperson"].select(*SALESPERSON_GROUP)
-    return f.join(p, "product_key").join(c, "customer_key").join(t, "order_date_key") \
-        .join(s, "salesperson_key")
+    return wh["fact_store_sales"].join(t, "order_date_key").join(c, "customer_key")
+
 
+def with_dimensions(panel: DataFrame, wh: dict) -> DataFrame:
+    """Panel rows ⋈ product, customer and salesperson, inner."""
+    c = wh["dim_store_customer"].select(*CUSTOMER_GROUP).drop("store_id")
+    return panel.join(wh["dim_product"].select(*PRODUCT_GROUP), "product_key").join(wh["dim_salesperson"].select(*SALESPERSON_GROUP), "salesperson_key") \
+        .join(c, "customer_key")
 
-def monthly_aggregate(wh: dict) -> DataFrame:
-    """A01 with exact decimal sums (kept DECIMAL for the windows)."""
-    j = star_inner(wh)
-    return j.groupBy(*GROUP_COLS).agg(
+
+def monthly_sums(facts: DataFrame) -> DataFrame:
+    """A01 by panel keys with exact decimal sums (kept DECIMAL for the windows)."""
+    return facts.groupBy(*PANEL_KEYS).agg(
         F.sum("order_qty").cast("long").alias("current_month_order_qty"),
         F.sum("gross_amount").alias("_gross"),
         F.sum("discount_amount").alias("_discount"),
@@ -74,6 +84,11 @@ def monthly_aggregate(wh: dict) -> DataFrame:
     )
 
 
+def by_product(facts: DataFrame) -> DataFrame:
+    """Facts dealt by product: grouping, neighbours and the join with the product need no other shuffle."""
+    return facts.repartition("product_key")
+
+
 def _measures_as_double(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "current_month_gross_sales": F.col("_gross").cast("double"),
@@ -85,12 +100,20 @@ def _measures_as_double(df: DataFrame) -> DataFrame:
 
 def monthly_panel(wh: dict) -> DataFrame:
     """The monthly panel with measures as double."""
-    return _measures_as_double(monthly_aggregate(wh)).select(*GROUP_COLS, *MEASURES)
+    return _measures_as_double(with_dimensions(monthly_sums(star_keys(wh)), wh)).select(*GROUP_COLS, *MEASURES)
 
 
-def in_order(agg: DataFrame) -> DataFrame:
+def in_order(wh: dict, hot_rows: int | None = None) -> DataFrame:
     """Each panel row with its up to three previous and one next rows of the same (product, store), in panel order."""
-    return neighbours(agg, ["product_key", "store_id"], _PANEL_ORDER, ["_net", "_margin"], before=3, after=1)
+    pair, values = ["product_key", "store_id"], ["_net", "_margin"]
+    facts = star_keys(wh)
+    # at most (fact rows / limit) products
+    hot = hot_values(wh["fact_store_sales"], "product_key", HOT_PRODUCT_ROWS if hot_rows is None else hot_rows)
+    if not hot:
+        return near(monthly_sums(by_product(facts)), pair, _PANEL_ORDER, values, before=3, after=1)
+    is_hot = F.col("product_key").isin(hot)
+    rest = near(monthly_sums(by_product(facts.where(~is_hot))), pair, _PANEL_ORDER, values, before=3, after=1)
+    return rest.unionByName(neighbours(monthly_sums(facts.where(is_hot)), pair, _PANEL_ORDER, values, before=3, after=1))
 
 
 def with_target(ordered: DataFrame) -> DataFrame:
@@ -100,8 +123,8 @@ def with_target(ordered: DataFrame) -> DataFrame:
 
 def model_dataset(wh: dict) -> DataFrame:
     """Panel + target, rows with a successor only."""
-    d = _measures_as_double(with_target(in_order(monthly_aggregate(wh))))
-    return d.select(*GROUP_COLS, *MEASURES, F.col("_next").cast("double").alias(TARGET))
+    d = _measures_as_double(with_target(in_order(wh))).select(*PANEL_KEYS, *MEASURES, F.col("_next").cast("double").alias(TARGET))
+    return with_dimensions(d, wh).select(*GROUP_COLS, *MEASURES, TARGET)
 
 
 def engineer(with_next: DataFrame) -> DataFrame:
@@ -132,13 +155,13 @@ def engineer(with_next: DataFrame) -> DataFrame:
         "sales_growth_previous_period": M.growth(cur, F.col("_prev")),
     }
     return d.withColumns(feats).select(
-        *GROUP_COLS, *MEASURES, F.col("_next").cast("double").alias(TARGET), "year_month_date",
+        *PANEL_KEYS, *MEASURES, F.col("_next").cast("double").alias(TARGET), "year_month_date",
         *ENGINEERED)
 
 
 def engineered_features(wh: dict) -> DataFrame:
     """The training table: panel, target, 11 engineered features (M01 + M02)."""
-    return engineer(with_target(in_order(monthly_aggregate(wh))))
+    return with_dimensions(engineer(with_target(in_order(wh))), wh).select(*GROUP_COLS, *MEASURES, TARGET, "year_month_date", *ENGINEERED)
 
 
 def feature_columns(df: DataFrame) -> list:

@@ -19,14 +19,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import dates as D
 from ..functions import measures as M
 from ..functions import text as T
-from .keys import dense_number
+from .keys import dense_number, running_sum
 
 # Fixed values of the load (base month and number of monthly periods).
 BASE_PERIOD_START = "2005-07-01"
@@ -193,8 +193,13 @@ def salesperson_rows(src: dict, start, end, base: str) -> DataFrame:
 
 # ---------------------------------------------------------------- raw extract
 
-def raw_extract(src: dict, start, end, base: str) -> DataFrame:
-    o = _with_store(store_orders(src, start, end), src)
+def raw_extract(src: dict, start, end, base: str, firsts: DataFrame | None = None) -> DataFrame:
+    """Order lines of store orders in a window; with ``firsts`` (``first_ids``) they carry the ``first_id`` of their order."""
+    o = _with_store(store_orders(src, start, end), src).withColumn("period", period_col("order_date", base))
+    if firsts is not None:
+        # the period as a range: rows stay dealt by order for the join with its lines
+        x = firsts.select("sales_order_id", F.col("period").alias("_first_period"), "first_id")
+        o = o.join(x, "sales_order_id", "inner").where((F.col("period") >= F.col("_first_period")) & (F.col("period") <= F.col("_first_period")))
     lines = src["salesorderdetail"]
     j = o.join(lines, "sales_order_id", "inner")
     return j.select(
@@ -203,7 +208,18 @@ def raw_extract(src: dict, start, end, base: str) -> DataFrame:
         "store_name", F.coalesce("salesperson_id", "store_salesperson_id").alias("salesperson_id"),
         "territory_id", "product_id", "order_qty", "unit_price", "unit_price_discount", "line_total",
         "subtotal", "tax_amt", "freight", "total_due", "currency_rate_id", "ship_method_id", "comment",
-        period_col("order_date", base).alias("period"))
+        "period", *(["first_id"] if firsts is not None else []))
+
+
+def first_ids(src: dict, start, end, base: str) -> DataFrame:
+    """(sales_order_id, period, first_id): the number of each store order's first line when all lines are numbered in
+    (period, order, line) order.  Only orders with their line counts are put in order, never the lines."""
+    o = _with_store(store_orders(src, start, end), src)
+    orders = o.groupBy("sales_order_id", period_col("order_date", base).alias("period")).agg(F.count(F.lit(1)).alias("_copies"))
+    lines = src["salesorderdetail"].groupBy("sales_order_id").agg(F.count(F.lit(1)).alias("_lines"))
+    sized = orders.join(lines, "sales_order_id", "inner").select("sales_order_id", "period", (F.col("_copies") * F.col("_lines")).alias("_n"))
+    return running_sum(sized, [], ["period", "sales_order_id"], ["_n"]) \
+        .select("sales_order_id", "period", (F.col("_n_cum") - F.col("_n") + 1).alias("first_id"))
 
 
 # ---------------------------------------------------------------- fact transform
@@ -319,10 +335,12 @@ def unknown_salesperson(spark) -> DataFrame:
 
 
 def build_raw(src: dict, base: str = BASE_PERIOD_START, max_period: int | None = None) -> DataFrame:
+    """Raw rows of all months, numbered in (period, order, line) order: the order's first number plus the line's place in
+    its order, which the join on the order leaves together."""
     start, end = _all_periods(base, max_period)
-    raw = raw_extract(src, start, end, base)
-    n = dense_number(raw, ["period", "sales_order_id", "sales_order_detail_id"], "raw_store_sales_id")
-    return n.select("raw_store_sales_id", *RAW_COLS, "period")
+    raw = raw_extract(src, start, end, base, first_ids(src, start, end, base))
+    place = F.row_number().over(Window.partitionBy("sales_order_id", "period").orderBy("sales_order_detail_id"))
+    return raw.select((F.col("first_id") + place - 1).cast("long").alias("raw_store_sales_id"), *RAW_COLS, "period")
 
 
 def build_fact(raw: DataFrame, dims: dict) -> DataFrame:
@@ -335,16 +353,24 @@ def build_fact(raw: DataFrame, dims: dict) -> DataFrame:
 def backfill(spark, src: dict, wh_dir: str, base: str = BASE_PERIOD_START,
              max_period: int | None = None) -> dict:
     """Build the whole warehouse in one pass and write it as Parquet tables."""
+    dims = write_dimensions(spark, src, wh_dir, base, max_period)
+    write_months(build_raw(src, base, max_period), spark, wh_dir, "raw_store_sales")
+    write_months(build_fact(months(spark, wh_dir, "raw_store_sales"), dims), spark, wh_dir, "fact_store_sales")
+    return open_warehouse(spark, wh_dir)
+
+
+def write_dimensions(spark, src: dict, wh_dir: str, base: str = BASE_PERIOD_START, max_period: int | None = None) -> dict:
+    """Write the four dimensions and read them back."""
     dims = build_dimensions(src, base, max_period)
     for name, df in dims.items():
         df.write.mode("overwrite").parquet(f"{wh_dir}/{name}")
-    dims = {name: spark.read.parquet(f"{wh_dir}/{name}") for name in dims}
-    build_raw(src, base, max_period).write.mode("overwrite").partitionBy("period").parquet(f"{wh_dir}/raw_store_sales")
-    facts = build_fact(months(spark, wh_dir, "raw_store_sales"), dims)
-    facts.repartitionByRange("period", "fact_store_sales_key").write.mode("overwrite").partitionBy("period").parquet(f"{wh_dir}/fact_store_sales")
-    for name in MONTHLY_TABLES:
-        _note_keys(months(spark, wh_dir, name), wh_dir, name)
-    return open_warehouse(spark, wh_dir)
+    return {name: spark.read.parquet(f"{wh_dir}/{name}") for name in dims}
+
+
+def write_months(rows: DataFrame, spark, wh_dir: str, name: str) -> None:
+    """Write all months of a numbered table into their folders: one file per task and month, without moving the rows."""
+    rows.write.mode("overwrite").partitionBy("period").parquet(f"{wh_dir}/{name}")
+    _note_keys(months(spark, wh_dir, name), wh_dir, name)
 
 
 # Tables in month folders (period=N) with the column that numbers their rows.

@@ -80,23 +80,26 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate")
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    numbered = dense_number(
-        li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-             "l_extendedprice", "l_discount", "l_shipdate"], "sales_order_detail_id")
     qty = F.col("l_quantity").cast("int")
     price = F.col("p_retailprice").cast("decimal(9,4)")
     disc = F.col("l_discount").cast("decimal(9,4)")
     line_total = (qty.cast("decimal(5,0)") * price * (F.lit(1).cast("decimal(1,0)") - disc)) \
         .cast("decimal(38,6)")
-    return numbered.join(part, numbered.l_partkey == part.p_partkey, "inner").select(
-        F.col("l_orderkey").alias("sales_order_id"),
-        F.col("sales_order_detail_id"),
-        F.col("l_partkey").alias("product_id"),
-        qty.cast("short").alias("order_qty"),
-        price.cast("decimal(19,4)").alias("unit_price"),
-        disc.cast("decimal(19,4)").alias("unit_price_discount"),
-        line_total.alias("line_total"),
-    )
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"]
+
+    def priced(lines):
+        # lines without a part keep their number and are left out below
+        extra = [c for c in lines.columns if c not in order]
+        return lines.join(part, lines.l_partkey == part.p_partkey, "left").select(
+            F.col("l_orderkey").alias("sales_order_id"),
+            F.col("p_partkey").alias("product_id"),
+            qty.cast("short").alias("order_qty"),
+            price.cast("decimal(19,4)").alias("unit_price"),
+            disc.cast("decimal(19,4)").alias("unit_price_discount"),
+            line_total.alias("line_total"), *extra)
+
+    return dense_number(li, order, "sales_order_detail_id", then=priced).where(F.col("product_id").isNotNull()).select(
+        "sales_order_id", "sales_order_detail_id", "product_id", "order_qty", "unit_price", "unit_price_discount", "line_total")
 
 
 def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
