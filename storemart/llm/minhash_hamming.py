@@ -175,13 +175,39 @@ def _open_meetings(members: DataFrame, labels: DataFrame) -> tuple:
     placed = rows.join(blocks.select("node", "block"), "node")
     there = placed.groupBy("key", "block").agg(F.bool_or(F.col("label") == F.col("top")).alias("has_top"))
     guests = placed.where("label <> top").select("key", "node", F.col("block").alias("own"))
-    meet = guests.join(there, "key").where("has_top or block >= own").select("node", "block").distinct()
-    return blocks, materialise(meet, "near-meet"), rows
+    return blocks, materialise(_visits(guests, materialise(there, "near-there")), "near-meet"), rows
+
+
+def _same_blocks(guests: DataFrame, there: DataFrame) -> tuple:
+    """``guests`` (key, node, own) and ``there`` (key, block, has_top) with the blocks of a bucket in place of its key.  Near
+    copies share up to 64 buckets that lie in the same blocks: such buckets ask the same of a guest and count once.  The blocks
+    are named by their number and two sums of hashes, which merge."""
+    name = there.groupBy("key").agg(F.count("*").alias("k"), *[
+        F.sum(F.xxhash64(F.lit(i), "block", "has_top").cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)])
+    named = lambda x, *columns: x.join(name, "key").select("k", "h0", "h1", *columns).distinct()
+    return named(guests, "node", "own"), named(there, "block", "has_top")
+
+
+def _visits(guests: DataFrame, there: DataFrame) -> DataFrame:
+    """(node, block): the blocks that each guest has to be held against."""
+    asked, held = _same_blocks(guests, there)
+    return asked.join(held, ["k", "h0", "h1"]).where("has_top or block >= own").select("node", "block").distinct()
+
+
+def _dealt(blocks: DataFrame, meet: DataFrame) -> DataFrame:
+    """(node, label, block, part, guest): a block's guests are dealt to parts of about ``BLOCK``, each with all the block's
+    members, so a block that very many nodes visit lies in many tasks."""
+    parts = meet.groupBy("block").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("parts"))
+    own = blocks.join(parts, "block").select("node", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                                             F.lit(False).alias("guest"))
+    guests = meet.join(blocks.select("node", "label"), "node").join(parts, "block").select(
+        "node", "label", "block", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.lit(True).alias("guest"))
+    return own.union(guests)
 
 
 def _meet(blocks: DataFrame, meet: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) between the nodes of each block and the nodes that meet it.  Rows stream
-    in block order, the block's own members first, so a task holds one block and one batch at a time."""
+    in the order of blocks and their parts, the block's own members first, so a task holds one block and one batch at a time."""
     def links(members, x_node, x_label, x_sig, x_set):
         close = ((members["sig"] != x_sig).sum(axis=1) <= MAX_ERRORS) & (members["label"] != x_label)
         if not close.any():
@@ -209,10 +235,10 @@ def _meet(blocks: DataFrame, meet: DataFrame, nodes: DataFrame, sets: DataFrame,
         block, own, ready = None, [], None
         for batch in frames:
             found = []
-            cols = [batch.column(c).to_pylist() for c in ("block", "node", "label", "sig", "shingles", "guest")]
+            cols = [batch.column(c).to_pylist() for c in ("block", "node", "label", "sig", "shingles", "guest", "part")]
             for row in zip(*cols):
-                if row[0] != block:
-                    block, own, ready = row[0], [], None
+                if (row[0], row[6]) != block:
+                    block, own, ready = (row[0], row[6]), [], None
                 if not row[5]:
                     own.append(row)
                     continue
@@ -222,11 +248,9 @@ def _meet(blocks: DataFrame, meet: DataFrame, nodes: DataFrame, sets: DataFrame,
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     facts = sets.join(nodes.select("node", "sig"), "node")
-    own = blocks.join(meet.select("block").distinct(), "block", "left_semi").withColumn("guest", F.lit(False))
-    guests = meet.join(blocks.select("node", "label"), "node").select("node", "label", "block", F.lit(True).alias("guest"))
-    rows = own.select("node", "label", "block", "guest").union(guests).join(facts, "node")
-    return (rows.select("block", "node", "label", "sig", "shingles", "guest").repartition("block")
-            .sortWithinPartitions("block", "guest").mapInArrow(run, "a long, b long"))
+    rows = _dealt(blocks, meet).join(facts, "node")
+    return (rows.select("block", "part", "node", "label", "sig", "shingles", "guest").repartition("block", "part")
+            .sortWithinPartitions("block", "part", "guest").mapInArrow(run, "a long, b long"))
 
 
 def groups(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

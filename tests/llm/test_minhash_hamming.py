@@ -86,3 +86,29 @@ def test_components_of_path_star_and_loops(spark):
     got = {r["node"]: r["component"] for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}}
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_buckets_in_the_same_blocks_ask_once(spark):
+    """Near copies share many buckets: each guest asks for a block once, not once for every bucket it shares."""
+    keys, nodes = range(64), range(30)
+    guests = spark.createDataFrame([(k, n, n % 3) for k in keys for n in nodes], "key long, node long, own long")
+    there = spark.createDataFrame([(k, b, b == 2) for k in keys for b in range(3)] + [(64, 0, True), (64, 7, False)], "key long, block long, has_top boolean")
+    guests = guests.union(spark.createDataFrame([(64, 5, 2), (64, 99, 9)], guests.schema))
+    asked, held = M._same_blocks(guests, there)
+    assert asked.count() == 30 + 2 and held.count() == 3 + 2
+    met = {(r["node"], r["block"]) for r in M._visits(guests, there).collect()}
+    assert met == {(n, b) for n in nodes for b in range(3) if b == 2 or b >= n % 3} | {(5, 0), (5, 7), (99, 0)}
+
+
+def test_a_block_of_many_guests_lies_in_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 20)
+    blocks = spark.createDataFrame([(n, n, n % 2) for n in range(40)], "node long, label long, block long")
+    meet = spark.createDataFrame([(n, 0) for n in range(1, 40, 2)] * 1 + [(n, 1) for n in range(0, 2)], "node long, block long")
+    many = spark.createDataFrame([(n, 100 + n, 5) for n in range(1000, 1500)], blocks.schema)
+    rows = M._dealt(blocks.union(many), meet.union(many.selectExpr("node", "0L AS block"))).collect()
+    parts = {}
+    for r in rows:
+        parts.setdefault((r["block"], r["part"]), {True: [], False: []})[r["guest"]].append(r["node"])
+    assert all(sorted(p[False]) == [n for n in range(40) if n % 2 == b] for (b, _), p in parts.items())
+    assert len(parts) == 26 + 1 and max(len(p[True]) for p in parts.values()) < 60
+    assert sorted(n for (b, _), p in parts.items() if b == 0 for n in p[True]) == sorted([*range(1, 40, 2), *range(1000, 1500)])
