@@ -9,7 +9,7 @@ from storemart.operators import keys as K
 from storemart.operators import panel as P
 from storemart.operators import warehouse as W
 from storemart.session import checkpoint_dir
-from storemart.sources import catalog
+from storemart.sources import catalog, testdata
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,3 +66,49 @@ def test_numbered_rows_leave_no_rdd_checkpoint(spark):
     want = df.withColumn("k", F.row_number().over(Window.orderBy("a", "id")).cast("long"))
     assert _rows(got.select("a", "id", "k")) == _rows(want) and got.where("hit = 1").count() == 22
     assert files() == before
+
+
+def _tables(spark, path, **frames):
+    """The sf0.001 tables under ``path``, some exchanged."""
+    for name in ["customer", "supplier", "part", "orders", "lineitem", "nation"]:
+        df = frames.get(name, spark.read.parquet(f"{SF}/{name}.parquet"))
+        df.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_line_numbers_are_the_rank_of_the_line_over_repeated_and_missing_keys(spark, tmp_path):
+    li, part = spark.read.parquet(f"{SF}/lineitem.parquet"), spark.read.parquet(f"{SF}/part.parquet")
+    lines = li.unionByName(li.where("l_orderkey % 5 = 0")).unionByName(li.where("l_orderkey % 7 = 0").withColumn("l_orderkey", F.lit(None).cast("long")))
+    # some parts twice with other prices, some without a price, some missing
+    parts = part.where("p_partkey % 11 > 0").withColumn("p_retailprice", F.when(F.col("p_partkey") % 13 > 0, F.col("p_retailprice")))
+    parts = parts.unionByName(parts.where("p_partkey % 3 = 0").withColumn("p_retailprice", F.col("p_retailprice") + 1))
+    sf = _tables(spark, tmp_path / "in", lineitem=lines, part=parts)
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"]
+    want = lines.withColumn("n", F.row_number().over(Window.orderBy(*order)).cast("long")).join(parts, F.col("l_partkey") == F.col("p_partkey")) \
+        .select("l_orderkey", "n", "l_partkey", F.col("l_quantity").cast("short"), F.col("p_retailprice").cast("decimal(19,4)"))
+    got = testdata.order_detail(spark, sf).select("sales_order_id", "sales_order_detail_id", "product_id", "order_qty", "unit_price")
+    assert got.where("sales_order_id IS NULL").count() > 0
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_facts_of_orders_are_the_facts_of_raw_rows(spark, tmp_path):
+    """Also when orders, customers and parts come twice, partly with other values."""
+    o, c, p = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "customer", "part"))
+    sf = _tables(spark, tmp_path / "in", orders=o.unionByName(o.where("o_orderkey % 3 = 0")),
+                 customer=c.unionByName(c.where("c_custkey % 4 = 0").withColumn("c_name", F.lit("other"))), part=p.unionByName(p.where("p_partkey % 5 = 0").withColumn("p_size", F.lit(7))))
+    wh, src = catalog.warehouse(spark, sf), catalog.sources(spark, sf)
+    want = W.build_fact(W.build_raw(src, catalog.TESTDATA_BASE, None), wh)
+    assert want.count() > want.select("fact_store_sales_key").distinct().count()
+    got = W.facts_of_orders(src, testdata.order_detail(spark, sf, products=W.product_keys(wh["dim_product"])), wh, catalog.TESTDATA_BASE, None)
+    assert got.columns == want.columns
+    # which copy of an order holds which of the numbers of its lines is open, the numbers and the rows are not
+    assert _rows(got.select("fact_store_sales_key")) == _rows(want.select("fact_store_sales_key"))
+    assert _rows(got.drop("fact_store_sales_key")) == _rows(want.drop("fact_store_sales_key"))
+
+
+def test_lines_are_numbered_as_they_are_read_and_written_for_loads(spark):
+    src = catalog.sources(spark, SF)
+    assert any(f.endswith("lineitem.parquet") for f in src["salesorderdetail"].inputFiles())
+    written = catalog.written_lines(spark, SF)["salesorderdetail"]
+    assert not any(f.endswith("lineitem.parquet") for f in written.inputFiles())
+    assert written.columns == src["salesorderdetail"].columns and _rows(written) == _rows(src["salesorderdetail"])
