@@ -5,7 +5,7 @@ that come out as one token are *proven*.  A text is cut only where no vocabulary
 (checked against the vocabulary: nothing but the space mark may precede a space mark, no string holds
 a line end), so the pieces between cuts encode independently.  A piece that is a proven string counts
 1; only the rest is merged, after further cuts between characters that no vocabulary string holds
-side by side.  Counts of pieces met before are remembered per task, up to a fixed number.
+side by side.  Counts of pieces met before are remembered per worker, up to a fixed number.
 
 The vocabulary is bounded by its file; it is prepared on the driver and broadcast.
 
@@ -30,6 +30,9 @@ from .common import fresh, whole_text
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
+_NONE = float("-inf")
+#: Longest piece that is merged at once; a longer one is cut first and its parts go through the heap.
+SHORT = 24
 _PIECES = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 
 
@@ -66,10 +69,26 @@ def merge(piece: str, scores: dict) -> list:
     return out
 
 
+def tokens_of(piece: str, scores: dict) -> list:
+    """``merge`` for short pieces: the pairs' scores stand in a list, which for a word is quicker to search than a heap is to keep."""
+    out, get = list(piece), scores.get
+    held = [get(a + b, _NONE) for a, b in zip(out, out[1:])]
+    while held and (best := max(held)) != _NONE:
+        i = held.index(best)  # the leftmost
+        out[i:i + 2] = [out[i] + out[i + 1]]
+        del held[i]
+        if i < len(held):
+            held[i] = get(out[i] + out[i + 1], _NONE)
+        if i:
+            held[i - 1] = get(out[i - 1] + out[i], _NONE)
+    return out
+
+
 class Counter(dict):
-    """piece of a text -> number of tokens; starts with the proven strings, remembers what it works out."""
+    """piece of a text -> number of tokens; starts with the proven strings, remembers what it works out.  Of at most
+    ``remembered`` pieces the newer half is kept when it is full, and pieces of the older half return when they are met again."""
 
-    def __init__(self, scores: dict, remembered: int = 400_000):
+    def __init__(self, scores: dict, remembered: int = 800_000):
         for v in scores:
             if "\n" in v or SPACE in v.lstrip(SPACE):
                 raise ValueError(f"the cuts do not hold for this vocabulary: {v!r}")
@@ -77,19 +96,26 @@ class Counter(dict):
         self.pairs = {v[i:i + 2] for v in scores for i in range(len(v) - 1)}
         self.proven = frozenset(v for v in scores if len(v) == 1 or merge(v, scores) == [v])
         super().__init__(dict.fromkeys(self.proven, 1))
+        self.older = {}
 
     def __reduce__(self):
         return _restore, (self.scores, self.remembered, self.pairs, self.proven)
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= self.remembered:
+        if 2 * len(self) >= self.remembered + len(self.proven):
+            self.older = dict(self)
             self.clear()
             self.update(dict.fromkeys(self.proven, 1))
-        n = self[piece] = self.work_out(piece)
+        n = self.older.get(piece)
+        if n is None:
+            n = self.work_out(piece)
+        self[piece] = n
         return n
 
     def work_out(self, piece: str) -> int:
         """Cut between characters that no vocabulary string holds side by side, then merge each part."""
+        if len(piece) <= SHORT:
+            return sum([1 if t in self.scores else len(t.encode()) for t in tokens_of(piece, self.scores)])
         total, start = 0, 0
         for i in range(1, len(piece) + 1):
             if i == len(piece) or piece[i - 1:i + 1] not in self.pairs:
@@ -110,7 +136,7 @@ class Counter(dict):
 def _restore(scores, remembered, pairs, proven):
     c = Counter.__new__(Counter)
     dict.__init__(c, dict.fromkeys(proven, 1))
-    c.scores, c.remembered, c.pairs, c.proven = scores, remembered, pairs, proven
+    c.scores, c.remembered, c.pairs, c.proven, c.older = scores, remembered, pairs, proven, {}
     return c
 
 

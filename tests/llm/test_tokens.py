@@ -62,6 +62,20 @@ def test_counts_equal_sentencepiece(odd, nothing):
     assert C.count(nothing).count() == 0
 
 
+def test_short_pieces_merge_as_long_ones_and_come_back_when_the_memory_is_full(monkeypatch):
+    """op4_token_counts: words take the list, and a word met again is not merged again."""
+    scores = C.read_scores(P.path(C.MODEL))
+    short = [s[:C.SHORT].replace(" ", C.SPACE) for s in STRINGS]
+    assert all(C.tokens_of(s, scores) == C.merge(s, scores) for s in short)
+    counter = C.Counter(scores)
+    counter.remembered = len(counter.proven) + 100
+    worked, work_out = [], counter.work_out
+    monkeypatch.setattr(counter, "work_out", lambda p: worked.append(p) or work_out(p))
+    for i in range(400):
+        counter.count(f"qzqzvx w{i}xqj")
+    assert worked.count(f"{C.SPACE}qzqzvx") == 1 and len(counter) + len(counter.older) <= 2 * len(counter.proven) + 110
+
+
 def test_unsafe_vocabulary_is_refused():
     with pytest.raises(ValueError, match="cuts do not hold"):
         C.Counter({"a": -1.0, f"a{C.SPACE}b": -2.0})
